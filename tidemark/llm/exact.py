@@ -40,7 +40,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     known = known.withColumn("alive", alive)
     hashed = scratch.save(known.select("id", "n_chars", "alive", (digest if digest_all else F.when(F.col("alive"), digest)).alias("sha")), "hashed")
     best = F.max_by(F.col("id"), F.struct(F.col("n_chars"), -F.col("id")))
-    groups = hashed.where("alive").groupBy("sha").agg(best.alias("keep"), F.count("*").alias("size")).where("size > 1")
+    groups = scratch.save(hashed.where("alive").groupBy("sha").agg(best.alias("keep"), F.count("*").alias("size")).where("size > 1"), "groups")
     out = hashed.join(groups, "sha", "left")
     keep = F.coalesce("keep", "id")
     return out.select("id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), F.coalesce(F.col("id") == keep, F.lit(True)).alias("kept"), "sha")

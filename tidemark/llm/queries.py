@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, simhash
+from . import exact, lines, mixing, simhash, toxicity
 from .common import table
 
 
@@ -15,12 +15,15 @@ def _over(op: Callable, name: str = "documents") -> Callable[[SparkSession, str]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": lambda spark, d: toxicity.op1(spark, table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_exact_dedup": _over(exact.op4),
+    "op6_line_dedup": _over(lines.op6),
     "op8_simhash": _over(simhash.op8),
     "op10_mixing": _over(mixing.op10),
 }
 
 ORACLES: dict[str, str] = {
+    "op1_toxicity": lambda spark, d: toxicity.op1(spark, table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_exact_dedup": exact.SQL,
     "op10_mixing": mixing.SQL,
 }
