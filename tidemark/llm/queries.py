@@ -6,24 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, lines, mixing, simhash, toxicity
+from . import exact, lines, mixing, packing, simhash, tokenstore, toxicity
 from .common import table
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def _over(op: Callable, name: str = "documents") -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: op(spark, table(spark, sf_dir, name))
 
+def _over(op: Callable, *names: str) -> Query:
+    return lambda spark, sf_dir: op(spark, *[table(spark, sf_dir, n) for n in names])
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_toxicity": lambda spark, d: toxicity.op1(spark, table(spark, d, "documents"), table(spark, d, "labels")),
-    "op4_exact_dedup": _over(exact.op4),
-    "op6_line_dedup": _over(lines.op6),
-    "op8_simhash": _over(simhash.op8),
-    "op10_mixing": _over(mixing.op10),
+
+QUERIES: dict[str, Query] = {
+    "op1_toxicity": _over(toxicity.op1, "documents", "labels"),
+    "op3_token_files": _over(tokenstore.op3, "documents"),
+    "op4_exact_dedup": _over(exact.op4, "documents"),
+    "op6_line_dedup": _over(lines.op6, "documents"),
+    "op7_packing": _over(packing.op7, "documents"),
+    "op8_simhash": _over(simhash.op8, "documents"),
+    "op10_mixing": _over(mixing.op10, "documents"),
 }
 
 ORACLES: dict[str, str] = {
-    "op1_toxicity": lambda spark, d: toxicity.op1(spark, table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_exact_dedup": exact.SQL,
     "op10_mixing": mixing.SQL,
 }
