@@ -58,6 +58,9 @@ class Scratch:
             if path:
                 remove(self.spark, path)
 
+    def drop_all(self) -> None:
+        self.drop(*[df for _, df in self.paths.values()])
+
 
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm

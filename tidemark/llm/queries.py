@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, lines, mixing, packing, simhash, tokenstore, toxicity
+from . import exact, html, lines, mixing, neighbors, packing, secrets, simhash, tokenstore, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,11 +18,14 @@ def _over(op: Callable, *names: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": _over(toxicity.op1, "documents", "labels"),
+    "op2_embedding_neighbors": _over(neighbors.op2, "embeddings"),
     "op3_token_files": _over(tokenstore.op3, "documents"),
     "op4_exact_dedup": _over(exact.op4, "documents"),
+    "op5_secrets": _over(secrets.op5, "documents"),
     "op6_line_dedup": _over(lines.op6, "documents"),
     "op7_packing": _over(packing.op7, "documents"),
     "op8_simhash": _over(simhash.op8, "documents"),
+    "op9_html_text": _over(html.op9, "pages"),
     "op10_mixing": _over(mixing.op10, "documents"),
 }
 
