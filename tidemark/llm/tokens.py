@@ -14,6 +14,7 @@ from .common import load_tokenizer
 
 #: Pieces a worker remembers; when full it starts anew.
 CACHE_PIECES = 500_000
+_MARKS = frozenset(".,;:!?")
 #: The pre-tokenizer's pattern, and white space other than space and \n.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER_SPACES = "\t\r\x0b\x0c\x85\xa0                　"
@@ -41,14 +42,26 @@ class Pieces(dict):
         if len(self.parts) >= CACHE_PIECES:
             self.parts.clear()
         ids, parts = b"", self.parts
-        for part in self.cut(piece[2:] if piece.startswith("\n\n") else " " + piece):
+        for part in self._cut(piece):
             if (found := parts.get(part)) is None:
-                word = part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-                found = parts[part] = array("I", [t.id for t in self.merge(word)]).tobytes()
+                found = parts[part] = array("I", [t.id for t in self.merge(self._letters(part))]).tobytes()
             ids += found
         self[piece] = ids
         return ids
 
+    def _cut(self, piece: str) -> list[str]:
+        """What the pattern cuts a piece into; letters with at most one mark behind them need no pattern."""
+        if piece.isalpha():
+            return [" " + piece]
+        if piece[-1:] in _MARKS and piece[:-1].isalpha():
+            return [" " + piece[:-1], piece[-1]]
+        return self.cut(piece[2:] if piece.startswith("\n\n") else " " + piece)
+
+    def _letters(self, part: str) -> str:
+        if part.isascii() and part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
+            return "\u0120" + part[1:] if part[0] == " " else part
+        return part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+
     def encode(self, text: str) -> bytes:
         head, *rest = text.split(" ")
         if "" in rest or "\n " in text or " \n" in text or "\n\n" == head[:2] or (not text.isascii() or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text) and any(c in text for c in OTHER_SPACES):

@@ -22,7 +22,7 @@ from .common import Scratch, text_or_empty, tokenizer_path
 from .tokens import encoder
 
 MAX_CODE_BITS = 16
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 18
 STRIDE = 128
 _HEAD = struct.Struct("<4sIIIQ")
 
@@ -179,8 +179,10 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "
 
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b.column(0):
-                one = np.bincount(np.frombuffer(ids.as_buffer(), kind))
+            ids = b.column(0)
+            ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+            if len(ids) and ends[-1] > ends[0]:
+                one = np.bincount(np.frombuffer(ids.buffers()[2], "u1")[ends[0] : ends[-1]].view(kind))
                 if len(one) > len(total):
                     total = np.concatenate((total, np.zeros(len(one) - len(total), np.int64)))
                 total[: len(one)] += one
