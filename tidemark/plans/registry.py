@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import study  # noqa: F401  registers its queries
+from . import market, study  # noqa: F401  they register their queries
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
