@@ -114,7 +114,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     # a document's own windows, at most two a line
     cuts = scratch.save(later.groupBy("id", "mark").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "cuts")
     scratch.drop(listed, shared, alive, first)
-    joined = keyed.join(cuts, keyed["_id"].eqNullSafe(cuts["id"]) & (keyed["_mark"] == cuts["mark"]), "left")
+    # one plan at every size: a small table of cuts would be broadcast and a large one not
+    joined = keyed.join(cuts.hint("merge"), keyed["_id"].eqNullSafe(cuts["id"]) & (keyed["_mark"] == cuts["mark"]), "left")
 
     @F.pandas_udf("text string, removed long")
     def rewrite(texts, spans):
