@@ -102,8 +102,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
             if rows:
                 yield _batch(pa, rows)
 
-    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_mark": F.xxhash64(text_or_empty(text_col))})
-    listed = scratch.save(keyed.select("_id", "_mark", text_or_empty(text_col).alias("t")).mapInArrow(run, _WINDOWS), "windows")
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__mark": F.xxhash64(text_or_empty(text_col))})
+    listed = scratch.save(keyed.select("__id", "__mark", text_or_empty(text_col).alias("t")).mapInArrow(run, _WINDOWS), "windows")
     place = F.struct("id", "mark", "low")
     shared = scratch.save(listed.groupBy("f").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("f"), "fingerprints")
     alive = scratch.save(listed.join(shared, "f", "left_semi").select("id", "mark", "lo", "hi", "w"), "alive")
@@ -112,10 +112,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     same = F.col("id").eqNullSafe(F.col("src.id")) & (F.col("mark") == F.col("src.mark"))
     later = later.select("id", "mark", F.when(same, F.greatest("lo", F.col("src.hi") + 1)).otherwise(F.col("lo")).alias("lo"), "hi").where("lo <= hi")
     # a document's own windows, at most two a line
-    cuts = scratch.save(later.groupBy("id", "mark").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "cuts")
+    cuts = scratch.save(later.groupBy(F.col("id").alias("__cut_id"), F.col("mark").alias("__cut_mark")).agg(F.collect_set(F.struct("lo", "hi")).alias("__spans")), "cuts")
     scratch.drop(listed, shared, alive, first)
     # one plan at every size: a small table of cuts would be broadcast and a large one not
-    joined = keyed.join(cuts.hint("merge"), keyed["_id"].eqNullSafe(cuts["id"]) & (keyed["_mark"] == cuts["mark"]), "left")
+    joined = keyed.join(cuts.hint("merge"), F.col("__id").eqNullSafe(F.col("__cut_id")) & (F.col("__mark") == F.col("__cut_mark")), "left")
 
     @F.pandas_udf("text string, removed long")
     def rewrite(texts, spans):
@@ -124,10 +124,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
         done = [(t, 0) if s is None or t is None else erase(t, [(x["lo"], x["hi"]) for x in s]) for t, s in zip(texts, spans)]
         return pd.DataFrame(done, columns=["text", "removed"])
 
-    cut = F.col("spans").isNotNull()
-    joined = joined.withColumn("_new", F.when(cut, rewrite(F.when(cut, F.col(text_col)), F.col("spans"))))
-    joined = joined.withColumn(text_col, F.when(cut, F.col("_new.text")).otherwise(F.col(text_col)))
-    return joined.select(*docs.columns, F.coalesce("_new.removed", F.lit(0)).cast("long").alias("lines_removed"))
+    cut = F.col("__spans").isNotNull()
+    joined = joined.withColumn("__new", F.when(cut, rewrite(F.when(cut, F.col(text_col)), F.col("__spans"))))
+    joined = joined.withColumn(text_col, F.when(cut, F.col("__new.text")).otherwise(F.col(text_col)))
+    given = [c for c in docs.columns if c != "lines_removed"]
+    return joined.select(*given, F.coalesce("__new.removed", F.lit(0)).cast("long").alias("lines_removed"))
 
 
 _WINDOWS = "id long, mark long, lo int, hi int, w long, low int, f long"

@@ -13,6 +13,8 @@ MAX_EPOCHS = 3
 RANGE_DIGITS = 3
 #: A mixture names its sources one by one; more distinct ones than this is a wrong column, not a mixture.
 MAX_SOURCES = 100_000
+#: Columns that the mixture adds; columns of these names in the input are replaced.
+ADDED = ("size", "source_size", "target", "taken")
 
 
 def water_fill(sizes: list[int], weights: list[float], cap: float, total: float) -> list[float]:
@@ -42,41 +44,42 @@ def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD_PATTERN)).cast("long")
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     source = F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit(""))  # never null: null is its own source
-    added = {"size": size, "_key": key, "_source": source, "_range": F.substring(key, 1, RANGE_DIGITS)}
+    added = {"__size": size, "__key": key, "__source": source, "__range": F.substring(key, 1, RANGE_DIGITS), "__id": F.col(id_col)}
     rows = docs.withColumns(added)
-    ranges = docs.select(*[c.alias(n) for n, c in added.items()]).groupBy("_source", "_range").agg(F.sum("size").alias("n"))
-    totals = [(r["_source"], r["n"]) for r in ranges.groupBy("_source").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()]
+    ranges = docs.select(*[c.alias(n) for n, c in added.items()]).groupBy("__source", "__range").agg(F.sum("__size").alias("__n"))
+    totals = [(r["__source"], r["n"]) for r in ranges.groupBy("__source").agg(F.sum("__n").alias("n")).limit(MAX_SOURCES + 1).collect()]
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"over {MAX_SOURCES} sources: {source_col} does not name the parts of a mixture")
     totals.sort(key=lambda x: (x[0] == "", x[0].encode()))
     sizes = [n for _, n in totals]
     targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(sizes))], max_epochs, sum(sizes))
-    plan = spark.createDataFrame([(s, n, t, min(int(t + 0.5), max_epochs * n)) for (s, n), t in zip(totals, targets)], "_s string, source_size long, target double, budget long")
-    before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = ranges.select(F.col("_source").alias("_bs"), F.col("_range").alias("_br"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", id_col, "size").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_upto", F.sum("size").over(inside))
-    rows = rows.join(bases, (F.col("_source") == F.col("_bs")) & (F.col("_range") == F.col("_br")))
+    plan = spark.createDataFrame([(s, n, t, min(int(t + 0.5), max_epochs * n)) for (s, n), t in zip(totals, targets)], "__s string, __total long, __target double, __budget long")
+    before = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranges.select(F.col("__source").alias("__bs"), F.col("__range").alias("__br"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__source", "__range").orderBy("__key", "__id", "__size").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("__upto", F.sum("__size").over(inside))
+    rows = rows.join(bases, (F.col("__source") == F.col("__bs")) & (F.col("__range") == F.col("__br")))
     # one row per source, at most MAX_SOURCES of them
-    rows = rows.join(F.broadcast(plan), F.col("_source") == F.col("_s"))
-    start = F.col("_base") + F.col("_upto") - F.col("size")
-    whole = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
-    rest = F.when(F.col("source_size") > 0, F.col("budget") % F.col("source_size")).otherwise(F.lit(0))
-    taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
-    return rows.withColumn("taken", taken.cast("long")).select(*docs.columns, "size", "source_size", "target", "taken")
+    rows = rows.join(F.broadcast(plan), F.col("__source") == F.col("__s"))
+    start = F.col("__base") + F.col("__upto") - F.col("__size")
+    whole = F.when(F.col("__total") > 0, F.expr("__budget div __total")).otherwise(F.lit(0))
+    rest = F.when(F.col("__total") > 0, F.col("__budget") % F.col("__total")).otherwise(F.lit(0))
+    taken = whole * F.col("__size") + F.greatest(F.lit(0), F.least(F.col("__size"), rest - start))
+    given = [c for c in docs.columns if c not in ADDED]
+    return rows.select(*given, F.col("__size").alias("size"), F.col("__total").alias("source_size"), F.col("__target").alias("target"), taken.cast("long").alias("taken"))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """The mixture itself: each row as often as the mix takes it, the crossing document cut after its last taken word.
 
-    Needs columns doc_id, text, lang, source, n_chars; returns the same ones.
+    Needs columns doc_id, text, source and n_chars; returns the columns it is given.
     """
     columns = docs.columns
-    out = mix(spark, docs, **how).where("taken > 0")
+    out = mix(spark, docs.select(*[F.col(c).alias(f"__c_{c}") for c in columns]), id_col="__c_doc_id", text_col="__c_text", source_col="__c_source", **how).where("taken > 0")
     whole, part = F.expr("taken div size"), F.expr("taken % size")
     copies = F.concat(F.array_repeat(F.col("size"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<long>")))
-    out = out.withColumn("_words", F.explode(copies))
-    out = out.withColumn("text", F.when(F.col("_words") < F.col("size"), _first_words(F.col("text"), F.col("_words"))).otherwise(F.col("text")))
+    out = out.select(*[F.col(f"__c_{c}").alias(c) for c in columns], F.col("size").alias("__size"), F.explode(copies).alias("__words"))
+    out = out.withColumn("text", F.when(F.col("__words") < F.col("__size"), _first_words(F.col("text"), F.col("__words"))).otherwise(F.col("text")))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
