@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import estate, market, retrieval, study  # noqa: F401  they register their queries
+from . import coverage, estate, market, retrieval, study  # noqa: F401  they register their queries
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
