@@ -82,7 +82,12 @@ def slugify(x: Column | str) -> Column:
 
 def count_matches(x: Column | str, terms: Sequence[str]) -> Column:
     """Whole-word occurrences of any term, case aside."""
-    return F.regexp_count(F.lower(col(x)), F.lit(r"\b(?:" + "|".join(terms) + r")\b"))
+    return F.regexp_count(F.lower(col(x)), F.lit(whole_words(terms)))
+
+
+def whole_words(terms: Sequence[str]) -> str:
+    """Pattern of any term between characters other than ASCII letters, digits and underscores."""
+    return "(?<![A-Za-z0-9_])(?:" + "|".join(terms) + ")(?![A-Za-z0-9_])"
 
 
 def first_rule(x: Column | str, rules: Mapping[str, Sequence[str]], other: str) -> Column:
