@@ -225,7 +225,7 @@ def sample_filters(spark, d):
     return used.select("slug", "qi", era.alias("era"), ladder.alias("liquidity"))
 
 
-@query("pivot_metrics", """SELECT c_mktsegment AS slug, sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE NULL END) AS urgent, sum(CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE NULL END) AS low
+@query("pivot_metrics", """SELECT c_mktsegment AS slug, CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE NULL END) AS BIGINT) AS urgent, CAST(sum(CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE NULL END) AS BIGINT) AS low
  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def pivot_metrics(spark, d):
     joined = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
