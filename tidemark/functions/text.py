@@ -47,6 +47,16 @@ def shingles(x: Column | str, n: int = 8) -> Column:
     return F.transform(F.array(words(x)), runs)[0]  # binds the words, else every run would cut the text again
 
 
+def shingle_hashes(x: Column | str, n: int = 8) -> Column:
+    """64-bit hashes of the distinct runs of ``n`` words, without building the runs as strings."""
+
+    def runs(w: Column) -> Column:
+        some = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n)))
+        return F.when(F.size(w) >= n, F.array_distinct(some)).otherwise(F.array().cast("array<long>"))
+
+    return F.transform(F.array(words(x)), runs)[0]
+
+
 def query_terms(text: str) -> list[str]:
     """Words of a query without stop words; all of them if nothing else is left."""
     found = [w for w in "".join(c.lower() if c.isalnum() else " " for c in text).split()]

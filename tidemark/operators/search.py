@@ -71,7 +71,7 @@ def retrieval_metrics(ranked: DataFrame, query: str, rank: str, relevant: Column
 
 def boilerplate(docs: DataFrame, id_col: str, text_col: str, n: int = 8, least: int = 10, share: float = 0.5) -> DataFrame:
     """(id, shingles, common, boilerplate): a shingle is common in at least ``least`` documents, a text is boilerplate if ``share`` of its shingles are."""
-    runs = docs.select(F.col(id_col).alias("id"), F.explode(tx.shingles(text_col, n)).alias("s")).select("id", F.xxhash64("s").alias("s"))
+    runs = docs.select(F.col(id_col).alias("id"), F.explode(tx.shingle_hashes(text_col, n)).alias("s"))
     common = runs.groupBy("s").agg(F.count("*").alias("df")).where(F.col("df") >= least).select("s", F.lit(1).alias("c"))
     out = runs.join(common, "s", "left").groupBy("id").agg(F.count("*").alias("shingles"), F.count("c").alias("common"))
     return out.withColumn("boilerplate", F.col("common") >= share * F.col("shingles"))
