@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, Scratch, text_or_empty
+from .common import SPACE_CHARS, Scratch, release_memory, text_or_empty
 
 #: Words that a repeated run must have; a window of consecutive lines is as short as reaches them.
 RUN_WORDS = 50
@@ -101,6 +101,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
                     rows = []
             if rows:
                 yield _batch(pa, rows)
+        release_memory()
 
     keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__mark": F.xxhash64(text_or_empty(text_col))})
     listed = scratch.save(keyed.select("__id", "__mark", text_or_empty(text_col).alias("t")).mapInArrow(run, _WINDOWS), "windows")

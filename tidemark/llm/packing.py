@@ -169,6 +169,7 @@ def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             key, piece, lo, n, crc = zip(*rows) if rows else ((),) * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((key, piece, lo, n, crc), kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        enc.forget()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, release_memory
 from .components import connected_components
 
 BITS = 64
@@ -46,6 +46,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x - (1 << 64) if x >> 63 else x for x in fps], pa.int64())], ["id", "fp"])
+        release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(run, "id long, fp long")
 

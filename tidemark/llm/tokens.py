@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from array import array
 
-from .common import load_tokenizer
+from .common import load_tokenizer, release_memory
 
 #: Pieces a worker remembers; when full it starts anew.
 CACHE_PIECES = 500_000
@@ -49,6 +49,12 @@ class Pieces(dict):
         self[piece] = ids
         return ids
 
+    def forget(self) -> None:
+        """Drops what was remembered, so that an idle worker holds no cache through later stages."""
+        self.clear()
+        self.parts.clear()
+        release_memory()
+
     def _cut(self, piece: str) -> list[str]:
         """What the pattern cuts a piece into; letters with at most one mark behind them need no pattern."""
         if piece.isalpha():

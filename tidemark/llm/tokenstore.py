@@ -169,6 +169,7 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "
                     rows, size = [], 0
             if rows:
                 yield _rows(pa, rows)
+        enc.forget()
 
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")).repartitionByRange("id").sortWithinPartitions("id")
     listed = scratch.save(ordered.mapInArrow(tokenize, "part int, start long, id long, n int, ids binary"), "ids")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import release_memory, text_or_empty
 
 NGRAMS = (3, 4, 5, 6)
 BUCKET_BITS = 18
@@ -208,6 +208,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         for b in batches:
             top = np.array([window_logits(t, scalars, bias).max() for t in b.column(1).to_pylist()], dtype=np.float64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-top.clip(-60, 60))))], ["id", "score"])
+        release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")).mapInArrow(run, "id long, score double")
 
