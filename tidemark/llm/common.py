@@ -23,12 +23,17 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+_OWN_ROOT: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where the session names none (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOT:
+            _OWN_ROOT[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        root = _OWN_ROOT[app]
     return root.rstrip("/")
 
 
