@@ -125,8 +125,8 @@ def place(spark: SparkSession, items: DataFrame, cap: Capacity = Capacity()) ->
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = tally.select("length", "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
     ranked = items.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_part").orderBy(*[c for c in items.columns if c not in ("length", "_part")])) - 1)
-    # one row per length and part, at most SEQUENCE_TOKENS * RANK_PARTS
-    ranked = ranked.join(F.broadcast(bases), ["length", "_part"])
+    # both sides are dealt by (length, part) already, so nothing has to be broadcast
+    ranked = ranked.join(bases.hint("merge"), ["length", "_part"])
 
     @F.pandas_udf("sequence_id long, offset long")
     def find(length, rank):
