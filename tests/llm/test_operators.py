@@ -480,3 +480,26 @@ def test_neighbors_against_all_pairs(spark):
         assert (got[i]["n_links"], got[i]["component_id"]) == (int(linked[k].sum()), root.get(i, i)), i
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in (300, 301, 302, 303, 304, 305))
     assert neighbors.op2(spark, df.where("false")).count() == 0
+
+
+def test_neighbors_thin_bridges(spark, monkeypatch):
+    """Pairs of dense groups that one or a few links join, with every other neighbour of those rows nearer."""
+    monkeypatch.setattr(neighbors, "TABLES", 4)  # so that no start happens to put all bridges side by side
+    rng = np.random.default_rng(0)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = []
+    for _ in range(40):
+        a, b = unit(rng.normal(size=(2, 64)))
+        c = 0.82 * a + (1 - 0.82**2) ** 0.5 * unit(b - a * (a @ b))
+        for this, that in ((a, c), (c, a)):
+            x += [unit(0.75 * this + 0.25 * that), *unit(this + 0.012 * rng.normal(size=(59, 64)))]
+    u = np.array(x, dtype=np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(u)]
+    u = unit(u.astype(np.float64))
+    linked = u @ u.T >= 0.9
+    np.fill_diagonal(linked, False)
+    root = union_find(list(zip(*(k.tolist() for k in np.nonzero(linked)))))
+    assert len(set(root.values())) == 40
+    got = {r["vec_id"]: r for r in neighbors.op2(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert {i: r["component_id"] for i, r in got.items()} == root
+    assert [got[i]["n_links"] for i in range(len(rows))] == linked.sum(axis=1).tolist()

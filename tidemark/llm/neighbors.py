@@ -3,8 +3,9 @@
 Equal vectors are one class first. A random-projection start gives every class some neighbours; rounds of
 neighbours-of-neighbours joins refine the lists until they settle. Pairs at or above the threshold link.
 A list full of links is saturated: its node's list then grows to its whole linked component, which is compared
-in blocks, so link counts are exact inside components. An audit against all rows measures what was missed
-and adds another start until the recall is met.
+in blocks, so link counts are exact inside components, and further starts give every node ``LIST`` more places
+that only rows of other components take, until no start links two components. An audit against all rows
+measures what was missed and adds starts until the recall is met.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ ROUNDS = 8
 BLOCK = 512
 AUDIT_QUERIES = 512
 AUDIT_RECALL = 0.995
-AUDIT_STARTS = 4
+STARTS = 12
 
 
 def _unit(vectors: list[bytes], kind: str):
@@ -84,11 +85,20 @@ def _classes(scratch: Scratch, vectors: DataFrame, id_col: str, vector_col: str)
     return rows, scratch.save(grouped.mapInArrow(pack, "k1 long, k2 long, id long, copies long, vec binary"), "classes"), kind
 
 
-def start_pairs(classes: DataFrame, kind: str, tables: int, seed: int, floor: float, reach: int = REACH) -> DataFrame:
+def _component(df: DataFrame, id_col: str, labels: DataFrame | None, name: str = "comp") -> DataFrame:
+    """``df`` with the component of ``id_col``; an id without links is its own."""
+    if labels is None:
+        return df.withColumn(name, F.col(id_col))
+    named = labels.select(F.col("node").alias("_node"), F.col("component").alias("_c"))
+    return df.join(named, F.col(id_col) == F.col("_node"), "left").withColumn(name, F.coalesce("_c", id_col)).drop("_node", "_c")
+
+
+def start_pairs(classes: DataFrame, kind: str, tables: int, seed: int, floor: float, reach: int = REACH, labels: DataFrame | None = None) -> DataFrame:
     """(a, b, sim) at or above ``floor`` among rows that stand close in random-projection order.
 
     Each table sorts all rows by the signs of random projections, ties by a hash, and compares each row with
-    the next ``reach`` rows; the work is linear however many rows share their signs.
+    the ``reach`` rows before its run of rows of one component (without ``labels``, before itself); pairs inside
+    a component are left out. The work is linear however many rows share their signs.
     """
 
     def codes(batches: Iterator) -> Iterator:
@@ -103,36 +113,43 @@ def start_pairs(classes: DataFrame, kind: str, tables: int, seed: int, floor: fl
                     planes = np.random.default_rng([seed, t, int(d)]).normal(size=(int(d), 40))
                     mine = dims == d
                     code[mine] = ((x[mine, :d] @ planes) > 0) @ (1 << np.arange(40, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(dims), pa.array(code), b.column(0), b.column(1)], ["t", "d", "code", "id", "vec"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(dims), pa.array(code), *b.columns], ["t", "d", "code", "id", "vec", "comp"])
 
     def near(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        tail: tuple = ()
+        held: tuple = ()
         for b in batches:
-            ids, marks = b.column(3).to_numpy(zero_copy_only=False), np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], axis=1)
+            keys = np.stack([b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1, 5, 3)], axis=1)
             x, _ = _unit(b.column(4).to_pylist(), kind)
-            if tail and tail[2].shape[1] == x.shape[1]:
-                ids, marks, x = np.concatenate((tail[0], ids)), np.concatenate((tail[1], marks)), np.concatenate((tail[2], x))
-                fresh = len(tail[0])
-            else:
-                fresh = 0
+            fresh = 0
+            if held:
+                wide = max(held[1].shape[1], x.shape[1])
+                x = np.concatenate([np.pad(m, ((0, 0), (0, wide - m.shape[1]))) for m in (held[1], x)])
+                keys, fresh = np.concatenate((held[0], keys)), len(held[0])
+            if not len(keys):
+                continue
+            begins = np.concatenate(([True], (keys[1:, :3] != keys[:-1, :3]).any(axis=1)))
+            run = np.maximum.accumulate(np.where(begins, np.arange(len(keys)), 0))
             found = []
-            for w in range(1, min(reach, len(ids) - 1) + 1):
-                lo = max(0, fresh - w)
-                sim = np.einsum("ij,ij->i", x[lo:-w], x[lo + w :])
-                ok = np.flatnonzero((sim >= floor) & (marks[lo:-w] == marks[lo + w :]).all(axis=1))
-                found.append(np.stack((np.minimum(ids[lo + ok], ids[lo + ok + w]), np.maximum(ids[lo + ok], ids[lo + ok + w])), axis=1))
-                found.append(sim[ok])
-            if found:
-                pairs, sims = np.concatenate(found[0::2]), np.concatenate(found[1::2])
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(sims)], ["a", "b", "sim"])
-            tail = (ids[-reach:], marks[-reach:], x[-reach:])
-
-    rows = classes.select("id", "vec").mapInArrow(codes, "t int, d long, code long, id long, vec binary")
+            for w in range(1, reach + 1):
+                i = fresh + np.flatnonzero(run[fresh:] >= w)
+                j = run[i] - w
+                ok = (keys[i, :2] == keys[j, :2]).all(axis=1) & (keys[i, 2] != keys[j, 2])
+                i, j = i[ok], j[ok]
+                sim = np.einsum("ij,ij->i", x[i], x[j])
+                ok = sim >= floor
+                found.append((keys[i[ok], 3], keys[j[ok], 3], sim[ok]))
+            i, j, sim = (np.concatenate(c) for c in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j)), pa.array(sim)], ["a", "b", "sim"])
+            last = run[-1]
+            keep = np.r_[max(0, last - reach) : last, max(last, len(keys) - reach) : len(keys)]
+            held = keys[keep], x[keep]
+
+    rows = _component(classes.select("id", "vec"), "id", labels).mapInArrow(codes, "t int, d long, code long, id long, vec binary, comp long")
     rows = rows.withColumn("tie", F.xxhash64("t", "id", F.lit(seed)))
-    rows = rows.repartitionByRange("t", "d", "code", "tie").sortWithinPartitions("t", "d", "code", "tie").select("t", "d", "code", "id", "vec")
+    rows = rows.repartitionByRange("t", "d", "code", "tie").sortWithinPartitions("t", "d", "code", "tie").select("t", "d", "code", "id", "vec", "comp")
     return _best(rows.mapInArrow(near, "a long, b long, sim double"))
 
 
@@ -147,22 +164,32 @@ def _lists(pairs: DataFrame, size: int) -> DataFrame:
     return both.withColumn("_r", place).where(F.col("_r") <= size).drop("_r")
 
 
-def descend(lists: DataFrame, classes: DataFrame, kind: str, floor: float, size: int) -> DataFrame:
-    """(a, b, sim) among the neighbours of each node: those in its list and ``size`` of those that list it."""
-    listed = Window.partitionBy("id").orderBy(F.xxhash64("id", "nbr"))
+def _around(lists: DataFrame, size: int, turn: int) -> DataFrame:
+    """(id, nbr): listed neighbours and ``size`` of those that list the id, others in each turn."""
+    listed = Window.partitionBy("id").orderBy(F.xxhash64("id", "nbr", F.lit(turn)))
     back = lists.select(F.col("nbr").alias("id"), F.col("id").alias("nbr")).withColumn("_r", F.row_number().over(listed)).where(F.col("_r") <= size).drop("_r")
-    around = lists.select("id", "nbr").unionByName(back).distinct()
-    members = around.join(classes.select(F.col("id").alias("nbr"), "vec"), "nbr").select("id", "nbr", "vec")
+    return lists.select("id", "nbr").unionByName(back)
+
+
+def descend(lists: DataFrame, classes: DataFrame, kind: str, floor: float, size: int, turn: int = 0, own: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
+    """(a, b, sim) among the neighbours of each node: those in its list and ``size`` of those that list it.
+
+    With ``labels`` ``own`` has as many neighbours again, and only pairs of different components are returned.
+    """
+    around = _around(lists, size, turn)
+    if own is not None:
+        around = around.unionByName(_around(own, size, turn)).unionByName(lists.select("id", F.col("id").alias("nbr")))
+    members = _component(around.distinct(), "nbr", labels).join(classes.select(F.col("id").alias("nbr"), "vec"), "nbr").select("id", "nbr", "vec", "comp")
 
     def join(rows: list[tuple]) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         if len(rows) > 1:
-            ids = np.array([r[1] for r in rows])
+            ids, comps = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
             x, dims = _unit([r[2] for r in rows], kind)
             sim = x @ x.T
-            i, j = np.nonzero(np.triu(sim >= floor, 1) & (dims[:, None] == dims[None]))
+            i, j = np.nonzero(np.triu(sim >= floor, 1) & (dims[:, None] == dims[None]) & (comps[:, None] != comps[None]))
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(sim[i, j])], ["a", "b", "sim"])
 
@@ -239,35 +266,50 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     """
     scratch = Scratch(spark, "neighbors")
     rows, classes, kind = _classes(scratch, vectors, id_col, vector_col)
-    floor, links = min(FLOOR, threshold), []
-    for start in range(AUDIT_STARTS):
-        pairs = scratch.save(start_pairs(classes, kind, TABLES, seed + start, floor), "start")
+    floor, links, own, labels = min(FLOOR, threshold), [], None, None
+    for start in range(STARTS):
+        pairs = scratch.save(start_pairs(classes, kind, TABLES, seed + start, floor, labels=labels), "start")
         links.append(scratch.save(pairs.where(F.col("sim") >= threshold).select("a", "b"), "links"))
         lists = scratch.save(_lists(pairs, LIST), "lists")
         scratch.drop(pairs)
-        before = _mark(lists)
-        for _ in range(ROUNDS):
+        before, joined = _mark(lists), not links[-1].isEmpty()
+        for turn in range(ROUNDS):
             if not before[0]:
                 break
-            found = scratch.save(descend(lists, classes, kind, floor, LIST), "found")
+            found = scratch.save(descend(lists, classes, kind, floor, LIST, turn, own, labels), "found")
             links.append(scratch.save(found.where(F.col("sim") >= threshold).select("a", "b"), "links"))
             known = lists.where("id < nbr").select(F.col("id").alias("a"), F.col("nbr").alias("b"), "sim").unionByName(lists.where("id > nbr").select(F.col("nbr").alias("a"), F.col("id").alias("b"), "sim"))
             after = scratch.save(_lists(_best(known.unionByName(found)), LIST), "lists")
             scratch.drop(lists, found)
+            joined |= not links[-1].isEmpty()
             lists, settled = after, _mark(after)
             done = abs(settled[1] - before[1]) <= 0.001 * settled[1] and settled[0] - before[0] <= 0.001 * settled[0]
             before = settled
             if done:
                 break
-        scratch.drop(lists)
-        everything = reduce(DataFrame.unionByName, links).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        trees, held = connected_components(spark, everything)
-        roots = trees.select(F.col("component").alias("node")).distinct().withColumn("component", F.col("node"))
-        labels = scratch.save(trees.unionByName(roots), "labels")
-        held.drop_all()
+        if own is None:
+            own = lists
+        else:
+            scratch.drop(lists)
+        if joined or labels is None:
+            everything = reduce(DataFrame.unionByName, links).select(F.col("a").alias("u"), F.col("b").alias("v"))
+            trees, held = connected_components(spark, everything)
+            roots = trees.select(F.col("component").alias("node")).distinct().withColumn("component", F.col("node"))
+            if labels is not None:
+                scratch.drop(labels)
+            labels = scratch.save(trees.unionByName(roots), "labels")
+            held.drop_all()
+            # Lists of more links than they have places may hide a link to another component.
+            saturated = not labels.groupBy("component").count().where(F.col("count") > LIST).isEmpty()
+            if saturated and start + 1 < STARTS:
+                continue
         counts = scratch.save(complete(classes, labels, kind, threshold), "counts")
         if audit(classes, counts, kind, threshold, seed) >= AUDIT_RECALL:
             break
+        if start + 1 < STARTS:
+            scratch.drop(counts)
+    if own is not None:
+        scratch.drop(own)
     scratch.drop(*links)
     known = classes.select("k1", "k2", "id", "copies").join(labels, F.col("id") == F.col("node"), "left").join(counts, "id", "left")
     known = scratch.save(known.select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component")), "known")
