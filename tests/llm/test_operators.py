@@ -503,3 +503,14 @@ def test_neighbors_thin_bridges(spark, monkeypatch):
     got = {r["vec_id"]: r for r in neighbors.op2(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
     assert {i: r["component_id"] for i, r in got.items()} == root
     assert [got[i]["n_links"] for i in range(len(rows))] == linked.sum(axis=1).tolist()
+
+
+def test_audit_sees_small_groups(spark):
+    """A large group with all its links found doesn't hide pairs that were missed."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 64)).astype(np.float32)
+    x[100:200] = x[:100] + 0.05 * rng.normal(size=(100, 64))
+    x[200:] = x[200] + 0.01 * rng.normal(size=(200, 64))
+    classes = spark.createDataFrame([(i, 1, bytearray(v.tobytes())) for i, v in enumerate(x)], "id long, copies long, vec binary")
+    counts = spark.createDataFrame([(i, 199) for i in range(200, 400)] + [(0, 1), (100, 1)], "id long, n long")
+    assert neighbors.audit(classes, counts, "<f4", 0.9, 7) == [(1, 200, pytest.approx(0.01)), (128, 200, 1.0)]

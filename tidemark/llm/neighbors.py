@@ -5,11 +5,14 @@ neighbours-of-neighbours joins refine the lists until they settle. Pairs at or a
 A list full of links is saturated: its node's list then grows to its whole linked component, which is compared
 in blocks, so link counts are exact inside components, and further starts give every node ``LIST`` more places
 that only rows of other components take, until no start links two components. An audit against all rows
-measures what was missed and adds starts until the recall is met.
+measures what was missed, by number of links, and adds starts until the recall is met; if it never is, a
+warning tells the recall.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -28,6 +31,7 @@ TABLES = 24
 REACH = 10
 ROUNDS = 8
 BLOCK = 512
+#: The audit compares so many classes with all rows, or four times the root of the number of classes if that is more.
 AUDIT_QUERIES = 512
 AUDIT_RECALL = 0.995
 STARTS = 12
@@ -230,11 +234,16 @@ def complete(classes: DataFrame, labels: DataFrame, kind: str, threshold: float)
     return dealt.mapInArrow(lambda batches: _groups(batches, 3, compare), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def audit(classes: DataFrame, counts: DataFrame, kind: str, threshold: float, seed: int) -> float:
-    """Share of the links of ``AUDIT_QUERIES`` hash-chosen classes, found by comparing them with all rows, that ``counts`` has."""
-    queries = classes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(AUDIT_QUERIES).select("id", "vec").collect()
+def audit(classes: DataFrame, counts: DataFrame, kind: str, threshold: float, seed: int) -> list[tuple[int, int, float]]:
+    """(least links, queries, recall) of hash-chosen classes by their number of links, in powers of two.
+
+    Each query is compared with all rows; a class of queries has the mean of its queries' shares of links that
+    ``counts`` has, so a large group of copies can't outweigh the small ones.
+    """
+    many = max(AUDIT_QUERIES, math.ceil(4 * math.sqrt(classes.count())))
+    queries = classes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(many).select("id", "vec").collect()
     if not queries:
-        return 1.0
+        return []
     keys, vectors = [q["id"] for q in queries], [bytes(q["vec"]) for q in queries]
 
     def brute(batches: Iterator) -> Iterator:
@@ -248,13 +257,17 @@ def audit(classes: DataFrame, counts: DataFrame, kind: str, threshold: float, se
             if x.shape[1] != q.shape[1]:
                 wide = max(x.shape[1], q.shape[1])
                 x, q = (np.pad(m, ((0, 0), (0, wide - m.shape[1]))) for m in (x, q))
-            linked = (q @ x.T >= threshold) & (qd[:, None] == xd[None]) & (mine[:, None] != b.column(0).to_numpy()[None])
-            total += linked @ b.column(1).to_numpy()
+            ids, copies = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for lo in range(0, len(keys), BLOCK):
+                part = slice(lo, lo + BLOCK)
+                linked = (q[part] @ x.T >= threshold) & (qd[part, None] == xd[None]) & (mine[part, None] != ids[None])
+                total[part] += linked @ copies
         yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(total)], ["id", "want"])
 
     want = classes.select("id", "copies", "vec").mapInArrow(brute, "id long, want long").groupBy("id").agg(F.sum("want").alias("want"))
-    got = want.join(counts, "id", "left").agg(F.sum("want"), F.sum(F.least("want", F.coalesce("n", F.lit(0))))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+    share = F.least("want", F.coalesce("n", F.lit(0))) / F.col("want")
+    by = want.where("want > 0").join(counts, "id", "left").groupBy(F.floor(F.log2("want")).alias("k")).agg(F.count("*").alias("queries"), F.avg(share).alias("recall"))
+    return sorted((1 << r["k"], r["queries"], r["recall"]) for r in by.collect())
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, seed: int = 7) -> DataFrame:
@@ -304,10 +317,14 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
             if saturated and start + 1 < STARTS:
                 continue
         counts = scratch.save(complete(classes, labels, kind, threshold), "counts")
-        if audit(classes, counts, kind, threshold, seed) >= AUDIT_RECALL:
+        recall = audit(classes, counts, kind, threshold, seed + start)
+        if all(r >= AUDIT_RECALL for _, _, r in recall):
             break
         if start + 1 < STARTS:
             scratch.drop(counts)
+    else:
+        told = ", ".join(f"{r:.4f} of {q} vectors with {n} to {2 * n - 1} links" for n, q, r in recall)
+        warnings.warn(f"recall of links is under {AUDIT_RECALL} after {STARTS} starts: {told}", stacklevel=2)
     if own is not None:
         scratch.drop(own)
     scratch.drop(*links)
