@@ -151,3 +151,30 @@ def test_entry(spark):
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.oracle_sql()) <= set(entry.queries()) and entry.entry(spark).count() > 0
     assert math.isfinite(len(entry.queries()))
+
+
+def test_mmr_over_whole_groups(spark, sf_dir):
+    import numpy as np
+
+    from tidemark.operators import search
+    from tidemark.plans import registry
+
+    def brute(rows, k):
+        rows = sorted(rows)
+        x = np.array([v for _, _, v in rows], dtype=float)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        s, chosen = np.array([r[1] for r in rows], dtype=float), []
+        while len(chosen) < min(k, len(rows)):
+            gain = 0.5 * s - 0.5 * ((x @ x[chosen].T).max(axis=1) if chosen else 0.0)
+            gain[chosen] = -np.inf
+            chosen.append(int(np.argmax(gain)))
+        return [rows[i][0] for i in chosen]
+
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    groups = {}
+    for r in e:
+        groups.setdefault(r["label"], []).append((r["vec_id"], r["embedding"][0], list(r["embedding"])))
+    want = {(g, key, n) for g, rows in groups.items() for n, key in enumerate(brute(rows, 3), 1)}
+    assert {(r["label"], r["vec_id"], r["pick"]) for r in registry.QUERIES["mmr_sentences"](spark, sf_dir).collect()} == want
+    small = spark.createDataFrame([(None, 1, 0.5, [1.0, 0.0]), (None, 2, 0.5, [1.0, 0.0]), ("a", 3, 0.1, [0.0, 0.0])], "g string, k int, s double, v array<double>")
+    assert sorted(map(tuple, search.greedy_mmr(small, "g", "k", "s", "v", 3).collect()), key=str) == [("a", 3, 1), (None, 1, 1), (None, 2, 2)]

@@ -137,25 +137,31 @@ def cap_floods(hits: DataFrame, order: str, concept: str, company: str, concept_
 
 
 def greedy_mmr(sentences: DataFrame, group: str, key: str, score: str, vector: str, k: int, weight: float = 0.5) -> DataFrame:
-    """(group, key, pick): maximal marginal relevance within each document's sentences."""
-
-    def select(keys: tuple, rows):
-        import numpy as np
-        import pandas as pd
-
-        rows = rows.sort_values(key)
-        x = np.array([list(v) for v in rows[vector]], dtype=float)
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        s, chosen = rows[score].to_numpy(float), []
-        while len(chosen) < min(k, len(rows)):
-            near = (x @ x[chosen].T).max(axis=1) if chosen else np.zeros(len(rows))
-            gain = weight * s - (1 - weight) * near
-            gain[chosen] = -np.inf
-            chosen.append(int(np.argmax(gain)))
-        return pd.DataFrame({group: keys[0], key: rows[key].to_numpy()[chosen], "pick": range(1, len(chosen) + 1)})
-
-    types = {f.name: f.dataType.simpleString() for f in sentences.schema.fields}
-    return sentences.groupBy(group).applyInPandas(select, f"`{group}` {types[group]}, `{key}` {types[key]}, pick int")
+    """(group, key, pick): maximal marginal relevance within each document's sentences, ties by the smaller key.
+
+    Each pick is one pass that leaves a row per group, so a group may be of any size. Keys are unique in a group;
+    rows without a vector or score are no candidates.
+    """
+    v = F.col("_v")
+    norm = F.greatest(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)), F.lit(1e-12))
+    rows = sentences.select(F.col(group).alias("_g"), F.col(key).alias("_key"), F.col(score).cast("double").alias("_s"), F.col(vector).cast("array<double>").alias("_v"))
+    rows = rows.where("_v is not null and _s is not null").withColumn("_n", norm).select("_g", "_key", "_s", F.transform(v, lambda x: x / F.col("_n")).alias("_v"))
+    best = F.min(F.when(~F.col("_taken"), F.struct((-F.col("_gain")).alias("loss"), F.col("_key").alias("key"), F.col("_v").alias("v"))))
+    picks = None
+    for _ in range(k):
+        if picks is None:
+            near, taken, seen = F.lit(0.0), F.lit(False), rows
+        else:
+            seen = rows.join(picks.withColumnRenamed("_g", "_h"), F.col("_g").eqNullSafe(F.col("_h")))
+            dot = lambda p: F.aggregate(F.zip_with(v, p["v"], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+            near, taken = F.array_max(F.transform("_picks", dot)), F.exists("_picks", lambda p: p["key"] == F.col("_key"))
+        seen = seen.withColumns({"_gain": weight * F.col("_s") - (1 - weight) * near, "_taken": taken})
+        before = [] if picks is None else [F.any_value("_picks").alias("_picks")]
+        found = seen.groupBy("_g").agg(best.alias("_best"), *before)
+        one = F.when(F.col("_best").isNotNull(), F.array("_best")).otherwise(F.slice(F.array("_best"), 1, 0))
+        picks = found.select("_g", (one if not before else F.concat("_picks", one)).alias("_picks"))
+    out = picks.select("_g", F.posexplode("_picks").alias("_at", "_p"))
+    return out.select(F.col("_g").alias(group), F.col("_p.key").alias(key), (F.col("_at") + 1).alias("pick"))
 
 
 def expand_query(text: str, synonyms: Mapping[str, Sequence[str]], weight: float = 0.5) -> dict[str, float]:
