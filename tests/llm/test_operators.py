@@ -406,6 +406,37 @@ def test_nested_secrets_map_back(wrap):
     assert text[lo:hi].strip() and set(text[lo:hi]) <= set(wrap(SECRET)) and 9 <= lo < hi <= len(text) - 6
 
 
+def b64(raw):
+    return base64.b64encode(raw).decode()
+
+
+@pytest.mark.parametrize(
+    "written",
+    [
+        *[b64(f"{odd}{SECRET}{odd}".encode()) for odd in ("\u00a0", "\ufeff", "a\u200db", "\f", "\x1b[0m")],
+        b64(b"\xff\x00\x80" + SECRET.encode() + b"\xe9"),
+        *[prefix + b64(SECRET.encode()) for prefix in ("v1/files/", "data_", "x-", "a/bb/ccc_")],
+        "data_" + b64(gzip.compress(SECRET.encode())),
+        *[brk.join(re.findall(".{1,64}", b64(zlib.compress(" ".join(map(str, range(200))).encode() + SECRET.encode())))) for brk in ("\n", "\r\n", "\\n", "\n> ")],
+        b64(gzip.compress(b"first member, ") + gzip.compress(SECRET.encode())),
+        b64(gzip.compress(gzip.compress(SECRET.encode()))),
+    ],
+)
+def test_layers_are_scanned_whole(written):
+    text = f"before {written} after"
+    base, spans = secrets.find_secrets(text)
+    assert base == [] and {k for _, _, k in spans} == {"assign"}
+    assert all(7 <= lo < hi <= len(text) - 6 for lo, hi, _ in spans)
+
+
+def test_large_layers_are_scanned_to_their_end(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 1 << 12)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 8)
+    for at in (100, 4090, 4096, 50_000):
+        text = b64(gzip.compress(("\u00e9 " * 40_000)[:at].encode() + SECRET.encode() + b" tail" * 9000))
+        assert [k for _, _, k in secrets.find_secrets(text)[1]] == ["assign"]
+
+
 def brute_secrets(text):
     out = [(m.start(), 0, m.end(), "assign") for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 12]
     out += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
