@@ -477,6 +477,20 @@ def test_html_odd(spark):
     assert run(html.op9, spark, df.where("false")) == []
 
 
+def test_html_marked_wrappers():
+    prose = [f"Paragraph {i} of the article, which goes on, and on, for some time." for i in range(6)]
+    article, want = "".join(f"<p>{p}</p>" for p in prose), "\n".join(prose)
+    note = "<p>A short note, at the side of the page.</p>"
+    for wrap in ("<form id='aspnetForm'>{}</form>", "<div class='layout-sidebar-right'>{}</div>", "<div class='elementor-widget'><div>{}</div></div>", "<section id='main-header'>{}</section>", "<form id='f'><div class='page-widget'>{}</div></form>"):
+        inner = wrap.format(article)
+        assert html.main_text(f"<body>{inner}</body>") == want, wrap
+        assert html.main_text(f"<body><nav><p>{want}</p></nav>{inner}<div class='sidebar'>{note}</div></body>") == want, wrap
+    assert html.main_text(f"<body><div>{article}</div><div class='widget'>{note}</div><form>{note}</form></body>") == want
+    assert html.main_text(f"<body><div>{article}</div><div id='comments'>{article * 3}</div></body>") == want
+    assert html.main_text(f"<body><div id='comments'>{article}</div></body>") == want
+    assert html.main_text(f"<body><div style='display:none'>{article}</div></body>") == ""
+
+
 def test_html_query(spark, sf_dir):
     from html import unescape
 

@@ -1,7 +1,9 @@
 """Main text of web pages by tree scoring.
 
 Paragraphs pass points for their length and commas to their ancestors, each ancestor's sum is discounted by
-its share of link text, and the best container stays with those siblings that score as text too.
+its share of link text, and the best container stays with those siblings that score as text too. Forms and
+elements with the marks of boilerplate take no part unless they hold most of the page's paragraph text, or
+next to nothing is left without them.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations widget widgets toolbar pagination pager skip".split()
 )
+#: Of these, what marks content of readers and notices, which may be longer than the article.
+NEVER_MOST = frozenset("ad ads adv advert adverts advertisement advertising adsense cookie cookies consent gdpr newsletter comment comments commentlist disqus respond reply replies".split())
+#: Text is next to nothing under this share of the page's paragraph text.
+TINY = 0.1
 #: A class such as "with-sidebar" tells about an element's surroundings.
 _ABOUT = ("with-", "has-", "no-", "without-", "with_", "has_", "no_", "without_")
 _WORD = re.compile(r"[a-z]+")
@@ -50,28 +56,28 @@ _TEXT_HOLDERS = BLOCK - HEADINGS - {"html", "head", "ul", "ol", "table", "tr", "
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "marked", "role", "text", "link", "points")
+    __slots__ = ("tag", "parent", "items", "marked", "hidden", "other", "role", "text", "link", "points")
 
-    def __init__(self, tag: str, parent: Node | None, marked: bool = False, role: str = ""):
-        self.tag, self.parent, self.items, self.marked, self.role = tag, parent, [], marked, role
+    def __init__(self, tag: str, parent: Node | None, marked: bool = False, hidden: bool = False, other: bool = False, role: str = ""):
+        self.tag, self.parent, self.items, self.marked, self.hidden, self.other, self.role = tag, parent, [], marked, hidden, other, role
         self.text = self.link = 0
         self.points = 0.0
 
 
-def _attributes(raw: str) -> tuple[bool, str]:
-    """(whether the attributes mark boilerplate or hidden content, role)."""
+def _attributes(raw: str) -> tuple[bool, bool, bool, str]:
+    """(whether the attributes mark boilerplate or hidden content, hidden content, content of readers and notices; role)."""
     if "=" not in raw and "hidden" not in raw:
-        return False, ""
-    marked, role = False, ""
+        return False, False, False, ""
+    words, hidden, role = set(), False, ""
     for name, value in _ATTR.findall(raw):
         name, value = name.lower(), unescape(value.strip("\"'")).lower()
         if name in ("class", "id"):
-            marked |= any(not item.startswith(_ABOUT) and not MARKS.isdisjoint(_WORD.findall(item)) for item in value.split())
+            words.update(w for item in value.split() if not item.startswith(_ABOUT) for w in _WORD.findall(item))
         elif name == "role":
             role = value.strip()
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            marked = True
-    return marked or role in ROLES, role
+            hidden = True
+    return hidden or not MARKS.isdisjoint(words) or role in ROLES, hidden, not NEVER_MOST.isdisjoint(words), role
 
 
 def parse(html: str) -> list[Node]:
@@ -144,12 +150,51 @@ def _skipped(node: Node) -> bool:
     return False
 
 
+def _mild(node: Node) -> bool:
+    """Whether only a mark, a role, or being a form or header speaks against an element."""
+    return not node.hidden and (node.tag == "form" or node.tag not in BOILERPLATE)
+
+
+def _paragraph_text(nodes: list[Node]) -> dict[int, int]:
+    """Characters of paragraphs, without links, in each element that something may be read from."""
+    own: dict[int, int] = {}
+    out: set[int] = set()
+    for n in nodes[1:]:
+        if id(n.parent) in out or n.tag == "a" or not _mild(n):
+            out.add(id(n))
+            continue
+        block = n
+        while block.tag not in BLOCK and block.parent is not None:
+            block = block.parent
+        if block.tag in _TEXT_HOLDERS:
+            own[id(block)] = own.get(id(block), 0) + sum(len(x.strip()) for x in n.items if isinstance(x, str))
+    total = {k: size if size >= 25 else 0 for k, size in own.items()}
+    for n in reversed(nodes[1:]):
+        total[id(n.parent)] = total.get(id(n.parent), 0) + total.get(id(n), 0)
+    return total
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the article joined by \\n, in page order; empty if the page has no text."""
     nodes = parse(html or "")
+    doubtful = [n for n in nodes[1:] if _skipped(n) and _mild(n)]
+    if not doubtful:
+        return _best_text(nodes, set())
+    held = _paragraph_text(nodes)
+    page = held.get(id(nodes[0]), 0)
+    most = {id(n) for n in doubtful if not n.other and 2 * held.get(id(n), 0) > page}
+    text = _best_text(nodes, most)
+    if len(text) < TINY * page or not text:
+        again = _best_text(parse(html or ""), None)
+        text = max(text, again, key=len)
+    return text
+
+
+def _best_text(nodes: list[Node], spared: set[int] | None) -> str:
+    """Text of the best container; ``spared`` elements aren't skipped, None spares all that nothing but a mark speaks against."""
     dead: set[int] = set()
     for n in nodes[1:]:
-        if id(n.parent) in dead or _skipped(n):
+        if id(n.parent) in dead or _skipped(n) and not (_mild(n) if spared is None else id(n) in spared):
             dead.add(id(n))
     alive = [n for n in nodes if id(n) not in dead]
     links: set[int] = set()
