@@ -32,10 +32,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id (one of the rows that repeat it)."""
-    groups = simhash.simhash_groups(spark, docs)
-    keep = groups.where("id = component").select("id").distinct()
-    return docs.join(keep, docs["doc_id"] == keep["id"], "left_semi").dropDuplicates(["doc_id"])
+    """One row of each SimHash group stays: the one with the smallest doc_id, null ids last, then the smallest hash of its columns."""
+    return simhash.representatives(spark, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,3 +56,13 @@ def test_run_and_empty(spark, sf_dir, tmp_path):
     for _, f in cp.STAGES:
         out = f(spark, empty, sf_dir)
         assert out.count() == 0
+
+
+def test_near_copies_by_row(spark):
+    """Null and repeated ids: every group of near copies keeps one row, whatever the ids are."""
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    texts = [(None, 1), (None, 2), (None, 2), (5, 3), (5, 4), (5, 4), (7, 4), (3, 3), (None, 4), (None, 5), (9, 5)]
+    df = spark.createDataFrame([(i, words(k), "en", "s", 1) for i, k in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    out = dict(cp.STAGES)["simhash_near_dedup"](spark, df, "")
+    assert out.columns == df.columns
+    assert sorted((r["text"], r["doc_id"] or 0) for r in out.collect()) == [(words(1), 0), (words(2), 0), (words(3), 3), (words(4), 5), (words(5), 9)]

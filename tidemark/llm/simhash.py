@@ -37,18 +37,18 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
 _ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp long) of every row; null texts count as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, also: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp long and the long columns ``also``) of every row; null texts count as empty."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x - (1 << 64) if x >> 63 else x for x in fps], pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x - (1 << 64) if x >> 63 else x for x in fps], pa.int64()), *b.columns[2:]], ["id", "fp", *also])
         release_memory()
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(run, "id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *also).mapInArrow(run, ", ".join(f"{c} long" for c in ("id", "fp", *also)))
 
 
 def segments(parts: int) -> list[tuple[int, int]]:
@@ -121,6 +121,24 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     return prints.join(comp, "fp").select("id", "fp", "component")
 
 
+def representatives(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of each group of rows whose fingerprints link, decided for each row whatever its id.
+
+    The row with the smallest id stays, null ids last, and among equal ids the one with the smallest hash of its columns.
+    """
+    scratch = Scratch(spark, "simhash")
+    cells = [c for name in docs.columns for c in (F.col(f"`{name}`"), F.col(f"`{name}`").isNull())]  # hashes pass over nulls
+    keys = {"_h1": F.xxhash64(*cells), "_h2": F.xxhash64(F.lit("second"), *cells)}
+    prints = scratch.save(fingerprints(docs.withColumns(keys), id_col, text_col, shingle, tuple(keys)), "prints")
+    classes = scratch.save(prints.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_h1", "_h2")).alias("first")), "classes")
+    pairs = ring_links(classes.select("fp"), max_bits)
+    labels, _ = connected_components(spark, pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    named = classes.join(labels, classes["fp"] == labels["node"], "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+    first = named.select(F.col("first.id").alias("_id"), F.col("first._h1").alias("_k1"), F.col("first._h2").alias("_k2"))
+    own = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_h1") == F.col("_k1")) & (F.col("_h2") == F.col("_k2"))
+    return docs.withColumns(keys).join(first, own, "left_semi").dropDuplicates(["_h1", "_h2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op8(spark: SparkSession, docs: DataFrame) -> DataFrame:
     groups = simhash_groups(spark, docs)
     return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
