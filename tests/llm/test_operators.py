@@ -527,9 +527,8 @@ def test_neighbors_against_all_pairs(spark):
     assert neighbors.op2(spark, df.where("false")).count() == 0
 
 
-def test_neighbors_thin_bridges(spark, monkeypatch):
+def test_neighbors_thin_bridges(spark):
     """Pairs of dense groups that one or a few links join, with every other neighbour of those rows nearer."""
-    monkeypatch.setattr(neighbors, "TABLES", 4)  # so that no start happens to put all bridges side by side
     rng = np.random.default_rng(0)
     unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
     x = []
