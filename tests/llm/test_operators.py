@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import gzip
 import hashlib
 import re
@@ -57,9 +58,9 @@ def bare(t):
 # exact dedup
 
 
-@pytest.mark.parametrize("limit", [exact.BROADCAST_GROUPS, 0])
-def test_exact(spark, odd, clash, none, monkeypatch, limit):
-    monkeypatch.setattr(exact, "BROADCAST_GROUPS", limit)
+@pytest.mark.parametrize("words", [common.FILTER_WORDS, 1])
+def test_exact(spark, odd, clash, none, monkeypatch, words):
+    monkeypatch.setattr(common, "FILTER_WORDS", words)
     out = run(exact.op4, spark, odd)
     assert len(out) == len(ROWS) and sorted(map(str, out)) == sorted(map(str, run(exact.op4, spark, clash)))
     by_text = defaultdict(list)
@@ -229,8 +230,15 @@ def test_lines_overlap_keeps_first(spark):
 # tokens, files, packing
 
 
+@functools.cache
+def untouched():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(common.tokenizer_path())
+
+
 def reference_ids(text):
-    return common.load_tokenizer(common.tokenizer_path()).encode(text, add_special_tokens=False).ids
+    return untouched().encode(text, add_special_tokens=False).ids
 
 
 def test_encoder_matches_library():
@@ -238,7 +246,7 @@ def test_encoder_matches_library():
 
     rng, enc = random.Random(5), tokens.encoder(common.tokenizer_path())
     letters = "ab'sé \n\t  .,!1²<|>_　日Z  "
-    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + [t or "" for t in TEXTS]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + [t or "" for t in TEXTS] + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>  y", "<|endoftext |>"]
     assert all(enc.encode(t) == array("I", reference_ids(t)).tobytes() for t in texts)
 
 
@@ -349,12 +357,41 @@ def test_packing(spark, sf_dir, odd, clash, none, docs):
 # mixing
 
 
-def test_water_fill():
-    assert mixing.water_fill([10, 10, 10], [5, 2, 1], 3, 30) == pytest.approx([18.75, 7.5, 3.75])
-    got = mixing.water_fill([1, 100, 50], [5, 2, 1], 3, 151)
-    assert got[0] == 3 and sum(got) == pytest.approx(151) and got[1] == pytest.approx(2 * got[2])
-    assert mixing.water_fill([0, 0], [5, 2], 3, 0) == [0, 0]
-    assert mixing.water_fill([], [], 3, 0) == []
+def plain_targets(sizes, weights, cap):
+    """Shares by weight, filled by hand until none is above its cap."""
+    rest, free, out = float(sum(sizes)), list(range(len(sizes))), [0.0] * len(sizes)
+    while free:
+        level = rest / sum(weights[i] for i in free)
+        over = [i for i in free if cap * sizes[i] < weights[i] * level]
+        for i in over or free:
+            out[i] = cap * sizes[i] if over else weights[i] * level
+        rest -= sum(out[i] for i in over)
+        free = [i for i in free if i not in over] if over else []
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 50], [0, 0], [], [3, 1, 4, 1, 5, 9, 2, 6, 5000, 0, 7]])
+def test_source_targets(spark, sizes):
+    rows = [(f"s{i:03}", n, 1) for i, n in enumerate(sizes)]
+    got = mixing.source_targets(common.Scratch(spark, "test"), spark.createDataFrame(rows, "__source string, n long, rows long"), (5, 2, 1), 3)
+    want = plain_targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))], 3)
+    assert [r["target"] for r in got.orderBy("__source").collect()] == pytest.approx(want)
+
+
+def test_mixing_many_sources(spark):
+    """More sources than may be hot, one of them with a third of all rows, and rows that repeat an id."""
+    rows = [(i, " ".join(["w"] * (i % 7)), f"p{i % 1500}") for i in range(3000)] + [(3000 + i // 2, "a b c", "big") for i in range(1500)]
+    out = run(mixing.op10, spark, spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    names, size = sorted({s for *_, s in rows}), Counter()
+    for _, t, s in rows:
+        size[s] += len(t.split())
+    target = dict(zip(names, plain_targets([size[s] for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))], 3)))
+    source, taken = {i: s for i, _, s in rows}, Counter()
+    for r in out:
+        s = source[r["doc_id"]]
+        taken[s] += r["taken"]
+        assert r["source_size"] == size[s] and r["target"] == pytest.approx(target[s]) and r["taken"] <= 3 * r["size"]
+    assert len(out) == len(rows) and all(abs(taken[s] - target[s]) <= 0.5 + 1e-6 for s in names)
 
 
 def test_mixing_odd(spark, odd, clash, none):
@@ -380,6 +417,8 @@ def test_mixed_documents_hold_what_was_taken(spark, odd):
     mixed = mixing.mixed_documents(spark, odd)
     words = sum(len(re.findall(common.WORD_PATTERN, r["text"])) for r in mixed.collect())
     assert mixed.columns == odd.columns and words == sum(r["taken"] for r in run(mixing.op10, spark, odd))
+    whole = {t for _, t, *_ in ROWS if t}
+    assert all(any(t.startswith(r["text"]) for t in whole) for r in mixed.collect())  # a cut keeps line breaks
 
 
 # secrets

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +28,11 @@ _OWN_ROOT: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where the session names none (tests)."""
+    """The shared folder the cluster names; a local one only where the session names none and all runs in one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_ROOT:
             _OWN_ROOT[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
@@ -63,8 +66,9 @@ class Scratch:
             if path:
                 remove(self.spark, path)
 
-    def drop_all(self) -> None:
-        self.drop(*[df for _, df in self.paths.values()])
+    def drop_all(self, *, but: tuple = ()) -> None:
+        """Removes all tables except those in ``but``."""
+        self.drop(*[df for _, df in self.paths.values() if not any(df is x for x in but)])
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -73,6 +77,52 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Words of 64 bits in a key filter, however many keys it holds: under 20 MB when broadcast.
+FILTER_WORDS = 1 << 19
+#: A key is hot with over one in so many rows, so there are never more hot keys than this.
+HOT_SHARE = 1024
+
+
+def key_filter(keys: DataFrame, *names: str) -> DataFrame:
+    """(word, bits): one bit for the hash of each row's ``names``, in at most ``FILTER_WORDS`` rows whatever their number.
+
+    ``held_by`` then tells rows whose key can't be among ``keys`` from those whose key may be. With far more
+    keys than bits it lets everything pass: less is saved, nothing is lost.
+    """
+    h = F.xxhash64(F.lit("filter"), *names)
+    bit = F.expr("shiftleft(1L, cast(_h & 63 as int))")
+    return keys.select(h.alias("_h")).groupBy(F.pmod(F.shiftrightunsigned("_h", 6), F.lit(FILTER_WORDS)).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def held_by(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """``rows`` with boolean _maybe: false only where the key is surely not in the filter ``keys``."""
+    rows = rows.withColumn("_h", F.xxhash64(F.lit("filter"), *names))
+    rows = rows.withColumn("_at", F.pmod(F.shiftrightunsigned("_h", 6), F.lit(FILTER_WORDS)))
+    # at most FILTER_WORDS rows of two longs
+    rows = rows.join(F.broadcast(keys), F.col("_at") == F.col("_word"), "left")
+    return rows.withColumn("_maybe", F.coalesce(F.expr("(shiftright(_bits, cast(_h & 63 as int)) & 1) = 1"), F.lit(False))).drop("_h", "_at", "_word", "_bits")
+
+
+def join_by_key(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, how: str = "left") -> DataFrame:
+    """``rows`` joined (left or inner) with ``groups``, which has one row a key and its number of rows in ``size``.
+
+    The hot keys, those with over one in ``HOT_SHARE`` of all ``total`` rows and so never more than that many,
+    are broadcast and their rows stay where they are; the other keys are joined by a shuffle, in which none has
+    more rows than that share. Null keys match nothing and aren't shuffled. ``rows`` is read once for each part.
+    """
+    hot = groups.where(F.col(size) * HOT_SHARE > total)
+    cold = groups.where(F.col(size) * HOT_SHARE <= total)
+    some = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    # at most HOT_SHARE rows are broadcast
+    spread = rows.join(F.broadcast(hot), keys, "inner")
+    dealt = rows.where(some).join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold.hint("merge"), keys, how)
+    out = spread.unionByName(dealt)
+    if how == "left":
+        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in groups.schema if f.name not in keys]
+        out = out.unionByName(rows.where(~some).select(*rows.columns, *extra))
+    return out
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -96,12 +146,10 @@ _TOKENIZERS: dict = {}
 
 
 def load_tokenizer(path: str):
-    """One tokenizer a Python worker; special-token strings inside a text are ordinary text."""
+    """One tokenizer a Python worker, as the library reads it from its file."""
     if path not in _TOKENIZERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        _TOKENIZERS[path] = t
+        _TOKENIZERS[path] = Tokenizer.from_file(path)
     return _TOKENIZERS[path]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, join_by_key
 
 
 def connected_components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> tuple[DataFrame, Scratch]:
@@ -13,8 +13,8 @@ def connected_components(spark: SparkSession, edges: DataFrame, max_rounds: int
 
     ``edges`` has long columns u, v in any orientation; self-loops, repeats and null ends are ignored.
     Returns (node, component) for all nodes but the components' own smallest, and the scratch that holds it.
-    Each round groups with partial aggregation and joins on the node, so a hub's edges stay spread (the
-    join's hub partition can be split); the forest after each round is written to the shared folder.
+    Each round groups with partial aggregation and joins on the node; hubs, at most ``HOT_SHARE`` of them, are
+    joined by broadcast, so their edges stay spread. The forest after each round is written to the shared folder.
     """
     scratch = Scratch(spark, "cc")
     u, v = F.col("u"), F.col("v")
@@ -26,11 +26,11 @@ def connected_components(spark: SparkSession, edges: DataFrame, max_rounds: int
         if mark[0] == 0:
             break
         both = forest.unionByName(forest.select(v.alias("u"), u.alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where(v > u).join(low, "u").select(v.alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_by_key(both.where(v > u), low, ["u"], "n", 2 * mark[0], "inner").select(v.alias("u"), F.col("m").alias("v")).distinct()
         large = scratch.save(large, "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(v.alias("u"), F.col("m").alias("v")).where(u != v)
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_by_key(large, least, ["u"], "n", large.count(), "inner").select(v.alias("u"), F.col("m").alias("v")).where(u != v)
         after = scratch.save(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "forest")
         scratch.drop(forest, large)
         forest, before, mark = after, mark, _mark(after)

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, Scratch, text_or_empty
+from .common import SPACE_CHARS, Scratch, held_by, join_by_key, key_filter, text_or_empty
 
 PREFIX_CHARS = 64
-#: Candidate groups, 16 bytes each, that may be broadcast to the second scan; beyond it every row is hashed in the scan.
-BROADCAST_GROUPS = 500_000
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False) -> DataFrame:
@@ -17,31 +15,31 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
 
     Texts are equal when identical without white space; null counts as empty. Of equal texts the row with the
     most code points, then the smallest id, stays; rows that repeat an id and text share one verdict and each
-    count in group_size. Three refinements, each over what the one before left:
-    length of the stripped text; a hash of its first 64 characters; SHA-256 of all of it. Only surviving
-    groups reach the full hash. Texts never enter a shuffle: the second scan recognises survivors by their
-    candidate group, which is broadcast only below ``BROADCAST_GROUPS`` (above it most rows survive anyway
-    and the scan hashes all). Groups are aggregated before the shuffle, so a hot group is one row per task.
+    count in group_size. An empty table gives no rows.
+
+    Three refinements, each over what the one before left: length of the stripped text; a hash of its first 64
+    characters; SHA-256 of all of it. Texts never enter a shuffle: the second scan recognises survivors by a
+    filter of fixed size over the candidate groups, and hashes only those (a few that pass it by chance form
+    groups of one). Groups are aggregated before the shuffle, so a hot group is one row per task there, and hot
+    groups are joined to their rows by broadcast.
     """
     scratch = Scratch(spark, "exact")
     text = text_or_empty(text_col)
     bare = F.translate(text, SPACE_CHARS, "")
     rows = docs.select(F.col(id_col).alias("id"), F.length(text).alias("n_chars"), bare.alias("bare"))
     rows = rows.select("id", "n_chars", F.length("bare").alias("len"), "bare")
-    light = scratch.save(rows.select("len", F.xxhash64(F.substring("bare", 1, PREFIX_CHARS)).alias("prefix")).groupBy("len", "prefix").count(), "prefixes")
+    prefix = F.xxhash64(F.substring("bare", 1, PREFIX_CHARS)).alias("prefix")
+    light = scratch.save(rows.select("len", prefix).groupBy("len", "prefix").count(), "prefixes")
     by_length = light.groupBy("len").agg(F.sum("count").alias("n")).where("n > 1").select("len")
-    candidates = scratch.save(light.join(by_length, "len", "left_semi").where("count > 1").select("len", "prefix", F.lit(True).alias("alive")), "candidates")
-    if candidates.count() <= BROADCAST_GROUPS:
-        known = rows.withColumn("prefix", F.xxhash64(F.substring("bare", 1, PREFIX_CHARS))).join(F.broadcast(candidates), ["len", "prefix"], "left")
-        alive = F.col("alive").isNotNull()
-    else:
-        known, alive = rows, F.lit(True)
+    candidates = light.where("count > 1").join(by_length, "len", "left_semi")
+    alive = scratch.save(key_filter(candidates, "len", "prefix"), "candidates")
+    known = held_by(rows.select("id", "n_chars", "len", prefix, "bare"), alive, "len", "prefix").withColumnRenamed("_maybe", "alive")
     digest = F.unhex(F.sha2(F.col("bare").cast("binary"), 256))
-    known = known.withColumn("alive", alive)
     hashed = scratch.save(known.select("id", "n_chars", "alive", (digest if digest_all else F.when(F.col("alive"), digest)).alias("sha")), "hashed")
     best = F.max_by(F.col("id"), F.struct(F.col("n_chars"), -F.col("id")))
     groups = scratch.save(hashed.where("alive").groupBy("sha").agg(best.alias("keep"), F.count("*").alias("size")).where("size > 1"), "groups")
-    out = hashed.join(groups, "sha", "left")
+    scratch.drop(light, alive)
+    out = join_by_key(hashed, groups, ["sha"], "size", hashed.count())
     keep = F.coalesce("keep", "id")
     return out.select("id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), F.coalesce(F.col("id") == keep, F.lit(True)).alias("kept"), "sha")
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, Scratch, release_memory, text_or_empty
+from .common import SPACE_CHARS, Scratch, held_by, join_by_key, key_filter, release_memory, text_or_empty
 
 #: Words that a repeated run must have; a window of consecutive lines is as short as reaches them.
 RUN_WORDS = 50
@@ -26,40 +27,57 @@ def text_lines(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def windows(lines: list[tuple[int, int, int]], run_words: int = RUN_WORDS) -> list[tuple[int, int, int, int, int]]:
-    """(first line, last line, hash of the window, place and hash of its minimum) of every shortest window.
-
-    Windows grow forward from each line and backward from each line, until they hold ``run_words`` words.
-    Any line of a repeated run with that many words lies in such a window inside the run, so the minimum of
-    a window is a guaranteed fingerprint of the run.
-    """
-    import struct
-
-    import xxhash
-
-    hashes, total = [h for _, h, _ in lines], [0]
-    for _, _, w in lines:
+def _spans(words: list[int], run_words: int) -> list[tuple[int, int]]:
+    """(first line, last line) of every shortest window: forward from each line and backward from each line."""
+    total = [0]
+    for w in words:
         total.append(total[-1] + w)
     spans, end = set(), 0
-    for i in range(len(lines)):
+    for i in range(len(words)):
         end = max(end, i)
-        while end < len(lines) and total[end + 1] - total[i] < run_words:
+        while end < len(words) and total[end + 1] - total[i] < run_words:
             end += 1
-        if end == len(lines):
+        if end == len(words):
             break
         spans.add((i, end))
     begin = 0
-    for j in range(len(lines)):
+    for j in range(len(words)):
         while begin < j and total[j + 1] - total[begin + 1] >= run_words:
             begin += 1
         if total[j + 1] - total[begin] >= run_words:
             spans.add((begin, j))
+    return sorted(spans)
+
+
+def winnow(hashes: list[int], words: list[int], run_words: int = RUN_WORDS) -> list[tuple[int, int, int]]:
+    """(place, first line, last line) of each fingerprint: the minima of all windows, with the lines their windows reach.
+
+    Any line of a repeated run with ``run_words`` words lies in a window inside the run, so a minimum of the run's
+    own lines is a guaranteed fingerprint of it; of equal minima the last counts.
+    """
+    reach: dict[int, list[int]] = {}
+    for i, j in _spans(words, run_words):
+        part = hashes[i : j + 1]
+        at = j - part[::-1].index(min(part))
+        if at in reach:
+            reach[at] = [min(reach[at][0], i), max(reach[at][1], j)]
+        else:
+            reach[at] = [i, j]
+    return sorted((at, lo, hi) for at, (lo, hi) in reach.items())
+
+
+def extensions(at: int, hashes: list[int], words: list[int], run_words: int = RUN_WORDS) -> list[tuple[int, int, int]]:
+    """(first line, last line, hash) of what a fingerprint at ``at`` extends to, both ways, until it has ``run_words`` words."""
+    import struct
+
+    import xxhash
+
     out = []
-    for i, j in sorted(spans):
+    for i, j in _spans(words, run_words):
         part = hashes[i : j + 1]
-        low = min(part)
-        h = xxhash.xxh64_intdigest(struct.pack(f"<{len(part)}q", *part), 11)
-        out.append((i, j, h - (1 << 64) if h >> 63 else h, j - part[::-1].index(low), low))
+        if i <= at <= j and j - part[::-1].index(min(part)) == at:
+            h = xxhash.xxh64_intdigest(struct.pack(f"<{len(part)}q", *part), 11)
+            out.append((i, j, h - (1 << 64) if h >> 63 else h))
     return out
 
 
@@ -79,44 +97,66 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     """``docs`` with ``text_col`` less every later repeated run of lines, and lines_removed (long).
 
     A run is consecutive lines with words (blank lines between don't count) holding at least ``run_words``
-    words; it is later if the same run starts earlier in the order of (id, text hash, line). Lines of the
-    earlier copy itself always stay, also where copies overlap in one text. Null texts stay null. Rows that
-    repeat both id and text count as one document and share the result.
-
-    Windows of each text are listed once, keyed by the window's hash and its winnowed minimum; minima seen at
-    one place only drop out, the rest join the first place of their window (a star, not all pairs), and
-    overlapping windows extend a match both ways. Texts are shuffled once, for the rewriting.
+    words, in this library's definition; it is later if the same run starts earlier in the order of (id, text
+    hash, line). Lines of the earlier copy itself always stay, also where copies overlap in one text. Null texts
+    stay null, empty ones empty. Rows that repeat both id and text count as one document and share the result.
+    An empty table gives no rows.
+
+    Each text is winnowed to its fingerprints, the minima of windows of lines, with the lines around them. Their
+    positions are joined on the fingerprint, and those at one place only drop out. The others extend both ways,
+    line by line until the match has ``run_words`` words; extensions that are equal join the first place where
+    they stand (a star, not all pairs). Overlapping extensions make up the whole of a longer run. Only the texts
+    of rows that may have something to cut are shuffled.
     """
     scratch = Scratch(spark, "lines")
 
-    def run(batches: Iterator) -> Iterator:
+    def fingerprints(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
             rows: list[tuple] = []
             for key, mark, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                rows += [(key, mark, *w) for w in windows(text_lines(text), run_words)]
-                if len(rows) > 50_000:
-                    yield _batch(pa, rows)
+                known = text_lines(text)
+                hashes, words = array("q", [h for _, h, _ in known]), array("q", [w for _, _, w in known])
+                for at, lo, hi in winnow(hashes.tolist(), words.tolist(), run_words):
+                    rows.append((key, mark, hashes[at], at, lo, hashes[lo : hi + 1].tobytes() + words[lo : hi + 1].tobytes()))
+                if len(rows) > 20_000:
+                    yield _batch(pa, rows, _FINGERPRINTS)
                     rows = []
             if rows:
-                yield _batch(pa, rows)
+                yield _batch(pa, rows, _FINGERPRINTS)
         release_memory()
 
+    def extend(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            rows = []
+            for key, mark, at, lo, around in zip(*[c.to_pylist() for c in b.columns]):
+                both = array("q")
+                both.frombytes(around)
+                n = len(both) // 2
+                rows += [(key, mark, lo + i, lo + j, h) for i, j, h in extensions(at - lo, both[:n].tolist(), both[n:].tolist(), run_words)]
+            if rows:
+                yield _batch(pa, rows, _EXTENSIONS)
+
     keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__mark": F.xxhash64(text_or_empty(text_col))})
-    listed = scratch.save(keyed.select("__id", "__mark", text_or_empty(text_col).alias("t")).mapInArrow(run, _WINDOWS), "windows")
-    place = F.struct("id", "mark", "low")
-    shared = scratch.save(listed.groupBy("f").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("f"), "fingerprints")
-    alive = scratch.save(listed.join(shared, "f", "left_semi").select("id", "mark", "lo", "hi", "w"), "alive")
-    first = scratch.save(alive.groupBy("w").agg(F.min(F.struct("id", "mark", "lo", "hi")).alias("src")), "first")
-    later = alive.join(first, "w").where(F.struct("id", "mark", "lo") > F.struct("src.id", "src.mark", "src.lo"))
+    listed = scratch.save(keyed.select("__id", "__mark", text_or_empty(text_col).alias("t")).mapInArrow(fingerprints, _FINGERPRINTS), "fingerprints")
+    place = F.struct("id", "mark", "at")
+    shared = scratch.save(listed.groupBy("f").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n")).where("a != b").select("f", "n"), "shared")
+    alive = join_by_key(listed, shared, ["f"], "n", listed.count(), "inner").select("id", "mark", "at", "lo", "around")
+    matches = scratch.save(alive.mapInArrow(extend, _EXTENSIONS), "extensions")
+    first = matches.groupBy("w").agg(F.min(F.struct("id", "mark", "lo", "hi")).alias("src"), F.count("*").alias("n")).where("n > 1")
+    later = join_by_key(matches, scratch.save(first, "first"), ["w"], "n", matches.count(), "inner").where(F.struct("id", "mark", "lo") > F.struct("src.id", "src.mark", "src.lo"))
     same = F.col("id").eqNullSafe(F.col("src.id")) & (F.col("mark") == F.col("src.mark"))
     later = later.select("id", "mark", F.when(same, F.greatest("lo", F.col("src.hi") + 1)).otherwise(F.col("lo")).alias("lo"), "hi").where("lo <= hi")
-    # a document's own windows, at most two a line
+    # a document's own extensions, at most two a line
     cuts = scratch.save(later.groupBy(F.col("id").alias("__cut_id"), F.col("mark").alias("__cut_mark")).agg(F.collect_set(F.struct("lo", "hi")).alias("__spans")), "cuts")
-    scratch.drop(listed, shared, alive, first)
+    held = scratch.save(key_filter(cuts, "__cut_id", "__cut_mark"), "held")
+    scratch.drop_all(but=(cuts, held))
+    asked = held_by(keyed, held, "__id", "__mark")
     # one plan at every size: a small table of cuts would be broadcast and a large one not
-    joined = keyed.join(cuts.hint("merge"), F.col("__id").eqNullSafe(F.col("__cut_id")) & (F.col("__mark") == F.col("__cut_mark")), "left")
+    joined = asked.where("_maybe").join(cuts.hint("merge"), F.col("__id").eqNullSafe(F.col("__cut_id")) & (F.col("__mark") == F.col("__cut_mark")), "left")
 
     @F.pandas_udf("text string, removed long")
     def rewrite(texts, spans):
@@ -129,16 +169,18 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     joined = joined.withColumn("__new", F.when(cut, rewrite(F.when(cut, F.col(text_col)), F.col("__spans"))))
     joined = joined.withColumn(text_col, F.when(cut, F.col("__new.text")).otherwise(F.col(text_col)))
     given = [c for c in docs.columns if c != "lines_removed"]
-    return joined.select(*given, F.coalesce("__new.removed", F.lit(0)).cast("long").alias("lines_removed"))
+    whole = asked.where("not _maybe").select(*given, F.lit(0).cast("long").alias("lines_removed"))
+    return whole.unionByName(joined.select(*given, F.coalesce("__new.removed", F.lit(0)).cast("long").alias("lines_removed")))
 
 
-_WINDOWS = "id long, mark long, lo int, hi int, w long, low int, f long"
+_FINGERPRINTS = "id long, mark long, f long, at int, lo int, around binary"
+_EXTENSIONS = "id long, mark long, lo int, hi int, w long"
 
 
-def _batch(pa, rows: list[tuple]):
-    ids, marks, lo, hi, w, low, f = zip(*rows)
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((ids, marks, lo, hi, w, low, f), kinds)], ["id", "mark", "lo", "hi", "w", "low", "f"])
+def _batch(pa, rows: list[tuple], schema: str):
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*[c.split() for c in schema.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(zip(*rows), types)], list(names))
 
 
 def op6(spark: SparkSession, docs: DataFrame) -> DataFrame:

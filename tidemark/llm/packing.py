@@ -20,8 +20,8 @@ from .tokens import encoder
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
-#: Parts a length is dealt into for ranking; the table of (length, part) counts has at most SEQUENCE_TOKENS * RANK_PARTS rows.
-RANK_PARTS = 128
+#: Rows of a length that are ranked together, on average: a length is dealt into as many hash parts as its count needs.
+RANK_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -115,12 +115,14 @@ def place(spark: SparkSession, items: DataFrame, cap: Capacity = Capacity()) ->
     """``items`` (a materialised table with column length, 1 to cap.tokens) with sequence_id and offset.
 
     The driver gets one count per length and holds the bin classes, whose number depends on the capacities and
-    not on the rows. Items of one length are ranked in ``RANK_PARTS`` hash parts plus the parts' prefix sums, so
-    a length that holds a third of all rows is spread. Equal rows are separate items.
+    not on the rows. Items of one length are ranked in hash parts of about ``RANK_ROWS`` plus the parts' prefix
+    sums, so a length that holds a third of all rows is spread the wider the more they are. Equal rows are
+    separate items.
     """
-    items = items.withColumn("_part", F.pmod(F.xxhash64(*items.columns), F.lit(RANK_PARTS)).cast("int"))
+    sizes = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    parts = F.array(*[F.lit(1 + sizes.get(n, 0) // RANK_ROWS) for n in range(1, cap.tokens + 1)])
+    items = items.withColumn("_part", F.pmod(F.xxhash64(*items.columns), F.element_at(parts, F.col("length").cast("int"))).cast("long"))
     tally = items.groupBy("length", "_part").agg(F.count("*").alias("n"))
-    sizes = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = slots(pack_histogram(sizes, cap))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = tally.select("length", "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, release_memory
+from .common import Scratch, held_by, join_by_key, key_filter, release_memory
 from .components import connected_components
 
 BITS = 64
@@ -104,39 +104,59 @@ def ring_links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     return probe.join(build, (F.col("k") == F.col("bk")) & keep).select(fp.alias("a"), other.alias("b"))
 
 
+def _components(spark: SparkSession, scratch: Scratch, classes: DataFrame, max_bits: int) -> DataFrame:
+    """``classes`` (one row per fp) with component: the smallest fingerprint reachable over links, itself included."""
+    labels, held = connected_components(spark, ring_links(classes.select("fp"), max_bits).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    out = scratch.save(classes.join(labels, classes["fp"] == labels["node"], "left").select(*classes.columns, F.coalesce("component", "fp").alias("component")), "components")
+    held.drop_all()
+    return out
+
+
 def simhash_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """(id, fp long, component) of every row: component is the smallest id reachable over links, itself included.
 
-    Rows with one fingerprint are one class from the start, so copies are never paired with each other.
+    Rows with one fingerprint are one class from the start, so copies are never paired with each other; what is
+    paired are different fingerprints, of which at most 2,081 can lie within four bits of each other.
     Null and empty texts have fingerprint 0 and link like any other; rows that repeat an id share its result;
-    a null id takes part in its class but never names it. An empty table gives an empty result.
+    a null id takes part in its class and its links but never names it. An empty table gives an empty result.
     """
     scratch = Scratch(spark, "simhash")
     prints = scratch.save(fingerprints(docs, id_col, text_col, shingle), "prints")
-    classes = scratch.save(prints.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
-    pairs = ring_links(classes.select("fp"), max_bits)
-    named = pairs.join(classes.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a").join(classes.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b")
-    labels, _ = connected_components(spark, named.select("u", "v"))
-    comp = classes.join(labels, classes["rep"] == labels["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
-    return prints.join(comp, "fp").select("id", "fp", "component")
+    classes = scratch.save(prints.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
+    linked = _components(spark, scratch, classes, max_bits)
+    named = linked.groupBy("component").agg(F.min("rep").alias("first"), F.count("*").alias("m"))
+    comp = scratch.save(join_by_key(linked, named, ["component"], "m", linked.count(), "inner").select("fp", "n", F.col("first").alias("component")), "named")
+    scratch.drop(classes, linked)
+    return join_by_key(prints, comp, ["fp"], "n", prints.count(), "inner").select("id", "fp", "component")
 
 
 def representatives(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """One row of each group of rows whose fingerprints link, decided for each row whatever its id.
 
-    The row with the smallest id stays, null ids last, and among equal ids the one with the smallest hash of its columns.
+    The row with the smallest id stays, null ids last, and among equal ids the one with the smallest hash of its
+    columns; of rows equal in all columns one stays. Null and empty texts are one group. An empty table gives no
+    rows. Only rows that may have to go are shuffled with their texts; the others are kept where they are read.
     """
     scratch = Scratch(spark, "simhash")
     cells = [c for name in docs.columns for c in (F.col(f"`{name}`"), F.col(f"`{name}`").isNull())]  # hashes pass over nulls
     keys = {"_h1": F.xxhash64(*cells), "_h2": F.xxhash64(F.lit("second"), *cells)}
-    prints = scratch.save(fingerprints(docs.withColumns(keys), id_col, text_col, shingle, tuple(keys)), "prints")
-    classes = scratch.save(prints.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_h1", "_h2")).alias("first")), "classes")
-    pairs = ring_links(classes.select("fp"), max_bits)
-    labels, _ = connected_components(spark, pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = classes.join(labels, classes["fp"] == labels["node"], "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
-    first = named.select(F.col("first.id").alias("_id"), F.col("first._h1").alias("_k1"), F.col("first._h2").alias("_k2"))
-    own = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_h1") == F.col("_k1")) & (F.col("_h2") == F.col("_k2"))
-    return docs.withColumns(keys).join(first, own, "left_semi").dropDuplicates(["_h1", "_h2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.withColumns(keys)
+    prints = scratch.save(fingerprints(keyed, id_col, text_col, shingle, tuple(keys)), "prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_h1", "_h2")).alias("first")
+    classes = scratch.save(prints.groupBy("fp").agg(first, F.count("*").alias("n")), "classes")
+    linked = _components(spark, scratch, classes, max_bits)
+    groups = linked.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("rows"), F.count("*").alias("m")).where("rows > 1")
+    comp = join_by_key(linked, groups, ["component"], "m", linked.count(), "inner").select("fp", "n", F.col("first._h1").alias("_k1"), F.col("first._h2").alias("_k2"))
+    shared = join_by_key(prints.select("fp", "_h1", "_h2"), scratch.save(comp, "shared"), ["fp"], "n", prints.count(), "inner")
+    own = (F.col("_h1") == F.col("_k1")) & (F.col("_h2") == F.col("_k2"))
+    shared = scratch.save(shared.groupBy("_h1", "_h2").agg(F.max(own).alias("first"), F.count("*").alias("copies")), "rows")
+    going = shared.where("not first or copies > 1").select("_h1", "_h2", "first")
+    asked = held_by(keyed, scratch.save(key_filter(going, "_h1", "_h2"), "going"), "_h1", "_h2")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    asked_for = asked.where("_maybe").dropDuplicates(["_h1", "_h2"])
+    stays = asked_for.join(going.where("not first").select("_h1", "_h2").hint("merge"), ["_h1", "_h2"], "left_anti")
+    scratch.drop(prints, classes, linked)
+    return asked.where("not _maybe").select(*names).unionByName(stays.select(*names))
 
 
 def op8(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -3,11 +3,14 @@
 The library's own pipeline spends several microseconds on every word, seen before or not. Here a text is cut
 before single spaces, where no token of this kind of pre-tokenizer can reach across, and a worker remembers
 the ids of pieces. A new piece is cut by the tokenizer's own pattern and each part merged by the library's
-BPE model. Texts with white space in which a token may span the cut go through the library whole.
+BPE model. Texts with white space in which a token may span the cut, texts that hold an added token of the
+tokenizer, and all texts of a tokenizer of another kind go through the library whole. So the ids are those of
+the library's own encoding of the whole text, without the tokens that it would add around it.
 """
 
 from __future__ import annotations
 
+import json
 from array import array
 
 from .common import load_tokenizer, release_memory
@@ -15,11 +18,20 @@ from .common import load_tokenizer, release_memory
 #: Pieces a worker remembers; when full it starts anew.
 CACHE_PIECES = 500_000
 _MARKS = frozenset(".,;:!?")
-#: The pre-tokenizer's pattern, and white space other than space and \n.
+#: The pattern of the library's byte-level pre-tokenizer, and white space other than space and \n.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER_SPACES = "\t\r\x0b\x0c\x85\xa0                　"
 
 
+def _byte_level(path: str) -> bool:
+    """Whether the tokenizer in the file is plain byte-level BPE that cuts by ``PATTERN``."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    return spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and model.get("type") == "BPE" and plain
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable letter that byte-level BPE writes for each byte: itself where printable, else the next free one from 256."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -35,6 +47,7 @@ class Pieces(dict):
 
         self.tokenizer, self.parts, self.letters = load_tokenizer(path), {}, _byte_letters()
         self.merge, self.cut = self.tokenizer.model.tokenize, regex.compile(PATTERN).findall
+        self.pieced, self.added = _byte_level(path), [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
@@ -70,7 +83,7 @@ class Pieces(dict):
 
     def encode(self, text: str) -> bytes:
         head, *rest = text.split(" ")
-        if "" in rest or "\n " in text or " \n" in text or "\n\n" == head[:2] or (not text.isascii() or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text) and any(c in text for c in OTHER_SPACES):
+        if not self.pieced or any(a in text for a in self.added) or "" in rest or "\n " in text or " \n" in text or "\n\n" == head[:2] or (not text.isascii() or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text) and any(c in text for c in OTHER_SPACES):
             return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
         return (self["\n\n" + head] if head else b"") + b"".join(map(self.__getitem__, rest))
 

@@ -4,9 +4,9 @@ A store is a folder with ``codebook`` (one row: code length of every id) and ``b
 document order, one binary block each, inside Parquet so that any Hadoop file system holds it and a retried
 task never leaves half a file). A block, little-endian:
 
-    magic "TMB1", u32 documents, u32 tokens, u32 stride, u64 tokens before the block,
+    magic "TMB2", u32 documents, u32 tokens, u32 stride, u64 tokens before the block,
     i64 id of each document, u8 whether it has an id, u32 tokens of each document,
-    u32 bit offset of every stride-th token, then the codes, most significant bit first.
+    u64 bit offset of every stride-th token, then the codes, most significant bit first.
 """
 
 from __future__ import annotations
@@ -109,9 +109,9 @@ def encode_block(docs: list[tuple[int | None, object]], before: int, codes, leng
     sizes = np.array([len(x) for _, x in docs], dtype="<u4")
     ids = np.concatenate([x for _, x in docs]) if docs else np.zeros(0, np.uint32)
     stream, at = pack_bits(ids, codes, lengths)
-    head = _HEAD.pack(b"TMB1", len(docs), len(ids), STRIDE, before)
+    head = _HEAD.pack(b"TMB2", len(docs), len(ids), STRIDE, before)
     keys = np.array([k or 0 for k, _ in docs], dtype="<i8").tobytes() + bytes(k is not None for k, _ in docs)
-    return head + keys + sizes.tobytes() + at[::STRIDE].astype("<u4").tobytes() + stream
+    return head + keys + sizes.tobytes() + at[::STRIDE].astype("<u8").tobytes() + stream
 
 
 def decode_block(block: bytes, table) -> Iterator[tuple[int | None, int, object]]:
@@ -119,15 +119,15 @@ def decode_block(block: bytes, table) -> Iterator[tuple[int | None, int, object]
     import numpy as np
 
     magic, docs, tokens, stride, start = _HEAD.unpack_from(block)
-    if magic != b"TMB1":
+    if magic != b"TMB2":
         raise ValueError("not a token block")
     at = _HEAD.size
     keys = np.frombuffer(block, "<i8", docs, at)
     known = np.frombuffer(block, "u1", docs, at + 8 * docs)
     sizes = np.frombuffer(block, "<u4", docs, at + 9 * docs).astype(np.int64)
     lanes = -(-tokens // stride)
-    pos = np.frombuffer(block, "<u4", lanes, at + 13 * docs).astype(np.int64)
-    raw = np.frombuffer(block, "u1", offset=at + 13 * docs + 4 * lanes)
+    pos = np.frombuffer(block, "<u8", lanes, at + 13 * docs).astype(np.int64)
+    raw = np.frombuffer(block, "u1", offset=at + 13 * docs + 8 * lanes)
     raw = np.concatenate((raw, np.zeros(stride * 2 + 8, np.uint8))).astype(np.uint32)
     peek = (raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:]
     symbol, bits = table
@@ -146,7 +146,8 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "
 
     Texts are range-partitioned by id once and their ids written to the shared folder; counts, partition totals
     and the encoding read that table. The driver sees one count per vocabulary id and one total per partition.
-    Rows that repeat an id are documents of their own, side by side.
+    Rows that repeat an id are documents of their own, side by side in the order of their texts' hash; an empty
+    table gives an empty store.
     """
     import numpy as np
 
@@ -171,7 +172,7 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "
                 yield _rows(pa, rows)
         enc.forget()
 
-    ordered = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")).repartitionByRange("id").sortWithinPartitions("id")
+    ordered = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")).withColumn("h", F.xxhash64("t")).repartitionByRange("id", "h").sortWithinPartitions("id", "h")
     listed = scratch.save(ordered.mapInArrow(tokenize, "part int, start long, id long, n int, ids binary"), "ids")
     kind = "<u2" if _small(encoder(model)) else "<u4"
 
