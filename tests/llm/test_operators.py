@@ -530,6 +530,38 @@ def test_html_marked_wrappers():
     assert html.main_text(f"<body><div style='display:none'>{article}</div></body>") == ""
 
 
+def test_html_without_article_tag():
+    prose = [f"Paragraph {i} of the story, which goes on, and on, for quite some time." for i in range(6)]
+    p = "".join(f"<p>{x}</p>" for x in prose)
+    menu = "<ul><li><a href=1>Home</a></li><li><a href=2>News</a></li><li><a href=3>Sport</a></li></ul>"
+    sources = "<ul><li><a href=a>First source</a></li><li><a href=b>Second source</a></li></ul>"
+    side = "<div>" + "".join(f"<p><a href={i}>Another story that you may want to read, number {i}</a></p>" for i in range(9)) + "</div>"
+    want = "\n".join(prose)
+    page = f"<body><div>{menu}</div><h1>Site</h1><div class='wrap'><div id='story'>{p}</div>{side}</div><div>Imprint</div></body>"
+    assert html.main_text(page) == want
+    # siblings: a second text container and a heading of the best one stay, a linked one and a footnote don't
+    halves = f"<body><div class='wrap'><h2>Title</h2><div>{p}</div>{side}<div>{p}</div><div>Tiny.</div></div></body>"
+    assert html.main_text(halves) == f"Title\n{want}\n{want}"
+    # a list of sources behind the text stays, a menu before it goes
+    assert html.main_text(f"<body><div>{menu}{p}{sources}</div></body>") == want + "\nFirst source\nSecond source"
+    assert html.main_text(f"<article>{sources}{p}</article>") == "First source\nSecond source\n" + want
+    # a mark lowers a score, it doesn't delete what has the text
+    assert html.main_text(f"<body><div class='share-prices'>{p}</div><p>tail</p></body>") == want + "\ntail"
+    assert html.main_text(f"<body><div>{p}<div class='share'>Share this, like this, and tell your friends.</div></div></body>") == want
+    # parts of an article: no part is lost for being short
+    parts = f"<article><header><h1>Title</h1><p>By someone.</p></header><section><p>Intro.</p></section><section>{p}</section></article>"
+    assert html.main_text(f"<body>{menu}{parts}{side}</body>") == f"Title\nIntro.\n{want}"
+
+
+@pytest.mark.parametrize("page", ["<div>x</i>" * 100_000, "<a \"" * 250_000, "<a b='" * 160_000, "<div></p>" * 110_000, "<" * 1_000_000, "<!--" * 250_000, "<a " + "=" * 1_000_000, "<p>word, word" * 80_000, "<ul><li>" * 125_000, "<script>" * 125_000])
+def test_html_hostile_pages(page):
+    import time
+
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 20  # linear: 1 MB takes a second or two on an idle machine
+
+
 def test_html_query(spark, sf_dir):
     from html import unescape
 

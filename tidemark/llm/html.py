@@ -1,9 +1,9 @@
 """Main text of web pages by tree scoring.
 
-Paragraphs pass points for their length and commas to their ancestors, each ancestor's sum is discounted by
-its share of link text, and the best container stays with those siblings that score as text too. Forms and
-elements with the marks of boilerplate take no part unless they hold most of the page's paragraph text, or
-next to nothing is left without them.
+Paragraphs pass points for their length and commas to their ancestors, half to each further one; an ancestor's
+sum is discounted by its share of link text and by marks of boilerplate, and raised where the element is made for
+main text. The best container stays, with those siblings that score as text too. All passes over a page are
+linear in its length, however it is nested or broken.
 """
 
 from __future__ import annotations
@@ -14,11 +14,10 @@ from html import unescape
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>",
-    re.S,
-)
-_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTR_NAME = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)\s*(=?)\s*")
+_BARE_VALUE = re.compile(r"[^\s>]*")
+_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 # What HTML defines about elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,7 +27,10 @@ BLOCK = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that never hold the article.
-BOILERPLATE = frozenset("nav footer aside form script style title textarea noscript template iframe svg math object select button head dialog menu search".split())
+BOILERPLATE = frozenset("nav footer aside button dialog menu search".split())
+#: Elements that hold no text of a page at all, and those whose content is no markup.
+MARKUP = frozenset("script style title textarea noscript template iframe svg math object select head".split())
+TEXT_ONLY = frozenset("script style title textarea noscript iframe".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 #: Words in a class or id that mark an element as something else than the article.
 MARKS = frozenset(
@@ -38,6 +40,12 @@ MARKS = frozenset(
 NEVER_MOST = frozenset("ad ads adv advert adverts advertisement advertising adsense cookie cookies consent gdpr newsletter comment comments commentlist disqus respond reply replies".split())
 #: Text is next to nothing under this share of the page's paragraph text.
 TINY = 0.1
+#: What of its points an element keeps, and passes on, that only a mark, a role, or being a form or header speaks against.
+DISCOUNT = 0.25
+#: How much more the elements count that are made for a page's main text.
+MADE_FOR_TEXT = {"article": 3.0, "main": 2.0}
+#: Elements nested deeper stand beside each other instead, as in browsers.
+DEEPEST = 512
 #: A class such as "with-sidebar" tells about an element's surroundings.
 _ABOUT = ("with-", "has-", "no-", "without-", "with_", "has_", "no_", "without_")
 _WORD = re.compile(r"[a-z]+")
@@ -56,262 +64,281 @@ _TEXT_HOLDERS = BLOCK - HEADINGS - {"html", "head", "ul", "ol", "table", "tr", "
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "marked", "hidden", "other", "role", "text", "link", "points")
+    __slots__ = ("tag", "parent", "items", "marked", "hidden", "other", "role", "owner", "linked", "out", "text", "link", "body", "points")
 
     def __init__(self, tag: str, parent: Node | None, marked: bool = False, hidden: bool = False, other: bool = False, role: str = ""):
         self.tag, self.parent, self.items, self.marked, self.hidden, self.other, self.role = tag, parent, [], marked, hidden, other, role
-        self.text = self.link = 0
-        self.points = 0.0
+        self.owner = self if parent is None or tag in BLOCK else parent.owner  # the block whose text an element's own is
+        self.linked = tag == "a" or parent is not None and parent.linked
+
+    def worth(self) -> float:
+        if not self.text:
+            return 0.0
+        made = 2.0 if self.role == "main" else MADE_FOR_TEXT.get(self.tag, 1.0)
+        return self.points * (1 - self.link / self.text) * made
+
+
+class _Page:
+    """A forward scanner over the source of a page."""
+
+    def __init__(self, html: str):
+        self.html, self.at, self.lower = html, 0, None
+        self.quotes = {'"': 0, "'": 0}  # from where on a quote is known to be missing, -1; else the last place found
+
+    def _quote(self, mark: str, at: int) -> int:
+        if self.quotes[mark] >= 0:
+            self.quotes[mark] = self.html.find(mark, at)
+        return self.quotes[mark]
+
+    def attributes(self) -> tuple[list[tuple[str, str]], bool]:
+        """(name, value) up to the end of a tag, and whether it closes itself; moves behind the tag."""
+        html, out = self.html, []
+        while m := _ATTR_NAME.match(html, self.at):
+            self.at, value = m.end(), ""
+            if m[2]:
+                mark = html[self.at : self.at + 1]
+                end = self._quote(mark, self.at + 1) if mark and mark in "\"'" else -1
+                if end >= 0:
+                    value, self.at = html[self.at + 1 : end], end + 1
+                else:
+                    bare = _BARE_VALUE.match(html, self.at)
+                    value, self.at = bare[0], bare.end()
+            out.append((m[1].lower(), value))
+        end = html.find(">", self.at)
+        closed = html[self.at : end].rstrip().endswith("/") if end >= 0 else False
+        self.at = end + 1 if end >= 0 else len(html)
+        return out, closed
+
+    def skip_raw(self, name: str) -> None:
+        """Moves to the end tag of an element whose content is no markup, or to the end of the page."""
+        self.lower = self.lower if self.lower is not None else self.html.lower()
+        if len(self.lower) == len(self.html):
+            end = self.lower.find(f"</{name}", self.at)
+        else:
+            end = m.start() if (m := re.compile(f"</{name}", re.I).search(self.html, self.at)) else -1
+        self.at = len(self.html) if end < 0 else end
 
 
-def _attributes(raw: str) -> tuple[bool, bool, bool, str]:
-    """(whether the attributes mark boilerplate or hidden content, hidden content, content of readers and notices; role)."""
-    if "=" not in raw and "hidden" not in raw:
-        return False, False, False, ""
+def _meaning(attributes: list[tuple[str, str]]) -> tuple[bool, bool, bool, str]:
+    """(whether attributes mark boilerplate or hidden content, hidden content, content of readers and notices; role)."""
     words, hidden, role = set(), False, ""
-    for name, value in _ATTR.findall(raw):
-        name, value = name.lower(), unescape(value.strip("\"'")).lower()
+    for name, value in attributes:
         if name in ("class", "id"):
-            words.update(w for item in value.split() if not item.startswith(_ABOUT) for w in _WORD.findall(item))
+            words.update(w for item in unescape(value).lower().split() if not item.startswith(_ABOUT) for w in _WORD.findall(item))
         elif name == "role":
-            role = value.strip()
-        elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            role = value.strip().lower()
+        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDING.search(value.lower()):
             hidden = True
     return hidden or not MARKS.isdisjoint(words) or role in ROLES, hidden, not NEVER_MOST.isdisjoint(words), role
 
 
 def parse(html: str) -> list[Node]:
     """All elements in page order, the first a root; tags left open or closed out of order are mended."""
-    root = Node("#", None)
-    nodes, stack, at, lower = [root], [root], 0, None
-    while at < len(html):
-        m = _TAG.search(html, at)
-        text = html[at : m.start() if m else len(html)]
+    page, root = _Page(html), Node("#", None)
+    nodes, stack, open_tags = [root], [root], {}
+
+    def cut(depth: int) -> None:
+        for n in stack[depth:]:
+            open_tags[n.tag] -= 1
+        del stack[depth:]
+
+    def close(which: set[str], until: set[str]) -> None:
+        if any(open_tags.get(t) for t in which):
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in which:
+                    return cut(depth)
+                if stack[depth].tag in until:
+                    return
+
+    def say(text: str) -> None:
         if text:
             stack[-1].items.append(unescape(text) if "&" in text else text)
-        if not m:
+
+    while page.at < len(html):
+        start = html.find("<", page.at)
+        say(html[page.at : start] if start >= 0 else html[page.at :])
+        if start < 0:
             break
-        at = m.end()
-        name = m["name"] or m["name2"]
-        if not name:
+        page.at = start + 1
+        if html.startswith("!--", page.at):
+            end = html.find("-->", page.at + 3)
+            page.at = len(html) if end < 0 else end + 3
             continue
-        name = name.lower()
-        if m["end"] or m["end2"]:
-            for depth in range(len(stack) - 1, 0, -1):
+        if html[page.at : page.at + 1] in ("!", "?"):
+            end = html.find(">", page.at)
+            page.at = len(html) if end < 0 else end + 1
+            continue
+        ending = html.startswith("/", page.at)
+        m = _NAME.match(html, page.at + ending)
+        if not m:
+            say("<")
+            continue
+        page.at, name = m.end(), m[0].lower()
+        attributes, closed = page.attributes()
+        if ending:
+            for depth in range(len(stack) - 1, 0, -1) if open_tags.get(name) else ():
                 if stack[depth].tag == name:
-                    del stack[depth:]
+                    cut(depth)
                     break
                 if name not in BLOCK and stack[depth].tag in BLOCK:
                     break
             continue
-        attrs = m["attrs"] if m["name"] else m["attrs2"]
         if name in BLOCK:
-            _close(stack, {"p"}, {"table", "td", "th", "button", "article", "section", "div"})
+            close({"p"}, {"table", "td", "th", "button", "article", "section", "div"})
         if name in _CLOSES:
-            _close(stack, *_CLOSES[name])
-        node = Node(name, stack[-1], *_attributes(attrs))
+            close(*_CLOSES[name])
+        node = Node(name, stack[-1], *_meaning(attributes))
         stack[-1].items.append(node)
         nodes.append(node)
         if name in VOID:
             continue
-        if name in RAW:
-            if name in ("script", "style", "title", "textarea", "noscript", "iframe") and not (attrs.endswith("/") and name != "title"):
-                lower = lower if lower is not None else html.lower()
-                end = lower.find(f"</{name}", at) if len(lower) == len(html) else (e.start() if (e := re.compile(f"</{name}", re.I).search(html, at)) else -1)
-                at = len(html) if end < 0 else end
-            if attrs.endswith("/"):
-                continue
+        if name in TEXT_ONLY and not (closed and name != "title"):
+            page.skip_raw(name)
+        if name in RAW and closed:
+            continue
+        if len(stack) > DEEPEST:
+            cut(len(stack) - 1)
         stack.append(node)
+        open_tags[name] = open_tags.get(name, 0) + 1
     return nodes
 
 
-def _close(stack: list[Node], which: set[str], until: set[str]) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag in which:
-            del stack[depth:]
-            return
-        if stack[depth].tag in until:
-            return
-
-
-def _within(node: Node | None, tags: tuple[str, ...]) -> Node | None:
-    while node is not None and node.tag not in tags and node.role != "main":
-        node = node.parent
-    return node
-
-
-def _skipped(node: Node) -> bool:
-    if node.tag in BOILERPLATE:
-        return True
-    if node.tag in ("html", "body", "main", "article"):
-        return node.marked and node.tag == "article"
-    if node.tag == "header" or node.marked:
-        return True
-    return False
-
-
 def _mild(node: Node) -> bool:
     """Whether only a mark, a role, or being a form or header speaks against an element."""
-    return not node.hidden and (node.tag == "form" or node.tag not in BOILERPLATE)
-
-
-def _paragraph_text(nodes: list[Node]) -> dict[int, int]:
-    """Characters of paragraphs, without links, in each element that something may be read from."""
-    own: dict[int, int] = {}
-    out: set[int] = set()
-    for n in nodes[1:]:
-        if id(n.parent) in out or n.tag == "a" or not _mild(n):
-            out.add(id(n))
+    return (node.tag in ("form", "header") or node.marked) and node.tag not in ("html", "body", "main")
+
+
+def _score(nodes: list[Node], lenient: bool) -> None:
+    """Marks what takes no part (``out``), sums text, link text and paragraph text, and passes the points up."""
+    for n in nodes:
+        n.text = n.link = n.body = 0
+        n.points = 0.0
+        never = n.tag in MARKUP or n.tag in BOILERPLATE or (n.hidden or n.other and not lenient) and n.tag not in ("html", "body", "main")
+        n.out = never or n.parent is not None and n.parent.out
+    own: dict[Node, list[int]] = {}
+    for n in nodes:
+        if n.out:
             continue
-        block = n
-        while block.tag not in BLOCK and block.parent is not None:
-            block = block.parent
-        if block.tag in _TEXT_HOLDERS:
-            own[id(block)] = own.get(id(block), 0) + sum(len(x.strip()) for x in n.items if isinstance(x, str))
-    total = {k: size if size >= 25 else 0 for k, size in own.items()}
-    for n in reversed(nodes[1:]):
-        total[id(n.parent)] = total.get(id(n.parent), 0) + total.get(id(n), 0)
-    return total
-
-
-def main_text(html: str | None) -> str:
-    """Blocks of the article joined by \\n, in page order; empty if the page has no text."""
-    nodes = parse(html or "")
-    doubtful = [n for n in nodes[1:] if _skipped(n) and _mild(n)]
-    if not doubtful:
-        return _best_text(nodes, set())
-    held = _paragraph_text(nodes)
-    page = held.get(id(nodes[0]), 0)
-    most = {id(n) for n in doubtful if not n.other and 2 * held.get(id(n), 0) > page}
-    text = _best_text(nodes, most)
-    if len(text) < TINY * page or not text:
-        again = _best_text(parse(html or ""), None)
-        text = max(text, again, key=len)
-    return text
-
-
-def _best_text(nodes: list[Node], spared: set[int] | None) -> str:
-    """Text of the best container; ``spared`` elements aren't skipped, None spares all that nothing but a mark speaks against."""
-    dead: set[int] = set()
-    for n in nodes[1:]:
-        if id(n.parent) in dead or _skipped(n) and not (_mild(n) if spared is None else id(n) in spared):
-            dead.add(id(n))
-    alive = [n for n in nodes if id(n) not in dead]
-    links: set[int] = set()
-    for n in alive:
-        if n.tag == "a" or n.parent is not None and id(n.parent) in links:
-            links.add(id(n))
-    # Own text with its inline descendants belongs to the block it stands in.
-    owned: dict[int, list[int]] = {}
-    for n in alive:
-        block = n
-        while block.tag not in BLOCK and block.parent is not None:
-            block = block.parent
         for x in n.items:
             if isinstance(x, str) and not x.isspace():
                 size = len(x.strip())
                 n.text += size
-                n.link += size if id(n) in links else 0
-                own = owned.setdefault(id(block), [0, 0, 0])
-                own[0] += size
-                own[1] += x.count(",") + x.count("，") + x.count("、")
-    by_id = {id(n): n for n in alive}
-    for n in reversed(alive):
+                n.link += size if n.linked else 0
+                held = own.setdefault(n.owner, [0, 0, 0])
+                held[0] += size
+                held[1] += x.count(",") + x.count("，") + x.count("、")
+                held[2] += 0 if n.linked else size
+    for n, (size, commas, unlinked) in own.items():
+        if n.tag in _TEXT_HOLDERS or n.tag == "#":
+            n.body += unlinked if unlinked >= 25 else 0
+            holder = (n.parent or n) if n.tag in ("p", "pre", "li", "td", "dd", "blockquote") else n
+            holder.points += 1 + commas + min(3, size / 100) if size >= 25 else size / 100
+    for n in reversed(nodes):
+        if n.out:
+            continue
+        if _mild(n):
+            n.points *= DISCOUNT
         if n.parent is not None:
             n.parent.text += n.text
             n.parent.link += n.link
-    for key, (size, commas, _) in owned.items():
-        n = by_id[key]
-        if n.tag not in _TEXT_HOLDERS and n.tag != "#":
-            continue
-        points = 1 + commas + min(3, size / 100) if size >= 25 else size / 100
-        holder, share = (n.parent or n) if n.tag in ("p", "pre", "li", "td", "dd", "blockquote") else n, 1.0
-        depth = 1
-        while holder is not None:
-            holder.points += points * share
-            depth += 1
-            holder, share = holder.parent, 1 / 2 if depth == 2 else 1 / (3 * (depth - 1))
-
-    def worth(n: Node) -> float:
-        return n.points * (1 - n.link / n.text) if n.text else 0.0
-
-    best = max((n for n in alive if n.text), key=worth, default=None)
+            n.parent.body += n.body
+            n.parent.points += n.points / 2
+
+
+def main_text(html: str | None) -> str:
+    """Blocks of the article joined by \\n, in page order; empty if the page has no text.
+
+    What is no article whatever it says (scripts, menus, footers, hidden content) takes no part, nor do notices and
+    reader comments, unless next to nothing is left without them.
+    """
+    nodes = parse(html or "")
+    _score(nodes, lenient=False)
+    text = _best_text(nodes)
+    _score(nodes, lenient=True)
+    if len(text) < TINY * nodes[0].body or not text:
+        text = max(text, _best_text(nodes), key=len)
+    return text
+
+
+def _best_text(nodes: list[Node]) -> str:
+    best = max((n for n in nodes if not n.out and n.text), key=Node.worth, default=None)
     if best is None:
         return ""
     kept = [best]
-    article = _within(best, ("article", "main"))
-    if article is not None:
-        kept = [article]
-    elif best.parent is not None:
-        bar = max(10.0, 0.2 * worth(best))
-        kept = [s for s in best.parent.items if s is best or isinstance(s, Node) and id(s) not in dead and s.text and _sibling(s, worth(s), bar)]
+    if best.parent is not None:
+        bar = max(10.0, 0.2 * best.worth())
+        kept = [s for s in best.parent.items if s is best or isinstance(s, Node) and not s.out and s.text and _sibling(s, bar)]
     blocks: list[str] = []
     for top in kept:
-        _blocks(top, dead, blocks)
+        _blocks(top, max(n.body for n in kept), blocks)
     return "\n".join(blocks)
 
 
-def _sibling(n: Node, worth: float, bar: float) -> bool:
+def _sibling(n: Node, bar: float) -> bool:
     density = n.link / n.text
-    return worth >= bar or n.tag in HEADINGS and density == 0 or n.tag in ("p", "pre", "blockquote") and density < 0.25
+    return not _mild(n) and (n.worth() >= bar or n.tag in HEADINGS and density == 0 or n.tag in ("p", "pre", "blockquote") and density < 0.25)
 
 
-def _menu(n: Node) -> bool:
-    """A list of nothing but links."""
-    return n.tag in ("ul", "ol") and n.text > 0 and n.link == n.text and sum(isinstance(x, Node) for x in n.items) > 1
+def _menu(n: Node, top: Node, after_text: bool) -> bool:
+    """A list of nothing but links that stands before the text, or beside it in a page without containers."""
+    only_links = n.tag in ("ul", "ol") and n.text > 0 and n.link == n.text and sum(isinstance(x, Node) for x in n.items) > 1
+    return only_links and top.tag != "article" and (not after_text or top.tag in ("#", "html", "body"))
 
 
-def _blocks(top: Node, dead: set[int], out: list[str]) -> None:
-    """Text of each block below ``top``; headings stay where an article's own header holds them."""
+def _blocks(top: Node, body: int, out: list[str]) -> None:
+    """Text of each block below ``top``; of marked elements only those that hold most of the paragraph text ``body``."""
     held: list[str] = []
+    after_text = bool(out)
 
     def flush() -> None:
         if text := " ".join("".join(held).split()):
             out.append(text)
         held.clear()
 
-    inside = _within(top, ("article", "main")) is not None
     todo: list = [top]
     while todo:
         x = todo.pop()
         if isinstance(x, str):
             held.append(x)
-        elif x is None:
+            continue
+        if x is None:
             flush()
-        elif id(x) in dead and not (inside and x.tag in HEADINGS and _own_header(x)):
-            if inside and _header_like(x):
-                todo.extend(reversed([y for y in x.items if isinstance(y, Node)]))
-            elif x.tag in BLOCK:
+            continue
+        dropped = x.out or x is not top and _mild(x) and 2 * x.body <= body
+        if dropped and x.tag == "header" and not x.marked and not x.out:
+            todo.extend(reversed(_titles(x)))  # an article's own header holds its title
+        elif dropped or _menu(x, top, after_text):
+            if x.tag in BLOCK:
                 flush()
-        elif _menu(x):
-            flush()
         elif x.tag == "br" or x.tag == "img":
             held.append(" ")
         else:
-            block = x.tag in BLOCK
-            if block:
+            if x.tag in BLOCK:
                 flush()
                 todo.append(None)
+                after_text = after_text or x.owner is x and x.body >= 25 and x.tag in ("p", "blockquote", "pre")
             todo.extend(reversed(x.items))
     flush()
 
 
-def _header_like(n: Node) -> bool:
-    """A header, or a plain element inside one, that nothing else rules out."""
-    while n is not None and n.tag != "header":
-        if n.tag in BOILERPLATE or n.marked or n.tag not in ("div", "hgroup", "section"):
-            return False
-        n = n.parent
-    return n is not None and not n.marked
-
-
-def _own_header(n: Node) -> bool:
-    return n.parent is not None and _header_like(n.parent)
+def _titles(header: Node) -> list[Node]:
+    """The headings of a header that nothing speaks against."""
+    found, todo = [], list(reversed(header.items))
+    while todo:
+        x = todo.pop()
+        if isinstance(x, Node) and not x.out and not _mild(x):
+            if x.tag in HEADINGS:
+                found.append(x)
+            elif x.tag in ("div", "hgroup", "section"):
+                todo.extend(reversed(x.items))
+    return found
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """``pages`` with text: the main text of each whole page; null and empty pages give an empty text."""
+    """``pages`` with text: the main text of each whole page, replacing a column of that name.
 
+    Null and empty pages give an empty text, repeated rows each their own, an empty table no rows.
+    """
     @F.pandas_udf("string")
     def run(htmls):
         import pandas as pd
