@@ -476,6 +476,34 @@ def test_large_layers_are_scanned_to_their_end(monkeypatch):
         assert [k for _, _, k in secrets.find_secrets(text)[1]] == ["assign"]
 
 
+def test_nested_layers_cross_windows(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 1 << 12)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 8)
+    noise = np.random.default_rng(1).integers(0, 256, 30_000, dtype=np.uint8).tobytes()
+    inner = gzip.compress(noise + b" " + SECRET.encode() + b" " + noise)  # an archive far longer than a window
+    run = b64(noise + SECRET.encode())  # an encoded run far longer than a window
+    for raw in (b"x " * 3000 + inner, b"x " * 3000 + gzip.compress(b"y " * 5000 + inner), b"x " * 3000 + run.encode() + b" end"):
+        assert "assign" in {k for _, _, k in secrets.find_secrets(b64(gzip.compress(raw)))[1]}
+
+
+def test_archive_nests_deeply():
+    raw = SECRET.encode()
+    for _ in range(1500):
+        raw = zlib.compress(raw, 0)
+    assert {k for _, _, k in secrets.find_secrets(b64(raw))[1]} == {"assign"}
+
+
+def test_layer_memory_is_bounded():
+    import tracemalloc
+
+    text = b64(gzip.compress(b"lorem ipsum " * 12_000_000 + SECRET.encode()))  # 144 MB unpacked
+    tracemalloc.start()
+    found = secrets.find_secrets(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [k for _, _, k in found] == ["assign"] and peak < 500 << 20
+
+
 def brute_secrets(text):
     out = [(m.start(), 0, m.end(), "assign") for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 12]
     out += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
