@@ -20,9 +20,11 @@ BUCKET_BITS = 18
 DIMENSIONS = 12
 WINDOW_WORDS = 2
 THRESHOLD = 0.7
-#: Bounds of the training sample: labelled rows of each class, and characters of a row that may be in it.
+#: Bounds of the training sample: labelled rows of each class, characters of a row that may be in it, and characters of a
+#: class's rows together, which keeps the n-grams of both classes under 100 MB on the driver.
 SAMPLE_ROWS = 2000
 SAMPLE_CHARS = 20_000
+SAMPLE_TOTAL = 3_000_000
 ROUNDS = 6
 SEED = 20240101
 _MULTIPLIER = 0x9E3779B1
@@ -181,15 +183,20 @@ def _calibrate(top, y) -> tuple[float, float]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows to learn from: crc32(doc_id as text) mod 3 is not 1, at most ``SAMPLE_ROWS`` of each class by hash order."""
+    """Labelled rows to learn from: crc32(doc_id as text) mod 3 is not 1; of each class the first in hash order, within the bounds."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select("doc_id", text_or_empty().alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    rows = usable.join(rows.select("doc_id"), "doc_id", "left_semi")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = rows.where("toxic = 1").orderBy(*order).limit(SAMPLE_ROWS).unionByName(rows.where("toxic = 0").orderBy(*order).limit(SAMPLE_ROWS))
+    sized = usable.join(rows.select("doc_id", F.length("text").alias("n")), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("n").alias("n"))
+    picked: list[int] = []
+    for label in (1, 0):
+        total = 0
+        for r in sized.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).collect():
+            total += r["n"]
+            if total <= SAMPLE_TOTAL:
+                picked.append(r["doc_id"])
     # at most 2 * SAMPLE_ROWS ids
-    text = docs.select("doc_id", text_or_empty().alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    return text.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+    chosen = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in picked], "doc_id long"))
+    return rows.join(chosen, "doc_id").join(F.broadcast(usable.join(chosen, "doc_id")), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
@@ -198,7 +205,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row's whole text; null and empty texts get the score of a text without words."""
+    """(id, score) of every row's whole text; null and empty texts get the score of a text without words.
+
+    Repeated rows give a row each, an empty table none; rows without an id are scored like others.
+    """
     scalars, bias = model["scalars"], model["bias"]
 
     def run(batches: Iterator) -> Iterator:
