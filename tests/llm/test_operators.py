@@ -689,6 +689,44 @@ def test_neighbors_thin_bridges(spark):
     assert [got[i]["n_links"] for i in range(len(rows))] == linked.sum(axis=1).tolist()
 
 
+def all_pairs(ids, vectors):
+    """(links, component) of every id by comparing all pairs."""
+    u = np.array(vectors, dtype=np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    linked = u @ u.T >= 0.9
+    np.fill_diagonal(linked, False)
+    root = union_find([(ids[a], ids[b]) for a, b in zip(*np.nonzero(np.triu(linked)))])
+    return {i: (int(n), root.get(i, i)) for i, n in zip(ids, linked.sum(axis=1))}
+
+
+def test_neighbors_large_components(spark, monkeypatch):
+    """Components far larger than a block: a ball of near copies, a long chain and a wide cloud; double vectors, columns of clashing names."""
+    monkeypatch.setattr(neighbors, "BLOCK", 64)
+    rng = np.random.default_rng(2)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    a, b, c, d = unit(rng.normal(size=(4, 32)))
+    b = unit(b - a * (a @ b))
+    ball = unit(c + 0.02 * rng.normal(size=(1200, 32)))
+    turn = np.linspace(0, 2.5, 700)[:, None]
+    chain = unit(np.cos(turn) * a + np.sin(turn) * b + 0.01 * rng.normal(size=(700, 32)))
+    cloud = unit(d + 0.06 * rng.normal(size=(400, 32)))
+    x = np.concatenate((ball, chain, cloud, cloud[:50]))[rng.permutation(2350)]
+    rows = [(i, v.tolist(), 1, "x") for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, copies long, component string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in neighbors.op2(spark, df).collect()}
+    assert got == all_pairs(list(range(len(x))), x)
+
+
+def test_neighbors_query(spark, sf_dir):
+    rows = [r for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    good = [r for r in rows if r["embedding"] and all(v is not None and np.isfinite(v) for v in r["embedding"]) and any(r["embedding"])]
+    want = all_pairs([r["vec_id"] for r in good], [r["embedding"] for r in good])
+    got = {r["vec_id"]: r for r in queries.QUERIES["op2_embedding_neighbors"](spark, sf_dir).collect()}
+    assert len(got) == len(rows)
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == {r["vec_id"]: want.get(r["vec_id"], (0, r["vec_id"])) for r in rows}
+    assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
+
+
 def test_audit_sees_small_groups(spark):
     """A large group with all its links found doesn't hide pairs that were missed."""
     rng = np.random.default_rng(1)

@@ -3,7 +3,7 @@
 Equal vectors are one class first. A random-projection start gives every class some neighbours; rounds of
 neighbours-of-neighbours joins refine the lists until they settle. Pairs at or above the threshold link.
 A list full of links is saturated: its node's list then grows to its whole linked component, which is compared
-in blocks, so link counts are exact inside components, and further starts give every node ``LIST`` more places
+in blocks by their centres and radii, so link counts are exact inside components, and further starts give every node ``LIST`` more places
 that only rows of other components take, until no start links two components. An audit against all rows
 measures what was missed, by number of links, and adds starts until the recall is met; if it never is, a
 warning tells the recall.
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch
+from .common import Scratch, join_by_key
 from .components import connected_components
 
 THRESHOLD = 0.9
@@ -30,11 +30,15 @@ LIST = 10
 TABLES = 24
 REACH = 10
 ROUNDS = 8
-BLOCK = 512
+BLOCK = 256
+#: Angles within this of the threshold's are compared one by one.
+SURE = 1e-7
 #: The audit compares so many classes with all rows, or four times the root of the number of classes if that is more.
 AUDIT_QUERIES = 512
 AUDIT_RECALL = 0.995
 STARTS = 12
+#: After all starts, a result with a recall under this is an error, one under AUDIT_RECALL a warning.
+LEAST_RECALL = 0.9
 
 
 def _unit(vectors: list[bytes], kind: str):
@@ -54,6 +58,15 @@ def _unit(vectors: list[bytes], kind: str):
     return x / np.linalg.norm(x, axis=1, keepdims=True), dims
 
 
+def _settle(sim, x, y, threshold: float):
+    """``sim`` = x @ y.T with what lies within a rounding error of the threshold summed anew, exactly rounded in any order."""
+    import numpy as np
+
+    for i, j in np.argwhere(np.abs(sim - threshold) < 1e-12):
+        sim[i, j] = math.fsum((x[i] * y[j]).tolist())
+    return sim
+
+
 def _groups(batches: Iterator, keys: int, work: Callable) -> Iterator:
     """Calls ``work(rows)`` for each run of rows with equal first ``keys`` columns, over batch borders."""
     held: list[tuple] = []
@@ -97,7 +110,7 @@ def _component(df: DataFrame, id_col: str, labels: DataFrame | None, name: str =
     return df.join(named, F.col(id_col) == F.col("_node"), "left").withColumn(name, F.coalesce("_c", id_col)).drop("_node", "_c")
 
 
-def start_pairs(classes: DataFrame, kind: str, tables: int, seed: int, floor: float, reach: int = REACH, labels: DataFrame | None = None) -> DataFrame:
+def start_pairs(classes: DataFrame, kind: str, tables: int, seed: int, floor: float, threshold: float, reach: int = REACH, labels: DataFrame | None = None) -> DataFrame:
     """(a, b, sim) at or above ``floor`` among rows that stand close in random-projection order.
 
     Each table sorts all rows by the signs of random projections, ties by a hash, and compares each row with
@@ -143,6 +156,8 @@ def start_pairs(classes: DataFrame, kind: str, tables: int, seed: int, floor: fl
                 ok = (keys[i, :2] == keys[j, :2]).all(axis=1) & (keys[i, 2] != keys[j, 2])
                 i, j = i[ok], j[ok]
                 sim = np.einsum("ij,ij->i", x[i], x[j])
+                for k in np.flatnonzero(np.abs(sim - threshold) < 1e-12):
+                    sim[k] = math.fsum((x[i[k]] * x[j[k]]).tolist())
                 ok = sim >= floor
                 found.append((keys[i[ok], 3], keys[j[ok], 3], sim[ok]))
             i, j, sim = (np.concatenate(c) for c in zip(*found))
@@ -175,7 +190,7 @@ def _around(lists: DataFrame, size: int, turn: int) -> DataFrame:
     return lists.select("id", "nbr").unionByName(back)
 
 
-def descend(lists: DataFrame, classes: DataFrame, kind: str, floor: float, size: int, turn: int = 0, own: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
+def descend(lists: DataFrame, classes: DataFrame, kind: str, floor: float, threshold: float, size: int, turn: int = 0, own: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
     """(a, b, sim) among the neighbours of each node: those in its list and ``size`` of those that list it.
 
     With ``labels`` ``own`` has as many neighbours again, and only pairs of different components are returned.
@@ -192,7 +207,7 @@ def descend(lists: DataFrame, classes: DataFrame, kind: str, floor: float, size:
         if len(rows) > 1:
             ids, comps = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
             x, dims = _unit([r[2] for r in rows], kind)
-            sim = x @ x.T
+            sim = _settle(x @ x.T, x, x, threshold)
             i, j = np.nonzero(np.triu(sim >= floor, 1) & (dims[:, None] == dims[None]) & (comps[:, None] != comps[None]))
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(sim[i, j])], ["a", "b", "sim"])
@@ -201,37 +216,114 @@ def descend(lists: DataFrame, classes: DataFrame, kind: str, floor: float, size:
     return _best(dealt.mapInArrow(lambda batches: _groups(batches, 1, join), "a long, b long, sim double"))
 
 
-def complete(classes: DataFrame, labels: DataFrame, kind: str, threshold: float) -> DataFrame:
-    """(id, n): links of every class inside its component, copies counted, by comparing blocks of the component.
+def complete(scratch: Scratch, classes: DataFrame, labels: DataFrame, kind: str, threshold: float) -> DataFrame:
+    """(id, n): links of every class inside its component, copies counted.
 
-    A component of any size is dealt into hash blocks of about ``BLOCK`` members; a task compares two blocks
-    and returns a count per member.
+    A component of any size is dealt into blocks of about ``BLOCK`` members that stand close together (signs of
+    random projections, then a hash). A task compares the members of one block and gives the block's centre and
+    radius in angles. Blocks are then compared by their centres, in tiles: two blocks surely linked throughout
+    count as a whole, two surely unlinked drop out, and only members of the others are compared one by one.
     """
+    sizes = labels.groupBy("component").agg(F.count("*").alias("m"))
     member = classes.join(labels, classes["id"] == labels["node"]).select("component", "id", "copies", "vec")
-    sizes = labels.groupBy("component").agg(F.count("*").alias("m")).select(F.col("component").alias("c"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    member = member.join(sizes, member["component"] == sizes["c"]).drop("c")
-    member = member.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    member = member.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "copies", "vec")
+    member = join_by_key(member, sizes, ["component"], "m", labels.count(), "inner").select("component", "id", "copies", "vec", "m")
+
+    def deal(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            x, dims = _unit(b.column(3).to_pylist(), kind)
+            bucket, m = np.zeros(len(x), dtype=np.int64), b.column(4).to_numpy()
+            bits = np.ceil(np.log2(np.maximum(1, -(-m // BLOCK)))).astype(np.int64)
+            for d in np.unique(dims[bits > 0]):
+                mine = (dims == d) & (bits > 0)
+                planes = np.random.default_rng([int(d), 1]).normal(size=(int(d), 40))
+                signs = (x[mine, :d] @ planes > 0) @ (1 << np.arange(40, dtype=np.int64))
+                bucket[mine] = signs & ((1 << bits[mine]) - 1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bucket)], ["component", "id", "copies", "vec", "m", "bucket"])
+
+    dealt = scratch.save(member.mapInArrow(deal, "component long, id long, copies long, vec binary, m long, bucket long"), "dealt")
+    counts = dealt.groupBy("component", "bucket").agg(F.count("*").alias("n"))
+    placed = join_by_key(dealt, counts, ["component", "bucket"], "n", dealt.count(), "inner")
+    block = F.shiftleft("bucket", 32).bitwiseOR(F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)))
+    placed = scratch.save(placed.select("component", block.alias("block"), "id", "copies", "vec", (F.col("m") > BLOCK).alias("more")), "placed")
+    scratch.drop(dealt)
+
+    def within(rows: list[tuple]) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        component, block, more = rows[0][0], rows[0][1], rows[0][5]
+        x, _ = _unit([r[4] for r in rows], kind)
+        copies = np.array([r[3] for r in rows])
+        linked = _settle(x @ x.T, x, x, threshold) >= threshold
+        np.fill_diagonal(linked, False)
+        n = (linked @ copies).astype(np.int64)
+        centre, radius = x.mean(axis=0), math.pi
+        if (length := np.linalg.norm(centre)) > 1e-9:
+            centre = centre / length
+            radius = float(np.arccos(np.clip((x @ centre).min(), -1, 1)))
+        size = len(rows)
+        columns = [pa.array([r[2] for r in rows] + [None], pa.int64()), pa.array([*n.tolist(), int(copies.sum())], pa.int64())]
+        columns += [pa.array([c] * (size + 1), pa.int64()) for c in (component, block)]
+        columns += [pa.array([None] * size + [centre.astype("<f8").tobytes() if more else None], pa.binary()), pa.array([None] * size + [radius], pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "n", "component", "block", "centre", "radius"])
+
+    grouped = placed.select("component", "block", "id", "copies", "vec", "more").repartition("component", "block").sortWithinPartitions("component", "block")
+    first = scratch.save(grouped.mapInArrow(lambda batches: _groups(batches, 2, within), "id long, n long, component long, block long, centre binary, radius double"), "within")
+    inner = first.where("id is not null").select("id", "n")
+    blocks = first.where("id is null and centre is not null").select("component", "block", F.col("n").alias("copies"), "centre", "radius")
+    many = blocks.groupBy("component").agg(F.count("*").alias("b"))
+    tiles = join_by_key(blocks, many, ["component"], "b", blocks.count(), "inner").withColumn("tiles", F.ceil(F.col("b") / BLOCK).cast("int"))
+    tiles = tiles.withColumn("own", F.pmod(F.xxhash64("block"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    tiles = tiles.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "block", "copies", "centre", "radius")
+
+    def between(rows: list[tuple]) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        component, i, j = rows[0][:3]
+        own, ids, copies, radius = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 7))
+        centres = np.stack([np.frombuffer(r[6], "<f8") for r in rows])
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        angle, limit = np.arccos(np.clip(centres[left] @ centres[right].T, -1, 1)), math.acos(threshold)
+        reach = radius[left][:, None] + radius[right][None]
+        different = ids[left][:, None] != ids[right][None]
+        whole, none = different & (angle + reach < limit - SURE), angle - reach > limit + SURE
+        check = different & ~whole & ~none
+        if i == j:
+            check = np.triu(check)
+        a, b = np.nonzero(check)
+        found = [(ids[left], whole @ copies[right])] + ([(ids[right], whole.T @ copies[left])] if i != j else [])
+        out, n = (np.concatenate(c) for c in zip(*found))
+        size = len(out) + len(a)
+        columns = [pa.array(np.full(size, component)), pa.array(np.concatenate((out, ids[left][a]))), pa.array([None] * len(out) + ids[right][b].tolist(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(n.tolist() + [None] * len(a), pa.int64())], ["component", "block", "with", "n"])
+
+    tiled = tiles.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    pairs = scratch.save(tiled.mapInArrow(lambda batches: _groups(batches, 3, between), "component long, block long, with long, n long"), "pairs")
+    sure = pairs.where("n > 0").groupBy("component", "block").agg(F.sum("n").alias("n"))
+    sure = placed.where("more").join(sure, ["component", "block"]).select("id", "n")
+    asked = pairs.where("with is not null").select("component", F.col("block").alias("i"), F.col("with").alias("j"))
+    sides = asked.select("component", F.col("i").alias("block"), "i", "j").unionByName(asked.select("component", F.col("j").alias("block"), "i", "j"))
+    asked = placed.where("more").join(sides, ["component", "block"]).select("component", "i", "j", "block", "id", "copies", "vec")
 
     def compare(rows: list[tuple]) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         _, i, j = rows[0][:3]
-        x, dims = _unit([r[6] for r in rows], kind)
+        x, _ = _unit([r[6] for r in rows], kind)
         own, ids, copies = (np.array([r[k] for r in rows]) for k in (3, 4, 5))
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        if len(left) and len(right):
-            linked = (x[left] @ x[right].T >= threshold) & (dims[left][:, None] == dims[right][None])
-            if i == j:
-                np.fill_diagonal(linked, False)
-                out, n = ids[left], linked @ copies[right]
-            else:
-                out, n = np.concatenate((ids[left], ids[right])), np.concatenate((linked @ copies[right], linked.T @ copies[left]))
-            yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(n.astype(np.int64))], ["id", "n"])
+        linked = _settle(x[left] @ x[right].T, x[left], x[right], threshold) >= threshold
+        out, n = np.concatenate((ids[left], ids[right])), np.concatenate((linked @ copies[right], linked.T @ copies[left]))
+        yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(n.astype(np.int64))], ["id", "n"])
 
-    dealt = member.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
-    return dealt.mapInArrow(lambda batches: _groups(batches, 3, compare), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    asked = asked.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    checked = asked.mapInArrow(lambda batches: _groups(batches, 3, compare), "id long, n long")
+    return inner.unionByName(sure).unionByName(checked).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def audit(classes: DataFrame, counts: DataFrame, kind: str, threshold: float, seed: int) -> list[tuple[int, int, float]]:
@@ -260,7 +352,7 @@ def audit(classes: DataFrame, counts: DataFrame, kind: str, threshold: float, se
             ids, copies = b.column(0).to_numpy(), b.column(1).to_numpy()
             for lo in range(0, len(keys), BLOCK):
                 part = slice(lo, lo + BLOCK)
-                linked = (q[part] @ x.T >= threshold) & (qd[part, None] == xd[None]) & (mine[part, None] != ids[None])
+                linked = (_settle(q[part] @ x.T, q[part], x, threshold) >= threshold) & (qd[part, None] == xd[None]) & (mine[part, None] != ids[None])
                 total[part] += linked @ copies
         yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(total)], ["id", "want"])
 
@@ -275,13 +367,14 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
 
     Links are pairs of other rows with cosine at least ``threshold`` in double precision. Vectors that are
     null, empty, zero or hold a null or non-finite component link with nothing, nor do vectors of different
-    lengths. Equal vectors link with each other. Rows with a null id count for nothing and are their own.
+    lengths. Equal vectors link with each other. Rows with a null id count for nothing and are their own. An
+    empty table gives no rows.
     """
     scratch = Scratch(spark, "neighbors")
     rows, classes, kind = _classes(scratch, vectors, id_col, vector_col)
     floor, links, own, labels = min(FLOOR, threshold), [], None, None
     for start in range(STARTS):
-        pairs = scratch.save(start_pairs(classes, kind, TABLES, seed + start, floor, labels=labels), "start")
+        pairs = scratch.save(start_pairs(classes, kind, TABLES, seed + start, floor, threshold, labels=labels), "start")
         links.append(scratch.save(pairs.where(F.col("sim") >= threshold).select("a", "b"), "links"))
         lists = scratch.save(_lists(pairs, LIST), "lists")
         scratch.drop(pairs)
@@ -289,7 +382,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
         for turn in range(ROUNDS):
             if not before[0]:
                 break
-            found = scratch.save(descend(lists, classes, kind, floor, LIST, turn, own, labels), "found")
+            found = scratch.save(descend(lists, classes, kind, floor, threshold, LIST, turn, own, labels), "found")
             links.append(scratch.save(found.where(F.col("sim") >= threshold).select("a", "b"), "links"))
             known = lists.where("id < nbr").select(F.col("id").alias("a"), F.col("nbr").alias("b"), "sim").unionByName(lists.where("id > nbr").select(F.col("nbr").alias("a"), F.col("id").alias("b"), "sim"))
             after = scratch.save(_lists(_best(known.unionByName(found)), LIST), "lists")
@@ -316,7 +409,9 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
             saturated = not labels.groupBy("component").count().where(F.col("count") > LIST).isEmpty()
             if saturated and start + 1 < STARTS:
                 continue
-        counts = scratch.save(complete(classes, labels, kind, threshold), "counts")
+        blocks = Scratch(spark, "blocks")
+        counts = scratch.save(complete(blocks, classes, labels, kind, threshold), "counts")
+        blocks.drop_all()
         recall = audit(classes, counts, kind, threshold, seed + start)
         if all(r >= AUDIT_RECALL for _, _, r in recall):
             break
@@ -324,15 +419,21 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
             scratch.drop(counts)
     else:
         told = ", ".join(f"{r:.4f} of {q} vectors with {n} to {2 * n - 1} links" for n, q, r in recall)
-        warnings.warn(f"recall of links is under {AUDIT_RECALL} after {STARTS} starts: {told}", stacklevel=2)
+        message = f"recall of links is under {AUDIT_RECALL} after {STARTS} starts: {told}"
+        if any(r < LEAST_RECALL for _, _, r in recall):
+            raise RuntimeError(message)
+        warnings.warn(message, stacklevel=2)
     if own is not None:
         scratch.drop(own)
     scratch.drop(*links)
     known = classes.select("k1", "k2", "id", "copies").join(labels, F.col("id") == F.col("node"), "left").join(counts, "id", "left")
-    known = scratch.save(known.select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component")), "known")
-    out = rows.join(known, ["k1", "k2"], "left")
-    component = F.coalesce("component", "id")
-    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    known = known.select("k1", "k2", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    known = scratch.save(known, "known")
+    scratch.drop(classes, labels, counts)
+    out = join_by_key(rows, known, ["k1", "k2"], "copies", rows.count())
+    links = F.when(F.col("id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return out.select("id", links.alias("n_links"), component.alias("component"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
 def _mark(lists: DataFrame) -> tuple[int, float]:
