@@ -7,7 +7,7 @@ import re
 import corpus_pipeline as cp
 from tidemark.llm import common, lines, mixing, simhash, toxicity
 
-from .test_operators import brute_lines, check_packing, union_find
+from .test_operators import LONG, ROWS, RUN, SCHEMA, brute_lines, check_packing, union_find
 
 
 def test_stages(spark, sf_dir):
@@ -66,3 +66,43 @@ def test_near_copies_by_row(spark):
     out = dict(cp.STAGES)["simhash_near_dedup"](spark, df, "")
     assert out.columns == df.columns
     assert sorted((r["text"], r["doc_id"] or 0) for r in out.collect()) == [(words(1), 0), (words(2), 0), (words(3), 3), (words(4), 5), (words(5), 9)]
+
+
+def test_awkward_rows(spark, sf_dir):
+    """Nulls in any column, repeated ids with other texts, ties, a very long text, repeated rows and extra columns, stage by stage."""
+    rows = [(*r, "x") for r in [*ROWS, *ROWS[-2:], (None, None, None, None, None), (6, "another text under an id that is taken", None, None, None), (20, "word " * 60_000, "en", "s1", None)]]
+    docs = spark.createDataFrame(rows, SCHEMA + ", id string")
+    stage = dict(cp.STAGES)
+    texts = lambda df: sorted(str(r["text"]) for r in df.collect())
+
+    a = stage["toxicity"](spark, docs, sf_dir)
+    assert a.columns == docs.columns and texts(a) == texts(docs)
+
+    b = stage["line_dedup"](spark, docs, sf_dir)
+    assert b.columns == docs.columns and b.count() == len(rows)  # nothing was emptied
+    kept = texts(b)
+    assert sum(RUN.split("\n")[2] in t for t in kept) == 1 and "head\ntail" in kept
+
+    c = stage["simhash_near_dedup"](spark, b, sf_dir)
+    after = [r.asDict() for r in b.collect()]
+    prints = [simhash.fingerprint(r["text"]) for r in after]
+    root = union_find([(x, y) for x in range(len(after)) for y in range(x) if bin(prints[x] ^ prints[y]).count("1") <= 4])
+    groups: dict[int, list[dict]] = {}
+    for k, r in enumerate(after):
+        groups.setdefault(root.get(k, k), []).append(r)
+    got = [r.asDict() for r in c.collect()]
+    assert c.columns == docs.columns and len(got) == len(groups)
+    for g in groups.values():  # one row of each group, with its smallest id, null last
+        assert sum(r in g and r["doc_id"] == min((x["doc_id"] for x in g if x["doc_id"] is not None), default=None) for r in got) == 1
+    assert any(r["doc_id"] is None and r["text"] == "no id here" for r in got)
+
+    d = stage["source_mixing"](spark, c, sf_dir)
+    whole = [r["text"] or "" for r in got]
+    mixed = [r.asDict() for r in d.collect()]
+    assert d.columns == docs.columns and all(any(t.startswith(r["text"]) for t in whole) and r["n_chars"] == len(r["text"]) for r in mixed)
+    sizes = lambda ts: sum(len(re.findall(common.WORD_PATTERN, t)) for t in ts)
+    assert abs(sizes(r["text"] for r in mixed) - sizes(whole)) <= 4  # a word a source at most
+
+    e = [r.asDict() for r in stage["best_fit_packing"](spark, d, sf_dir).collect()]
+    assert max(r["length"] for r in e) <= 1024 and {r["doc_id"] for r in e} == {r["doc_id"] for r in mixed}
+    assert max(len(t) for t in whole) >= len(LONG) // 2

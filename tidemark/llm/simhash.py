@@ -145,8 +145,8 @@ def representatives(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_h1", "_h2")).alias("first")
     classes = scratch.save(prints.groupBy("fp").agg(first, F.count("*").alias("n")), "classes")
     linked = _components(spark, scratch, classes, max_bits)
-    groups = linked.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("rows"), F.count("*").alias("m")).where("rows > 1")
-    comp = join_by_key(linked, groups, ["component"], "m", linked.count(), "inner").select("fp", "n", F.col("first._h1").alias("_k1"), F.col("first._h2").alias("_k2"))
+    groups = linked.groupBy("component").agg(F.min("first").alias("lead"), F.sum("n").alias("rows"), F.count("*").alias("m")).where("rows > 1")
+    comp = join_by_key(linked.drop("first"), groups, ["component"], "m", linked.count(), "inner").select("fp", "n", F.col("lead._h1").alias("_k1"), F.col("lead._h2").alias("_k2"))
     shared = join_by_key(prints.select("fp", "_h1", "_h2"), scratch.save(comp, "shared"), ["fp"], "n", prints.count(), "inner")
     own = (F.col("_h1") == F.col("_k1")) & (F.col("_h2") == F.col("_k2"))
     shared = scratch.save(shared.groupBy("_h1", "_h2").agg(F.max(own).alias("first"), F.count("*").alias("copies")), "rows")
