@@ -20,7 +20,8 @@ from .tokens import encoder
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
-#: Rows of a length that are ranked together, on average: a length is dealt into as many hash parts as its count needs.
+#: A length is dealt into so many hash parts for ranking, and one more for every so many rows of it.
+RANK_PARTS = 128
 RANK_ROWS = 20_000
 
 
@@ -115,12 +116,12 @@ def place(spark: SparkSession, items: DataFrame, cap: Capacity = Capacity()) ->
     """``items`` (a materialised table with column length, 1 to cap.tokens) with sequence_id and offset.
 
     The driver gets one count per length and holds the bin classes, whose number depends on the capacities and
-    not on the rows. Items of one length are ranked in hash parts of about ``RANK_ROWS`` plus the parts' prefix
+    not on the rows. Items of one length are ranked in hash parts of at most about ``RANK_ROWS`` plus the parts' prefix
     sums, so a length that holds a third of all rows is spread the wider the more they are. Equal rows are
     separate items.
     """
     sizes = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    parts = F.array(*[F.lit(1 + sizes.get(n, 0) // RANK_ROWS) for n in range(1, cap.tokens + 1)])
+    parts = F.array(*[F.lit(RANK_PARTS + sizes.get(n, 0) // RANK_ROWS) for n in range(1, cap.tokens + 1)])
     items = items.withColumn("_part", F.pmod(F.xxhash64(*items.columns), F.element_at(parts, F.col("length").cast("int"))).cast("long"))
     tally = items.groupBy("length", "_part").agg(F.count("*").alias("n"))
     table = slots(pack_histogram(sizes, cap))
