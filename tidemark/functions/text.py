@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -17,6 +18,15 @@ PLAIN = "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
 STOPWORDS = frozenset("a al an and are as at be by con de del el en es for from in is it la las lo los of on or para por que se the this to un una was with y".split())
 
 
+#: A word of the normalised text, for patterns over lower-cased text.
+WORD = r"[\p{L}\p{N}]+"
+
+
+def one_word(word: str) -> str:
+    """Pattern of a word that stands alone in lower-cased text."""
+    return r"(?<![\p{L}\p{N}])" + re.escape(word) + r"(?![\p{L}\p{N}])"
+
+
 def fold(x: Column | str) -> Column:
     """Without accents."""
     return F.translate(col(x), MARKED, PLAIN)
@@ -48,13 +58,28 @@ def shingles(x: Column | str, n: int = 8) -> Column:
 
 
 def shingle_hashes(x: Column | str, n: int = 8) -> Column:
-    """64-bit hashes of the distinct runs of ``n`` words, without building the runs as strings."""
-
-    def runs(w: Column) -> Column:
-        some = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n)))
-        return F.when(F.size(w) >= n, F.array_distinct(some)).otherwise(F.array().cast("array<long>"))
-
-    return F.transform(F.array(words(x)), runs)[0]
+    """64-bit hashes of the distinct runs of ``n`` words: word hashes combined by position, a vector at a time."""
+
+    def run(texts):
+        import numpy as np
+        import pandas as pd
+        import xxhash
+
+        out = []
+        for t in texts:
+            w = t.split() if t else []
+            if len(w) < n:
+                out.append(np.zeros(0, np.int64))
+                continue
+            h = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
+            s = np.zeros(len(w) - n + 1, np.uint64)
+            for j in range(n):
+                s = s * np.uint64(0x9E3779B97F4A7C15) + h[j : len(w) - n + 1 + j]
+                s ^= s >> np.uint64(29)
+            out.append(np.unique(s).view(np.int64))
+        return pd.Series(out)
+
+    return F.pandas_udf(run, "array<long>")(normalize(x))
 
 
 def query_terms(text: str) -> list[str]:

@@ -113,9 +113,12 @@ def pick_fact(facts: DataFrame, keys: Sequence[str], end: str, start: str, dims:
 
 
 def prior_fact(now: DataFrame, past: DataFrame, keys: Sequence[str], end: str, span: str, tolerance: int = 45, span_tolerance: int = 20) -> DataFrame:
-    """The value a year earlier: end within ``tolerance`` days of it, like span; the nearest wins."""
-    p = past.select(*keys, F.col(end).alias("_end"), F.col(span).alias("_span"), F.col("value").alias("prior"))
-    j = now.join(p, list(keys))
+    """The value a year earlier: end within ``tolerance`` days of it, like span; the nearest wins. Joined on the month, so a long series meets only its neighbours."""
+    # an end that fits lies in the month of the day a year earlier or at most two months off
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    near = 1 + tolerance // 28
+    p = past.select(*keys, F.col(end).alias("_end"), F.col(span).alias("_span"), F.col("value").alias("prior"), F.explode(F.sequence(month(end) - near, month(end) + near)).alias("_month"))
+    j = now.withColumn("_month", month(end) - 12).join(p, [*keys, "_month"]).drop("_month")
     gap = F.abs(F.date_diff(F.add_months(F.col(end), -12), F.col("_end")))
     j = j.withColumn("_gap", gap).where((F.col("_gap") <= tolerance) & (F.abs(F.col(span) - F.col("_span")) <= span_tolerance))
     return latest(j, [*keys, end], F.col("_gap"), F.col("_end")).drop("_gap", "_span").withColumnRenamed("_end", "prior_end")

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_div
 
-#: Sessions that may be broadcast as one array; three hundred years of days.
-MAX_SESSIONS = 120_000
-
-
 def calendar(days: DataFrame, day: str, *part: str) -> DataFrame:
     """Days with their position from 0 (a calendar is small: one window over its distinct days)."""
     w = Window.partitionBy(*part).orderBy(day)
@@ -23,21 +19,25 @@ def align(events: DataFrame, ts: str, sessions: DataFrame, open_ts: str, close_t
     """Position (t0) of the first session that opens strictly after each event; null off the end.
 
     An event exactly at an open reacts in the next session. With ``close_ts``, in_session says whether the event
-    lies in a session, both ends included. The calendar is checked for its size and broadcast as sorted arrays,
-    so events are never sorted or shuffled; a calendar too long for that goes through a range join by day.
+    lies in a session, both ends included. Events join the calendar on their day: a day's row has the number of
+    sessions that opened before it and its own sessions, so no event looks through more than those. The calendar
+    has one row a day, which one window can sort however long it is.
     """
-    rows = sessions.select(F.col(open_ts).alias("o"), (F.col(close_ts) if close_ts else F.lit(None)).alias("c"))
-    n = rows.count()
-    if n > MAX_SESSIONS:
-        raise ValueError(f"{n} sessions: a calendar holds each session once")
-    packed = rows.agg(F.sort_array(F.collect_list(F.struct("o", "c"))).alias("_s"))
-    out = events.crossJoin(F.broadcast(packed))
-    # the opens are sorted, so the count of opens not after the event is the position of the next one
-    later = F.size(F.filter("_s", lambda s: s["o"] <= F.col(ts)))
-    out = out.withColumn("t0", F.when(later < F.size("_s"), later))
+    rows = sessions.select(F.col(open_ts).alias("o"), (F.col(close_ts) if close_ts else F.lit(None).cast("timestamp")).alias("c"))
+    by_day = rows.groupBy(F.to_date("o").alias("_d")).agg(F.sort_array(F.collect_list(F.struct("o", "c"))).alias("_s"))  # a day's sessions
+    ends = by_day.agg(F.min("_d").alias("_a"), F.max("_d").alias("_z"), F.sum(F.size("_s")).alias("_n"))  # one row
+    days = ends.where("_a is not null").select(F.explode(F.sequence("_a", "_z")).alias("_d")).join(by_day, "_d", "left")
+    before = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    opened, closed = F.coalesce(F.sum(F.size("_s")).over(before), F.lit(0)), F.max(F.array_max(F.col("_s.c"))).over(before)
+    days = days.withColumn("_s", F.coalesce("_s", F.array().cast("array<struct<o:timestamp,c:timestamp>>"))).withColumns({"_before": opened, "_closed": closed})
+    out = events.withColumn("_d", F.to_date(ts)).join(days, "_d", "left").crossJoin(F.broadcast(ends))
+    count = F.when(F.col("_d") < F.col("_a"), 0).when(F.col("_d") > F.col("_z"), F.col("_n")).otherwise(F.col("_before") + F.size(F.filter("_s", lambda s: s["o"] <= F.col(ts))))
+    out = out.withColumn("t0", F.when(count < F.col("_n"), count).cast("int"))
     if close_ts:
-        out = out.withColumn("in_session", F.exists("_s", lambda s: (s["o"] <= F.col(ts)) & (F.col(ts) <= s["c"])))
-    return out.drop("_s")
+        now = F.exists("_s", lambda s: (s["o"] <= F.col(ts)) & (F.col(ts) <= s["c"]))
+        earlier = F.col(ts) <= F.col("_closed")  # a session that opened on an earlier day
+        out = out.withColumn("in_session", F.coalesce(now | F.coalesce(earlier, F.lit(False)), F.lit(False)))
+    return out.drop("_d", "_s", "_before", "_closed", "_a", "_z", "_n")
 
 
 def daily_returns(bars: DataFrame, symbol: str, pos: str, price: str) -> DataFrame:
@@ -76,7 +76,7 @@ def beta(events: DataFrame, key: Sequence[str], symbol: str, t0: str, bars: Data
 
 
 def equal_weight_index(returns: DataFrame, pos: str) -> DataFrame:
-    """Mean return of each position and its running compounded level (one row a day)."""
+    """Mean return of each position and its running compounded level (one row a day, so one window can sort them)."""
     mean = returns.groupBy(pos).agg(F.avg("ret").alias("ret"))
     level = F.exp(F.sum(F.log1p(F.coalesce("ret", F.lit(0.0)))).over(Window.orderBy(pos)))
     return mean.withColumn("level", level)

@@ -134,10 +134,10 @@ def nearest_column(tokens: DataFrame, columns: DataFrame, page: str, x: str, tol
     return j.withColumn("_g", gap).where(F.col("_g") <= tolerance).groupBy(*tokens.columns).agg(F.min_by("name", F.struct("_g", "name")).alias("column"))
 
 
-def decompose(question: Column, most: int = 4) -> Column:
-    """Parts of a question: split at question marks, semicolons and joining words; short parts aside."""
+def decompose(question: Column) -> Column:
+    """All parts of a question: split at question marks, semicolons and joining words; short parts aside."""
     parts = F.transform(F.split(F.lower(question), r"\?|;|" + tx.whole_words(("and", "as well as", "y", "und", "et"))), lambda p: F.trim(p))
-    return F.slice(F.filter(parts, lambda p: F.length(p) >= 8), 1, most)
+    return F.filter(parts, lambda p: F.length(p) >= 8)
 
 
 def figure_signal(text: Column) -> Column:

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.numeric import safe_div
-from ..functions.vectors import cosine
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, terms: Sequence[str] | None = None) -> DataFrame:
@@ -21,16 +21,24 @@ def postings(docs: DataFrame, id_col: str, text_col: str, terms: Sequence[str] |
 
 
 def bm25(docs: DataFrame, id_col: str, text_col: str, query: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(id, score) of documents with any query term; the larger the better."""
+    """(id, score) of documents with any query term; the larger the better.
+
+    A query has few terms, so each text gives its length and a count per term where it is read: nothing is
+    shuffled but one row of totals, and texts without a term are only measured, not scored.
+    """
     terms = tx.query_terms(query)
-    hits = postings(docs, id_col, text_col, terms)
-    length = docs.select(F.col(id_col).alias("id"), F.size(tx.words(text_col)).alias("len"))
-    total = length.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))  # one row
-    df = hits.groupBy("term").agg(F.count("*").alias("df"))  # a row per query term
-    scored = hits.join(length, "id").join(F.broadcast(df), "term").crossJoin(F.broadcast(total))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
-    return scored.groupBy("id").agg(F.sum(part).alias("score"))
+    low = F.lower(text_col)
+    length, counts = F.regexp_count(low, F.lit(tx.WORD)), [F.regexp_count(low, F.lit(tx.one_word(t))) for t in terms]
+    held = [low.rlike(tx.one_word(t)) for t in terms]
+    totals = docs.agg(F.count("*").alias("n"), F.avg(F.coalesce(length, F.lit(0))).alias("avg_len"), *[F.count_if(h).alias(f"df{i}") for i, h in enumerate(held)])
+    hits = docs.where(reduce(lambda x, y: x | y, held)).select(F.col(id_col).alias("id"), length.alias("len"), *[c.alias(f"tf{i}") for i, c in enumerate(counts)])
+    scored = hits.crossJoin(F.broadcast(totals))  # one row
+
+    def part(i: int) -> Column:
+        tf, df = F.col(f"tf{i}"), F.col(f"df{i}")
+        return F.log(1 + (F.col("n") - df + 0.5) / (df + 0.5)) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
+
+    return scored.select("id", reduce(lambda x, y: x + y, [part(i) for i in range(len(terms))]).alias("score"))
 
 
 def top_k(df: DataFrame, score: str, tie: str, k: int) -> DataFrame:
@@ -39,15 +47,48 @@ def top_k(df: DataFrame, score: str, tie: str, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(score), tie)))
 
 
+#: Rows and queries of a block; a pair of blocks is one matrix product of a task.
+ROW_BLOCK = 16_384
+QUERY_BLOCK = 1_024
+
+
 def nearest(queries: DataFrame, rows: DataFrame, id_col: str, vector: str, k: int, scope: Column | None = None) -> DataFrame:
     """(query, id, sim, rank): the k rows most similar to each of a stated set of queries.
 
-    The query side is a stated few (checked by the caller) and broadcast; the rows are scanned once, filtered by
-    ``scope`` before ranking.
+    Rows, filtered by ``scope`` before ranking, and queries are dealt into blocks by hash. Each pair of blocks is
+    one matrix product that leaves the k best of each query, so no side is broadcast and what is shuffled is the
+    rows once for every ``QUERY_BLOCK`` queries. Similarities count as equal within 1e-12, ties by id. Vectors
+    have one length; null and zero ones are no candidates.
     """
-    pool = rows if scope is None else rows.where(scope)
-    q = F.broadcast(queries.select(F.col(id_col).alias("query"), F.col(vector).alias("_q")))
-    sims = pool.select(F.col(id_col).alias("id"), F.col(vector).alias("_v")).join(q, F.col("query") != F.col("id")).select("query", "id", cosine("_q", "_v").alias("sim"))
+    pool = (rows if scope is None else rows.where(scope)).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
+    asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
+    across, down = 1 + asked.count() // QUERY_BLOCK, 1 + pool.count() // ROW_BLOCK
+    own = lambda df, n: df.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    dealt = own(pool, down).select(F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("qb"), F.col("_b").alias("rb"), "id", "v")
+    probes = own(asked, across).select(F.col("_b").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("rb"), "id", "v")
+
+    def compare(left, right):
+        import numpy as np
+        import pyarrow as pa
+
+        def unit(t):
+            v = t.column("v").combine_chunks()
+            x = v.values.to_numpy(zero_copy_only=False)[v.offsets[0].as_py() : v.offsets[len(v)].as_py()].reshape(len(v), -1)
+            norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+            return t.column("id").to_numpy(), x / np.where(norm > 0, norm, np.nan)
+
+        found = []
+        if len(left) and len(right):
+            (qi, q), (ri, r) = unit(left), unit(right)
+            sims = np.round(q @ r.T, 12)
+            for i, row in zip(qi, sims):
+                ok = np.flatnonzero(~np.isnan(row) & (ri != i))
+                best = ok[np.lexsort((ri[ok], -row[ok]))[:k]]
+                found.append((np.full(len(best), i), ri[best], row[best]))
+        a, b, sim = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"query": pa.array(a, pa.int64()), "id": pa.array(b, pa.int64()), "sim": pa.array(sim, pa.float64())})
+
+    sims = probes.groupBy("qb", "rb").cogroup(dealt.groupBy("qb", "rb")).applyInArrow(compare, "query long, id long, sim double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "id"))
     return sims.withColumn("rank", rank).where(F.col("rank") <= k)
 
@@ -70,7 +111,10 @@ def retrieval_metrics(ranked: DataFrame, query: str, rank: str, relevant: Column
 
 
 def boilerplate(docs: DataFrame, id_col: str, text_col: str, n: int = 8, least: int = 10, share: float = 0.5) -> DataFrame:
-    """(id, shingles, common, boilerplate): a shingle is common in at least ``least`` documents, a text is boilerplate if ``share`` of its shingles are."""
+    """(id, shingles, common, boilerplate): a shingle is common in at least ``least`` documents, a text is boilerplate if ``share`` of its shingles are.
+
+    Counts are aggregated before the shuffle, so a license line is one row a task there.
+    """
     runs = docs.select(F.col(id_col).alias("id"), F.explode(tx.shingle_hashes(text_col, n)).alias("s"))
     common = runs.groupBy("s").agg(F.count("*").alias("df")).where(F.col("df") >= least).select("s", F.lit(1).alias("c"))
     out = runs.join(common, "s", "left").groupBy("id").agg(F.count("*").alias("shingles"), F.count("c").alias("common"))
@@ -115,8 +159,8 @@ def dedupe_by_signature(hits: DataFrame, text_col: str, order: Sequence[Column])
 def cap_floods(hits: DataFrame, order: str, concept: str, company: str, concept_cap: int = 6, company_cap: int = 10) -> DataFrame:
     """Ranked hits with sunk: true for those beyond a concept's or company's cap among the ones kept before.
 
-    Each decision depends on the ones kept before it, so a result list is walked in order; it is a bounded
-    top-k report, never a corpus.
+    Each decision depends on the ones kept before it, so a result list is walked in order by one task: pass the
+    top k of a search, not a corpus.
     """
 
     def walk(rows):

@@ -94,27 +94,33 @@ def decide(score: str, analyst: str, risk: str, median: str) -> Column:
 def logistic_fit(df: DataFrame, period: str, x: str, y: str, span: int, least: int = 20, rounds: int = 25) -> DataFrame:
     """Logistic intercept and slope per period from the ``span`` periods strictly before it, by reweighted least squares.
 
-    Each row is sent to the periods that learn from it, so a period's fit is one bounded group.
+    Each round is one aggregation of five sums per period; the driver holds two numbers a
+    period, never rows. Null where the past has under ``least`` rows or one outcome only.
     """
-    past = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.explode(F.sequence(F.col(period) + 1, F.col(period) + span)).alias(period), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    past = past.join(df.select(period).distinct(), period, "left_semi")
-
-    def fit(key: tuple, rows):
-        import numpy as np
-        import pandas as pd
-
-        if len(rows) < least or rows["y"].nunique() < 2:
-            return pd.DataFrame({"p": [key[0]], "n": [len(rows)], "intercept": [None], "slope": [None]})
-        a, b = np.stack([np.ones(len(rows)), rows["x"].to_numpy()], axis=1), np.zeros(2)
-        for _ in range(rounds):
-            p = 1 / (1 + np.exp(-(a @ b).clip(-30, 30)))
-            step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-6 * np.eye(2), a.T @ (rows["y"].to_numpy() - p) - 1e-6 * b)
-            b = b + step
-            if np.abs(step).max() < 1e-10:
-                break
-        return pd.DataFrame({"p": [key[0]], "n": [len(rows)], "intercept": [b[0]], "slope": [b[1]]})
-
-    return past.groupBy(period).applyInPandas(fit, "p int, n long, intercept double, slope double").withColumnRenamed("p", period)
+    import numpy as np
+
+    past = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.explode(F.sequence((F.col(period) + 1).cast("int"), (F.col(period) + span).cast("int"))).alias("p"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    past = past.join(df.select(F.col(period).cast("int").alias("p")).distinct(), "p", "left_semi")
+    spark = df.sparkSession
+    sizes = {r["p"]: r for r in past.groupBy("p").agg(F.count("*").alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi")).collect()}
+    b = {k: np.zeros(2) for k, r in sizes.items() if r["n"] >= least and r["lo"] < r["hi"]}
+    moving = set(b)
+    for _ in range(rounds):
+        if not moving:
+            break
+        now = spark.createDataFrame([(k, float(b[k][0]), float(b[k][1])) for k in sorted(moving)], "p int, b0 double, b1 double")
+        z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("b0") + F.col("b1") * F.col("x")))
+        q = past.join(F.broadcast(now), "p").withColumn("q", 1 / (1 + F.exp(-z)))  # a row a period
+        w, r = F.col("q") * (1 - F.col("q")), F.col("y") - F.col("q")
+        sums = q.groupBy("p").agg(F.sum(w), F.sum(w * F.col("x")), F.sum(w * F.col("x") * F.col("x")), F.sum(r), F.sum(r * F.col("x")))
+        moving = set()
+        for k, a, c, d, g, h in sums.collect():
+            step = np.linalg.solve(np.array([[a, c], [c, d]]) + 1e-6 * np.eye(2), np.array([g, h]) - 1e-6 * b[k])
+            b[k] = b[k] + step
+            if np.abs(step).max() >= 1e-10:
+                moving.add(k)
+    rows = [(k, r["n"], *(map(float, b[k]) if k in b else (None, None))) for k, r in sorted(sizes.items())]
+    return spark.createDataFrame(rows, "p int, n long, intercept double, slope double").withColumnRenamed("p", period)
 
 
 def permutation_p(df: DataFrame, keys: Sequence[str], group: str, signal: str, outcome: str, draws: int, seed: int = 1) -> DataFrame:

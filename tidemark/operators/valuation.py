@@ -5,7 +5,7 @@ from __future__ import annotations
 import ast
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import admit, col, near_reference, safe_div
@@ -44,18 +44,19 @@ def admitted(df: DataFrame, names: Sequence[str], subject: Column | None = None)
 def peer_medians(df: DataFrame, group: str, key: str, names: Sequence[str]) -> DataFrame:
     """Per company and multiple: value, exact median of its group without it, premium to that median.
 
-    The others' values are found by a self-join within the group on (group, name); groups are peer lists.
+    Values are ranked within their group; a median without one member lies among the few in the middle, which
+    are one row a group, so no group is collected and no pairs are formed.
     """
     long = df.select(group, key, F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])).alias("m")).select(group, key, "m.name", "m.value")
-    # the group's sorted values give every member's leave-one-out median by position, without a join of all pairs
-    values = long.where("value is not null").groupBy(group, "name").agg(F.sort_array(F.collect_list("value")).alias("_v"))
-    out = long.join(values, [group, "name"], "left")
-    place = F.array_position("_v", F.col("value")).cast("int") - 1
-    n = F.size("_v") - F.col("value").isNotNull().cast("int")
-    at = lambda i: F.get("_v", (i + ((i >= place) & F.col("value").isNotNull()).cast("int")).cast("int"))
-    place = F.coalesce(place, F.lit(1 << 30))
-    median = F.when(n > 0, (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2)
-    return out.withColumn("peer_median", median).withColumn("premium", safe_div(F.col("value"), F.col("peer_median")) - 1).drop("_v")
+    w = Window.partitionBy(group, "name")
+    ranked = long.withColumn("_n", F.count("value").over(w)).withColumn("_r", F.when(F.col("value").isNotNull(), F.row_number().over(w.orderBy(F.asc_nulls_last("value"), key)) - 1))
+    low, high = F.floor((F.col("_n") - 2) / 2), F.floor((F.col("_n") - 1) / 2)
+    at = {"_c0": low, "_c1": low + 1, "_c2": high, "_c3": high + 1}
+    middle = ranked.groupBy(group, "name").agg(*[F.max(F.when(F.col("_r") == i, F.col("value"))).alias(c) for c, i in at.items()])
+    out = ranked.join(middle, [group, "name"])
+    without = (F.when(low >= F.col("_r"), F.col("_c1")).otherwise(F.col("_c0")) + F.when(high >= F.col("_r"), F.col("_c3")).otherwise(F.col("_c2"))) / 2
+    median = F.when(F.col("_r").isNull(), (F.col("_c2") + F.col("_c1")) / 2).when(F.col("_n") > 1, without)
+    return out.select(group, key, "name", "value", median.alias("peer_median")).withColumn("premium", safe_div(F.col("value"), F.col("peer_median")) - 1)
 
 
 def reconcile(filing: Column | str, other: Column | str, ref: Column | str) -> tuple[Column, Column]:

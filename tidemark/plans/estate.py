@@ -33,15 +33,14 @@ def coverage_gaps(spark, d):
     return catalog.coverage_gaps(expected, known, ["c_custkey", "qi"]).groupBy("c_custkey").agg(F.count("*").alias("missing"), F.min("qi").alias("first_gap"))
 
 
-@query("coverage_by_source", """WITH k AS (SELECT c_nationkey, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS INTEGER) AS qi, min(CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END) AS rank FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 5 = 0 GROUP BY 1, 2)
-SELECT n_name AS slug, qi, CASE rank WHEN 1 THEN 'urgent' WHEN 2 THEN 'high' WHEN 3 THEN 'other' ELSE 'none' END AS source FROM nation CROSS JOIN range(1995 * 4, 2001 * 4 + 3) r(qi) LEFT JOIN k ON c_nationkey = n_nationkey AND k.qi = r.qi""".replace("SELECT n_name AS slug, qi,", "SELECT n_name AS slug, CAST(r.qi AS INTEGER) AS qi,"))
+@query("coverage_by_source", """WITH k AS (SELECT o_custkey, year(o_orderdate) AS fy, min(CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END) AS rank FROM orders GROUP BY 1, 2)
+SELECT c_custkey, CAST(r.fy AS INTEGER) AS fy, CASE rank WHEN 1 THEN 'urgent' WHEN 2 THEN 'high' WHEN 3 THEN 'other' ELSE 'none' END AS source FROM customer CROSS JOIN range(1995, 2002) r(fy) LEFT JOIN k ON o_custkey = c_custkey AND k.fy = r.fy""")
 def coverage_by_source(spark, d):
     rank = F.when(F.col("o_orderpriority") == "1-URGENT", 1).when(F.col("o_orderpriority") == "2-HIGH", 2).otherwise(3)
-    seen = orders(spark, d).where("o_orderkey % 5 = 0").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    seen = seen.groupBy("c_nationkey", periods.quarter_index("o_orderdate").alias("qi")).agg(F.min(rank).alias("rank"))
-    wanted = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("slug"), F.explode(F.sequence(F.lit(1995 * 4), F.lit(2001 * 4 + 2))).alias("qi"))
-    out = wanted.join(seen.withColumnRenamed("qi", "_q"), (F.col("c_nationkey") == F.col("n_nationkey")) & (F.col("_q") == F.col("qi")), "left")
-    return out.select("slug", "qi", F.when(F.col("rank") == 1, "urgent").when(F.col("rank") == 2, "high").when(F.col("rank") == 3, "other").otherwise("none").alias("source"))
+    seen = orders(spark, d).groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("fy")).agg(F.min(rank).alias("rank"))
+    wanted = table(spark, d, "customer").select("c_custkey", F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("fy"))
+    out = wanted.join(seen, ["c_custkey", "fy"], "left")
+    return out.select("c_custkey", "fy", F.when(F.col("rank") == 1, "urgent").when(F.col("rank") == 2, "high").when(F.col("rank") == 3, "other").otherwise("none").alias("source"))
 
 
 @query("duplicate_content", "SELECT sha256(coalesce(text, '')) AS sha256, count(*) AS copies, min(doc_id) AS canonical, (count(*) - 1) * max(length(text)) AS waste FROM documents GROUP BY 1 HAVING count(*) > 1")

@@ -31,11 +31,12 @@ def alias_mentions(spark, d):
     return reports.alias_mentions(table(spark, d, "documents"), "doc_id", "text", {"free": ("mit", "gpl", "apache"), "rights": ("rights", "copyright")})
 
 
-@query("roster_reconciliation", "WITH k AS (SELECT DISTINCT c_nationkey AS key FROM customer WHERE c_custkey % 9 = 0 UNION SELECT DISTINCT s_nationkey FROM supplier UNION SELECT n_nationkey FROM nation WHERE n_nationkey % 2 = 0) SELECT key, key IN (SELECT c_nationkey FROM customer WHERE c_custkey % 9 = 0) AS filings, key IN (SELECT s_nationkey FROM supplier) AS roster, key % 2 = 0 AS covered FROM k")
+@query("roster_reconciliation", "WITH f AS (SELECT c_nationkey AS key FROM customer WHERE c_acctbal < -900), s AS (SELECT s_nationkey AS key FROM supplier WHERE s_acctbal > 0), n AS (SELECT n_nationkey AS key FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE')), k AS (SELECT key FROM f UNION SELECT key FROM s UNION SELECT key FROM n) SELECT key, key IN (SELECT key FROM f) AS filings, key IN (SELECT key FROM s) AS roster, key IN (SELECT key FROM n) AS covered FROM k")
 def roster_reconciliation(spark, d):
-    a = table(spark, d, "customer").where("c_custkey % 9 = 0").select(F.col("c_nationkey").alias("key"))
-    b = table(spark, d, "supplier").select(F.col("s_nationkey").alias("key"))
-    c = table(spark, d, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("key"))
+    a = table(spark, d, "customer").where("c_acctbal < -900").select(F.col("c_nationkey").alias("key"))
+    b = table(spark, d, "supplier").where("s_acctbal > 0").select(F.col("s_nationkey").alias("key"))
+    regions = table(spark, d, "region").where(F.col("r_name").isin("ASIA", "EUROPE"))
+    c = table(spark, d, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("key"))
     return reports.reconcile_rosters(filings=a, roster=b, covered=c)
 
 
@@ -178,36 +179,30 @@ def match_ranges(spark, d):
     return reports.match_ranges(m, "source", "doc_id", "n").select("source", "doc_id", "first", "last")
 
 
-@query("report_calendar", """WITH k AS (SELECT DISTINCT c_nationkey AS n, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS INTEGER) AS qi FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 6 = 0), e AS (SELECT n_nationkey AS n, CAST(qi AS INTEGER) AS qi FROM nation, range(2000 * 4, 2002 * 4) r(qi))
+@query("report_calendar", """WITH k AS (SELECT DISTINCT o_custkey AS n, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS INTEGER) AS qi FROM orders), e AS (SELECT c_custkey AS n, CAST(qi AS INTEGER) AS qi FROM customer, range(2000 * 4, 2002 * 4) r(qi))
 SELECT e.n, e.qi, CASE WHEN k.n IS NOT NULL THEN 'received' WHEN CAST(last_day(make_date(e.qi // 4, (e.qi % 4) * 3 + 3, 1)) AS DATE) + 60 <= DATE '2001-10-01' THEN 'missing' ELSE 'expected' END AS state FROM e LEFT JOIN k ON k.n = e.n AND k.qi = e.qi""")
 def report_calendar(spark, d):
-    known = table(spark, d, "orders").where("o_orderkey % 6 = 0").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("n"), periods.quarter_index("o_orderdate").alias("qi"))
-    expected = table(spark, d, "nation").select(F.col("n_nationkey").alias("n"), F.explode(F.sequence(F.lit(8000), F.lit(8007))).alias("qi"))
+    known = table(spark, d, "orders").select(F.col("o_custkey").alias("n"), periods.quarter_index("o_orderdate").alias("qi"))
+    expected = table(spark, d, "customer").select(F.col("c_custkey").alias("n"), F.explode(F.sequence(F.lit(8000), F.lit(8007))).alias("qi"))
     return reports.report_calendar(known, expected, ["n", "qi"], periods.due("qi", F.lit("2001-10-01").cast("date"), 60))
 
 
 @query("reembed_plan", "SELECT doc_id FROM documents WHERE doc_id % 5 = 0 OR doc_id % 5 = 1")
 def reembed_plan(spark, d):
+    """The remainder of the id plants which rows an index holds, under which model; every row takes part."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     done = docs.where("doc_id % 5 > 0").select("doc_id", F.sha2(F.concat_ws("|", F.when(F.col("doc_id") % 5 == 1, "old").otherwise("new"), F.coalesce("text", F.lit(""))), 256).alias("signature"))
     return reports.reembed_plan(docs, done, "doc_id", "text", "new").select("doc_id")
 
 
-@query("nearest_header", "WITH h AS (SELECT l_returnflag AS page, l_linestatus || CAST(l_linenumber AS VARCHAR) AS name, l_linenumber * 7.0 AS pos FROM lineitem WHERE l_orderkey < 50 GROUP BY ALL), t AS (SELECT DISTINCT l_returnflag AS page, l_quantity AS x FROM lineitem) SELECT page, x, min_by(name, struct_pack(g := abs(x - pos), n := name)) AS column FROM t JOIN h USING (page) WHERE abs(x - pos) <= 3 GROUP BY 1, 2".replace("AS column", 'AS "column"'))
+@query("nearest_header", "WITH h AS (SELECT l_returnflag AS page, l_linestatus || CAST(l_linenumber AS VARCHAR) AS name, l_linenumber * 7.0 AS pos FROM lineitem GROUP BY ALL), t AS (SELECT DISTINCT l_returnflag AS page, l_quantity AS x FROM lineitem) SELECT page, x, min_by(name, struct_pack(g := abs(x - pos), n := name)) AS column FROM t JOIN h USING (page) WHERE abs(x - pos) <= 3 GROUP BY 1, 2".replace("AS column", 'AS "column"'))
 def nearest_header(spark, d):
     i = table(spark, d, "lineitem")
-    h = i.where("l_orderkey < 50").select(F.col("l_returnflag").alias("page"), F.concat("l_linestatus", F.col("l_linenumber").cast("string")).alias("name"), (F.col("l_linenumber") * 7.0).cast("double").alias("pos")).distinct()
+    h = i.select(F.col("l_returnflag").alias("page"), F.concat("l_linestatus", F.col("l_linenumber").cast("string")).alias("name"), (F.col("l_linenumber") * 7.0).cast("double").alias("pos")).distinct()
     t = i.select(F.col("l_returnflag").alias("page"), F.col("l_quantity").alias("x")).distinct()
     return reports.nearest_column(t, h, "page", "x", 3.0)
 
 
-@query("judged_precision", "WITH r AS (SELECT label AS q, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rank, vec_id % 3 = 0 AS good FROM embeddings) SELECT round(avg(p), 8) AS precision_at_5, round(1 - avg(p), 8) AS noise FROM (SELECT q, avg(CASE WHEN good THEN 1.0 ELSE 0.0 END) AS p FROM r WHERE rank <= 5 GROUP BY q)")
-def judged_precision(spark, d):
-    r = table(spark, d, "embeddings").withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))).where("rank <= 5")
-    p = r.groupBy("label").agg(F.avg((F.col("vec_id") % 3 == 0).cast("double")).alias("p"))
-    return p.agg(F.round(F.avg("p"), 8).alias("precision_at_5"), F.round(1 - F.avg("p"), 8).alias("noise"))
-
-
 @query("metric_strength", """WITH x AS (SELECT p_brand AS metric, p_retailprice AS v, p_size FROM part), s AS (SELECT metric, count(*) AS n, avg(CASE WHEN p_size > 5 THEN 1.0 ELSE 0.0 END) AS coverage, count(*) FILTER (WHERE v > 2000) AS suspects FROM x GROUP BY 1)
 SELECT metric, round(coverage, 8) AS coverage, suspects, coverage >= 0.85 AND suspects = 0 AS strong FROM s""")
 def metric_strength(spark, d):
@@ -240,7 +235,7 @@ def readiness_matrix(spark, d):
     return c.withColumn("gaps", gaps)
 
 
-@query("question_parts", r"SELECT conv_id, turn, len(list_filter(list_transform(regexp_split_to_array(lower(text), '\?|;|\b(?:and|as well as|y|und|et)\b'), lambda p: trim(p)), lambda p: length(p) >= 8)[1:4]) AS parts FROM conversations WHERE text IS NOT NULL AND role = 'user'")
+@query("question_parts", r"SELECT conv_id, turn, len(list_filter(list_transform(regexp_split_to_array(lower(text), '\?|;|\b(?:and|as well as|y|und|et)\b'), lambda p: trim(p)), lambda p: length(p) >= 8)) AS parts FROM conversations WHERE text IS NOT NULL AND role = 'user'")
 def question_parts(spark, d):
     t = table(spark, d, "conversations").where("text is not null and role = 'user'")
     return t.select("conv_id", "turn", F.size(reports.decompose(F.col("text"))).cast("long").alias("parts"))

@@ -66,6 +66,17 @@ def retrieval_eval(spark, d):
     return out.select("queries", *[F.round(c, 8).alias(c) for c in ("recall_at_1", "recall_at_5", "mrr")])
 
 
+@query("judged_precision", f"""WITH {SIM_SQL}, j AS (SELECT query, avg(CASE WHEN ql = pl THEN 1.0 ELSE 0.0 END) AS p, bool_or(rank = 1 AND ql <> pl) AS misfire FROM rk WHERE rank <= 5 GROUP BY 1)
+SELECT count(*) AS queries, round(avg(p), 8) AS precision_at_5, round(1 - avg(p), 8) AS noise, round(avg(CASE WHEN misfire THEN 1.0 ELSE 0.0 END), 8) AS false_fires FROM j""")
+def judged_precision(spark, d):
+    """Of the five nearest of each query, the share of its own label; false fires are queries whose first hit has another."""
+    labels = table(spark, d, "embeddings").select(F.col("vec_id").alias("_id"), "label")
+    ranked = _nearest(spark, d, k=5).join(labels.withColumnRenamed("label", "ql"), F.col("query") == F.col("_id")).drop("_id").join(labels, F.col("id") == F.col("_id"))
+    own = F.col("ql") == F.col("label")
+    j = ranked.groupBy("query").agg(F.avg(own.cast("double")).alias("p"), F.max((~own & (F.col("rank") == 1)).cast("double")).alias("misfire"))
+    return j.agg(F.count("*").alias("queries"), F.round(F.avg("p"), 8).alias("precision_at_5"), F.round(1 - F.avg("p"), 8).alias("noise"), F.round(F.avg("misfire"), 8).alias("false_fires"))
+
+
 @query("centroids", "SELECT label, i - 1 AS place, round(avg(CAST(embedding[i] AS DOUBLE)), 8) AS x FROM embeddings, range(1, 65) t(i) GROUP BY 1, 2")
 def centroids(spark, d):
     c = vectors.centroid(table(spark, d, "embeddings"), ["label"], "embedding")
@@ -76,7 +87,8 @@ def centroids(spark, d):
 u AS (SELECT id, 1.0 / (60 + rank) AS s FROM a UNION ALL SELECT id, 0.5 / (60 + rank) FROM b) SELECT id, round(sum(s), 10) AS score FROM u GROUP BY id""")
 def rrf_fusion(spark, d):
     words = search.top_k(search.bm25(docs(spark, d), "doc_id", "text", QUERY), "score", "id", 30)
-    near = _nearest(spark, d, None, 30).where("query = 0")
+    e = table(spark, d, "embeddings")
+    near = search.nearest(e.where("vec_id = 0"), e, "vec_id", "embedding", 30)
     return search.reciprocal_rank_fusion([(words, 1.0), (near, 0.5)]).select("id", F.round("score", 10).alias("score"))
 
 
@@ -151,9 +163,9 @@ def match_counts(spark, d):
     return docs(spark, d).select("doc_id", tx.count_matches("text", ("license", "the")).alias("n"))
 
 
-@query("slugify_titles", f"SELECT doc_id, regexp_replace(regexp_replace(lower(translate(substr(text, 1, 60), '{tx.MARKED}', '{tx.PLAIN}')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM documents")
+@query("slugify_titles", f"SELECT doc_id, md5(regexp_replace(regexp_replace(lower(translate(text, '{tx.MARKED}', '{tx.PLAIN}')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) AS slug_md5 FROM documents")
 def slugify_titles(spark, d):
-    return docs(spark, d).select("doc_id", tx.slugify(F.substring("text", 1, 60)).alias("slug"))
+    return docs(spark, d).select("doc_id", F.md5(tx.slugify("text")).alias("slug_md5"))
 
 
 @query("parse_numbers", """WITH v AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN '(' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ')' WHEN 1 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ',5' WHEN 2 THEN '1.234,' || CAST(CAST(l_quantity AS INTEGER) % 10 AS VARCHAR) ELSE '1,' || lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 3, '0') || '.5 %' END AS s, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS q FROM lineitem)
