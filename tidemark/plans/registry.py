@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import coverage, delivery, estate, market, reports, retrieval, study  # noqa: F401  they register their queries
+from . import coverage, delivery, estate, market, models, reports, retrieval, study  # noqa: F401  they register their queries
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

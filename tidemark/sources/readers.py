@@ -75,6 +75,11 @@ def fresh_or_stale(cache: DataFrame, key: Sequence[str], now, ttl: str) -> DataF
     return rows.withColumn("fresh", F.col("fetched_at") >= now - F.expr(f"INTERVAL {ttl}"))
 
 
+def macro_series(spark: SparkSession, path: str) -> DataFrame:
+    """Observations of macro series from the JSON lines that a fetch leaves: series, year, value, number of readings."""
+    return spark.read.schema("series string, fy int, value double, n long").json(path)
+
+
 def feed(spark: SparkSession, path: str) -> DataFrame:
     """Items of RSS files: title, link, published, summary."""
     schema = "title string, link string, pubDate string, description string"
