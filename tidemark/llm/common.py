@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,6 +143,20 @@ def release_memory() -> None:
         pass  # another C library
 
 
+def arrow_column(each: Callable, kind: str, *columns: Column) -> Column:
+    """Column of type ``kind`` that ``each`` makes of the columns' Arrow arrays, batch by batch; a task hands back its memory at its end."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            yield each(*b) if isinstance(b, tuple) else each(b)
+        release_memory()
+
+    one = pa.Array if len(columns) == 1 else tuple[pa.Array, ...]
+    run.__annotations__ = {"batches": Iterator[one], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, kind)(*columns)
+
+
 _TOKENIZERS: dict = {}
 
 

@@ -14,6 +14,8 @@ from html import unescape
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import arrow_column
+
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTR_NAME = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)\s*(=?)\s*")
 _BARE_VALUE = re.compile(r"[^\s>]*")
@@ -339,13 +341,12 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     Null and empty pages give an empty text, repeated rows each their own, an empty table no rows.
     """
-    @F.pandas_udf("string")
-    def run(htmls):
-        import pandas as pd
+    def run(pages_of_batch):
+        import pyarrow as pa
 
-        return pd.Series([main_text(h) for h in htmls], dtype=object)
+        return pa.array([main_text(h.as_py()) for h in pages_of_batch], pa.string())
 
-    return pages.withColumn("text", run(F.coalesce(F.col(html_col), F.lit(""))))
+    return pages.withColumn("text", arrow_column(run, "string", F.coalesce(F.col(html_col), F.lit(""))))
 
 
 def op9(spark: SparkSession, pages: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, Scratch, held_by, join_by_key, key_filter, release_memory, text_or_empty
+from .common import SPACE_CHARS, Scratch, arrow_column, held_by, join_by_key, key_filter, release_memory, text_or_empty
 
 #: Words that a repeated run must have; a window of consecutive lines is as short as reaches them.
 RUN_WORDS = 50
@@ -139,6 +139,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
                 rows += [(key, mark, lo + i, lo + j, h) for i, j, h in extensions(at - lo, both[:n].tolist(), both[n:].tolist(), run_words)]
             if rows:
                 yield _batch(pa, rows, _EXTENSIONS)
+        release_memory()
 
     keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__mark": F.xxhash64(text_or_empty(text_col))})
     listed = scratch.save(keyed.select("__id", "__mark", text_or_empty(text_col).alias("t")).mapInArrow(fingerprints, _FINGERPRINTS), "fingerprints")
@@ -158,15 +159,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     # one plan at every size: a small table of cuts would be broadcast and a large one not
     joined = asked.where("_maybe").join(cuts.hint("merge"), F.col("__id").eqNullSafe(F.col("__cut_id")) & (F.col("__mark") == F.col("__cut_mark")), "left")
 
-    @F.pandas_udf("text string, removed long")
     def rewrite(texts, spans):
-        import pandas as pd
+        import pyarrow as pa
 
-        done = [(t, 0) if s is None or t is None else erase(t, [(x["lo"], x["hi"]) for x in s]) for t, s in zip(texts, spans)]
-        return pd.DataFrame(done, columns=["text", "removed"])
+        done = [(None, 0) if s.as_py() is None or t.as_py() is None else erase(t.as_py(), [(x["lo"], x["hi"]) for x in s.as_py()]) for t, s in zip(texts, spans)]
+        return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["text", "removed"])
 
     cut = F.col("__spans").isNotNull()
-    joined = joined.withColumn("__new", F.when(cut, rewrite(F.when(cut, F.col(text_col)), F.col("__spans"))))
+    joined = joined.withColumn("__new", F.when(cut, arrow_column(rewrite, "text string, removed long", F.when(cut, F.col(text_col)), F.col("__spans"))))
     joined = joined.withColumn(text_col, F.when(cut, F.col("__new.text")).otherwise(F.col(text_col)))
     given = [c for c in docs.columns if c != "lines_removed"]
     whole = asked.where("not _maybe").select(*given, F.lit(0).cast("long").alias("lines_removed"))

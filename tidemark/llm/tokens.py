@@ -10,7 +10,6 @@ the library's own encoding of the whole text, without the tokens that it would a
 
 from __future__ import annotations
 
-import json
 from array import array
 
 from .common import load_tokenizer, release_memory
@@ -23,13 +22,14 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 OTHER_SPACES = "\t\r\x0b\x0c\x85\xa0                　"
 
 
-def _byte_level(path: str) -> bool:
-    """Whether the tokenizer in the file is plain byte-level BPE that cuts by ``PATTERN``."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
-    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
-    return spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and model.get("type") == "BPE" and plain
+def _byte_level(tokenizer) -> bool:
+    """Whether a tokenizer is plain byte-level BPE that cuts by ``PATTERN``."""
+    from tokenizers import models, pre_tokenizers
+
+    cut, model = tokenizer.pre_tokenizer, tokenizer.model
+    if tokenizer.normalizer is not None or not isinstance(cut, pre_tokenizers.ByteLevel) or not isinstance(model, models.BPE):
+        return False
+    return not cut.add_prefix_space and cut.use_regex and not any((model.dropout, model.continuing_subword_prefix, model.end_of_word_suffix, model.byte_fallback, model.ignore_merges))
 
 
 def _byte_letters() -> dict[int, str]:
@@ -47,35 +47,37 @@ class Pieces(dict):
 
         self.tokenizer, self.parts, self.letters = load_tokenizer(path), {}, _byte_letters()
         self.merge, self.cut = self.tokenizer.model.tokenize, regex.compile(PATTERN).findall
-        self.pieced, self.added = _byte_level(path), [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieced, self.added = _byte_level(self.tokenizer), [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
             self.clear()
-        if len(self.parts) >= CACHE_PIECES:
-            self.parts.clear()
-        ids, parts = b"", self.parts
-        for part in self._cut(piece):
-            if (found := parts.get(part)) is None:
-                found = parts[part] = array("I", [t.id for t in self.merge(self._letters(part))]).tobytes()
-            ids += found
+        if piece.isalpha():  # letters, also with a mark behind them, need no pattern
+            ids = self._merged(" " + piece)
+        elif piece[-1:] in _MARKS and piece[:-1].isalpha():
+            ids = self[piece[:-1]] + self._part(piece[-1])
+        else:
+            ids = b"".join(map(self._part, self.cut(piece[2:] if piece.startswith("\n\n") else " " + piece)))
         self[piece] = ids
         return ids
 
+    def _merged(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.merge(self._letters(part))]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a part of a piece that has several; remembered, as they come back in other pieces."""
+        if (found := self.parts.get(part)) is None:
+            if len(self.parts) >= CACHE_PIECES:
+                self.parts.clear()
+            found = self.parts[part] = self._merged(part)
+        return found
+
     def forget(self) -> None:
         """Drops what was remembered, so that an idle worker holds no cache through later stages."""
         self.clear()
         self.parts.clear()
         release_memory()
 
-    def _cut(self, piece: str) -> list[str]:
-        """What the pattern cuts a piece into; letters with at most one mark behind them need no pattern."""
-        if piece.isalpha():
-            return [" " + piece]
-        if piece[-1:] in _MARKS and piece[:-1].isalpha():
-            return [" " + piece[:-1], piece[-1]]
-        return self.cut(piece[2:] if piece.startswith("\n\n") else " " + piece)
-
     def _letters(self, part: str) -> str:
         if part.isascii() and part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
             return "\u0120" + part[1:] if part[0] == " " else part

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release_memory, text_or_empty
+from .common import arrow_column, release_memory, text_or_empty
 
 NGRAMS = (3, 4, 5, 6)
 BUCKET_BITS = 18
@@ -234,13 +234,12 @@ def reject(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame
     model, columns = fit(docs, labels), docs.columns
     scalars, bias = model["scalars"], model["bias"]
 
-    @F.pandas_udf("boolean")
     def clean(texts):
         import math
 
-        import pandas as pd
+        import pyarrow as pa
 
         limit = math.log(THRESHOLD / (1 - THRESHOLD))
-        return pd.Series([window_logits(t, scalars, bias).max() < limit for t in texts], dtype=bool)
+        return pa.array([bool(window_logits(t.as_py(), scalars, bias).max() < limit) for t in texts], pa.bool_())
 
-    return docs.where(clean(text_or_empty())).select(*columns)
+    return docs.where(arrow_column(clean, "boolean", text_or_empty())).select(*columns)
