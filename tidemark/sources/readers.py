@@ -75,6 +75,13 @@ def fresh_or_stale(cache: DataFrame, key: Sequence[str], now, ttl: str) -> DataF
     return rows.withColumn("fresh", F.col("fetched_at") >= now - F.expr(f"INTERVAL {ttl}"))
 
 
+def served(cached: DataFrame, fetched: DataFrame, key: str, value: str, new: str) -> DataFrame:
+    """(key, value, origin): fresh rows from the cache, others as fetched, and the stale row where the fetch brought nothing."""
+    j = cached.join(fetched, key, "left")
+    origin = F.when(F.col("fresh"), "cache").when(F.col(new).isNotNull(), "fetched").otherwise("stale")
+    return j.select(key, F.when(origin == "fetched", F.col(new)).otherwise(F.col(value)).alias(value), origin.alias("origin"))
+
+
 def macro_series(spark: SparkSession, path: str) -> DataFrame:
     """Observations of macro series from the JSON lines that a fetch leaves: series, year, value, number of readings."""
     return spark.read.schema("series string, fy int, value double, n long").json(path)

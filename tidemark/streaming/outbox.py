@@ -116,3 +116,56 @@ def drain(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str, mod
     done = spark.read.parquet(out)
     last = done.agg(F.max("epoch").alias("e"))  # one row
     return done.join(F.broadcast(last), F.col("epoch") == F.col("e")).drop("epoch", "e")
+
+
+def claim_batch(ready: DataFrame, first: DataFrame, limit: int) -> DataFrame:
+    """The first claim of each consumer extended by up to ``limit`` further ready deliveries of the same kind and priority, oldest first.
+
+    ``first`` has consumer_id, event_id, event_type and priority of what was claimed; a batch handler then gets one batch.
+    """
+    f = first.select("consumer_id", F.col("event_id").alias("_first"), F.col("event_type").alias("_kind"), F.col("priority").alias("_p"))
+    same = ready.join(f, "consumer_id").where((F.col("event_type") == F.col("_kind")) & (F.col("priority") == F.col("_p")) & (F.col("event_id") != F.col("_first")))
+    place = F.row_number().over(Window.partitionBy("consumer_id").orderBy("available_at", "event_id"))
+    more = same.withColumn("place", place).where(F.col("place") <= limit).select("consumer_id", "event_id", "place")
+    return f.select("consumer_id", F.col("_first").alias("event_id"), F.lit(0).alias("place")).unionByName(more)
+
+
+def project(events: DataFrame, key: str, order: str, values: list[str]) -> DataFrame:
+    """Current state of each key: the values of its last event, with how many events made it."""
+    last = F.max_by(F.struct(*values), F.struct(order))
+    return events.groupBy(key).agg(last.alias("_v"), F.count("*").alias("events"), F.max(order).alias("version")).select(key, "_v.*", "events", "version")
+
+
+def reconcile(source: DataFrame, projection: DataFrame, key: str) -> DataFrame:
+    """(key, state) of keys that a projection lacks (missing), holds at an older version (behind), or holds without a source (orphan)."""
+    s, p = source.select(key, F.col("version").alias("_s")), projection.select(key, F.col("version").alias("_p"))
+    state = F.when(F.col("_p").isNull(), "missing").when(F.col("_s").isNull(), "orphan").when(F.col("_p") < F.col("_s"), "behind")
+    return s.join(p, key, "full").withColumn("state", state).where("state is not null").select(key, "state")
+
+
+def audit(source: DataFrame, projection: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """One row: rows on both sides, rows whose values differ, and equal order-independent checksums or not."""
+    mix = lambda df: df.agg(F.bit_xor(F.xxhash64(key, *values)).alias("sum"), F.count("*").alias("n"))
+    a, b = mix(source).toDF("_a", "source_rows"), mix(projection).toDF("_b", "projected_rows")
+    j = source.select(key, F.struct(*values).alias("_x")).join(projection.select(key, F.struct(*values).alias("_y")), key)
+    differ = j.agg(F.count_if(~F.col("_x").eqNullSafe(F.col("_y"))).alias("differ"))
+    return a.crossJoin(b).crossJoin(differ).select("source_rows", "projected_rows", "differ", F.col("_a").eqNullSafe(F.col("_b")).alias("equal"))  # one row each
+
+
+def singleton_runs(requests: DataFrame, lease: str, at: str, ttl_seconds: int) -> DataFrame:
+    """``requests`` with granted: a run starts only where no granted run's lease of the same name still lives.
+
+    Requests of one lease name are a history that must be walked in order; they are folded in one array a name, a
+    name having one request every few seconds at most.
+    """
+    times = requests.groupBy(lease).agg(F.array_sort(F.collect_set(F.unix_micros(F.col(at).cast("timestamp")))).alias("_t"))
+    ttl = ttl_seconds * 1_000_000
+
+    def grant(held: Column, t: Column) -> Column:
+        free = (F.size(held) == 0) | (t >= F.element_at(held, -1) + ttl)
+        return F.when(free, F.concat(held, F.array(t))).otherwise(held)
+
+    granted = times.select(lease, F.explode(F.aggregate("_t", F.array().cast("array<long>"), grant)).alias("_g"))
+    marked = granted.withColumn("_yes", F.lit(True))
+    out = requests.withColumn("_g", F.unix_micros(F.col(at).cast("timestamp"))).join(marked, [lease, "_g"], "left")
+    return out.withColumn("granted", F.coalesce("_yes", F.lit(False))).drop("_g", "_yes")
