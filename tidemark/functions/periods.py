@@ -33,12 +33,20 @@ def label_index(label: Column | str) -> Column:
 
 
 def parse_period(text: Column | str) -> Column:
-    """Label found in free text: 1Q24, 1T2024, 2024-1T, Q1 2024, quarter words with a year, FY2024; null if none."""
+    """Label found in free text, null if none.
+
+    1Q24, 1T2024, 2024-1T, Q1 2024, quarter words and ordinals with a year, a quarter's last day, FY2024;
+    two-digit years below 70 are of this century.
+    """
     s = F.lower(col(text))
     for q, words in QUARTER_WORDS.items():
         for w in words:
             s = F.regexp_replace(s, w, f"q{q}")
-    year = lambda y: F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
+    s = F.regexp_replace(s, r"\b([1-4])(?:er|do|to|st|nd|rd|th)?\.?\s+(?:trimestre|trim|quarter)\b", "q$1")
+    # the end of a quarter as XBRL contexts write it
+    for q, day in enumerate(("03-?31", "06-?30", "09-?30", "12-?31"), 1):
+        s = F.regexp_replace(s, rf"\b((?:19|20)\d{{2}})-?{day}\b", f"$1 q{q}")
+    year = lambda y: F.when(F.length(y) == 2, F.concat(F.when(y.cast("int") < 70, "20").otherwise("19"), y)).otherwise(y)
     out = F.lit(None).cast("string")
     forms = [(r"\b((?:19|20)\d{2})[-_ ]?([1-4])[qt]\b", 1, 2), (r"\b((?:19|20)\d{2})[-_ ]?[qt]([1-4])\b", 1, 2), (r"\b([1-4])[qt][-_ ]?((?:19|20)?\d{2})\b", 2, 1), (r"\b[qt]([1-4])(?:\s+(?:of|de|del))?[-_ ]?((?:19|20)?\d{2})\b", 2, 1)]
     for form, y, q in reversed(forms):
@@ -79,6 +87,13 @@ def due(i: Column | str, as_of: Column, grace_days: int) -> Column:
     return F.date_add(quarter_end(i), grace_days) <= as_of
 
 
+def fiscal_quarters(issuers: DataFrame, month: str, first: int, last: int, days: int, annual_days: int) -> DataFrame:
+    """``issuers`` with fy, q, ends and deadline of each fiscal quarter; ``month`` is the month the fiscal year ends in."""
+    rows = issuers.withColumn("fy", F.explode(F.sequence(F.lit(first), F.lit(last)))).withColumn("q", F.explode(F.array(*[F.lit(i) for i in range(1, 5)])))
+    ends = F.last_day(F.add_months(F.make_date("fy", F.col(month), F.lit(1)), 3 * (F.col("q") - 4)))
+    return rows.withColumn("ends", ends).withColumn("deadline", F.date_add("ends", F.when(F.col("q") == 4, annual_days).otherwise(days)))
+
+
 def in_window(i: Column | str, first: int | None, last: int | None) -> Column:
     i = col(i)
     ok = F.lit(True)

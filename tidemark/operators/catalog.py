@@ -76,6 +76,19 @@ def precedence(df: DataFrame, keys: Sequence[str], tier: str, ranks: Mapping[str
     return latest(df.withColumn("_k", rank), keys, F.col("_k"), F.col(tier)).drop("_k")
 
 
+def newest_layout(df: DataFrame, keys: Sequence[str], layout: str, value: str) -> DataFrame:
+    """(keys, value, layout, provenance): of several layouts the newest's value, and all layouts, newest first."""
+    g = df.groupBy(*keys).agg(F.max_by(value, layout).alias("value"), F.max(layout).alias("layout"), F.sort_array(F.collect_set(layout), asc=False).alias("_all"))
+    return g.select(*keys, "value", "layout", F.array_join(F.transform("_all", lambda x: x.cast("string")), ",").alias("provenance"))
+
+
+def worst_first(df: DataFrame, ratio: str, key: str, floor: float) -> DataFrame:
+    """``df`` with met, and the place of those below ``floor`` on a worklist, worst first, ties by key (a worklist is a report: one window)."""
+    met = F.col(ratio) >= floor
+    work = df.where(~met).withColumn("worst", F.row_number().over(Window.orderBy(ratio, key)).cast("long"))
+    return df.where(met).withColumn("worst", F.lit(None).cast("long")).unionByName(work).withColumn("met", met)
+
+
 def compare(old: DataFrame, new: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """status (added, removed, changed, same) of each key; nulls equal each other."""
     a = old.select(*keys, F.struct(*values).alias("_a"))

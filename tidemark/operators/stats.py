@@ -95,6 +95,16 @@ def hit_rate(signal: str, outcome: str) -> list[Column]:
     return [n.alias("n"), k.alias("hits"), safe_div(k, n).alias("rate")]
 
 
+def confusion(df: DataFrame, gold: str, guess: str, classes: Sequence) -> DataFrame:
+    """(gold, guess, n, macro_f1): the confusion table, with the mean F1 of ``classes`` in every row."""
+    cells = df.groupBy(gold, guess).agg(F.count("*").alias("n"))
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    g, p = F.col(gold), F.col(guess)
+    f1 = [safe_div(2.0 * n((g == c) & (p == c)), n(g == c) + n(p == c)) for c in classes]
+    macro = cells.agg(F.array_compact(F.array(*f1)).alias("_f")).select((F.aggregate("_f", F.lit(0.0), lambda a, x: a + x) / F.size("_f")).alias("macro_f1"))
+    return cells.crossJoin(F.broadcast(macro))  # one row
+
+
 def dual_sharpe(daily: DataFrame, ret: str, calendar_days: int, year: int = 252) -> DataFrame:
     """Sharpe ratio over days with trades, and over all calendar days (others at zero) in closed form."""
     r = F.col(ret)
