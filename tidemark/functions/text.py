@@ -143,6 +143,12 @@ def language(x: Column | str, marks: Mapping[str, Sequence[str]]) -> Column:
     return F.transform(F.array(words(x)), best)[0]
 
 
+def redact_html(x: Column | str) -> Column:
+    """A provider's page without menus, footers, scripts, styles and adverts; other tags become spaces."""
+    s = F.regexp_replace(col(x), r"(?is)<(?:nav|footer|script|style)\b.*?</(?:nav|footer|script|style)>", "")
+    return F.regexp_replace(F.regexp_replace(s, r'(?is)<div class="ad">.*?</div>', ""), r"(?s)<[^>]*>", " ")
+
+
 def strip_html(x: Column | str) -> Column:
     """Text of a page by patterns: scripts, styles and tags out, common references decoded, white space collapsed."""
     s = F.regexp_replace(col(x), r"(?is)<(script|style)\b.*?</(script|style)>", " ")

@@ -219,7 +219,7 @@ def document_tone(spark, d):
     return docs(spark, d).select("doc_id", passages.tone_column(F.col("text")).alias("tone"))
 
 
-@query("document_sentences")
+@query("document_sentences", r"SELECT doc_id, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[^.!?\n]+'), lambda s: regexp_matches(s, '[\p{L}\p{N}]'))) AS INTEGER) AS sentences FROM documents")
 def document_sentences(spark, d):
     return docs(spark, d).select("doc_id", F.size(passages.sentence_column(F.col("text"))).alias("sentences"))
 
@@ -232,7 +232,14 @@ def turn_redline(spark, d):
     return t.select("conv_id", "turn", passages.redline_column(F.col("before"), F.col("text")).alias("r")).select("conv_id", "turn", "r.*")
 
 
-@query("scrubbed_text")
+SCRUB_SQL = "text"
+for _form, _mark in (("src0", "SOURCE"), ("src1", "SOURCE"), ("Apache License", "LICENSE"), ("MIT License", "LICENSE")):
+    SCRUB_SQL = rf"regexp_replace({SCRUB_SQL}, '\b{_form}\b', '{_mark}', 'gi')"
+for _form, _mark in ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "MAIL"), (r"\b(?:19|20)\d{2}\b", "YEAR"), (r"\d{6,}", "NUMBER")):
+    SCRUB_SQL = f"regexp_replace({SCRUB_SQL}, '{_form}', '{_mark}', 'g')"
+
+
+@query("scrubbed_text", f"SELECT doc_id, sha256({SCRUB_SQL}) AS scrubbed FROM documents")
 def scrubbed_text(spark, d):
     s = passages.scrub(F.col("text"), {"SOURCE": ["src0", "src1"], "LICENSE": ["MIT License", "Apache License"]})
     return docs(spark, d).select("doc_id", F.sha2(s, 256).alias("scrubbed"))

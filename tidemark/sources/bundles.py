@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.catalog import latest
@@ -85,3 +85,44 @@ def markdown_blocks(df: DataFrame, key: str, text: str) -> DataFrame:
         hit = F.col("line").rlike(mark)
         kind, plain = F.when(hit, name).otherwise(kind), F.when(hit, F.regexp_replace("line", mark, "")).otherwise(plain)
     return lines.select(key, F.col("ordinal").cast("long").alias("ordinal"), kind.alias("kind"), F.trim(F.regexp_replace(plain, r"\*\*|__|`", "")).alias("text"))
+
+
+def publish(df: DataFrame, root: str, version: str) -> None:
+    """A new version of a table beside the old ones, then the pointer to it put in place by one rename.
+
+    Readers see the old version until the rename and the new one after it, never a part of either.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{root}/versions/{version}")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    fs = path("").getFileSystem(conf)
+    out = fs.create(path("CURRENT.next"), True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    fs.delete(path("CURRENT"), False)
+    fs.rename(path("CURRENT.next"), path("CURRENT"))
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The version that the pointer names."""
+    version = spark.read.text(f"{root}/CURRENT").first()["value"]
+    return spark.read.parquet(f"{root}/versions/{version}")
+
+
+INSTANCE = "context array<struct<_id: string, period: struct<instant: date, startDate: date, endDate: date>>>, fact array<struct<_name: string, _contextRef: string, _unitRef: string, _VALUE: double>>, note array<struct<_name: string, _VALUE: string>>"
+
+
+def xbrl(df: DataFrame, xml: str, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """(facts with the dates of their contexts, text notes) of XBRL instances."""
+    x = df.select(*keys, F.from_xml(F.col(xml), INSTANCE).alias("_x"))
+    contexts = x.select(*keys, F.explode("_x.context").alias("_c")).select(*keys, F.col("_c._id").alias("_ref"), "_c.period.instant", F.col("_c.period.startDate").alias("period_start"), F.col("_c.period.endDate").alias("period_end"))
+    facts = x.select(*keys, F.explode("_x.fact").alias("_f")).select(*keys, F.col("_f._name").alias("concept"), F.col("_f._contextRef").alias("_ref"), F.col("_f._unitRef").alias("unit"), F.col("_f._VALUE").alias("value"))
+    notes = x.select(*keys, F.explode("_x.note").alias("_n")).select(*keys, F.col("_n._name").alias("name"), F.trim("_n._VALUE").alias("text"))
+    return facts.join(contexts, [*keys, "_ref"], "left").drop("_ref"), notes
+
+
+def html_row(*columns: str) -> Column:
+    """A row of a report as HTML, cells escaped."""
+    cell = lambda c: F.concat(F.lit("<td>"), F.replace(F.replace(F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit("</td>"))
+    return F.concat(F.lit("<tr>"), *[cell(c) for c in columns], F.lit("</tr>"))
