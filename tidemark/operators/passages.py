@@ -49,6 +49,8 @@ def chunks(text: str, target: int = 900, overlap: int = 150) -> list[tuple[int,
             following = last + 1
             while following - 1 > first and parts[last][1] - parts[following - 1][0] <= overlap:
                 following -= 1
+            while following <= last and parts[last + 1][1] - parts[following][0] > target:
+                following += 1  # an overlap that leaves no room for the next sentence would repeat what is there
             first = following
     return out
 
@@ -160,15 +162,20 @@ def label_score(a: str, b: str) -> float:
     return 0.5 * len(wx & wy) / len(wx | wy) + 0.5 * SequenceMatcher(None, x, y).ratio()
 
 
-def best_label(labels: Column, known: Sequence[str], least: float = 0.85) -> Column:
-    """Struct (label, score) of the best known label at or above ``least``."""
+def best_label(labels: Column, known: Sequence[str], least: float = 0.85, ruled_out: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """Struct (label, score) of the best known label at or above ``least``.
+
+    ``ruled_out`` names words by known label that speak against it ("minority" against "net income").
+    """
+    against = ruled_out or {}
 
     def run(xs):
         import pandas as pd
 
         rows = []
         for x in xs:
-            score, name = max(((label_score(x or "", k), k) for k in known), default=(0.0, None))
+            words = set(re.findall(r"\w+", (x or "").lower()))
+            score, name = max(((label_score(x or "", k), k) for k in known if not words.intersection(against.get(k, ()))), default=(0.0, None))
             rows.append({"label": name if score >= least else None, "score": score})
         return pd.DataFrame(rows)
 

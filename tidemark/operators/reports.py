@@ -83,8 +83,8 @@ def rank_auc(df: DataFrame, score: str, label: str, *part: str) -> DataFrame:
     return g.select(*part, "pos", "neg", safe_div(F.col("_s") - F.col("pos") * (F.col("pos") + 1) / 2, F.col("pos") * F.col("neg")).alias("auc"))
 
 
-def walk_forward_scores(df: DataFrame, period: str, x: str, y: str, span: int) -> DataFrame:
-    """``df`` with p: each period's rows scored by the logistic fit of the periods before it."""
+def walk_forward_scores(df: DataFrame, period: str, x: str, y: str, span: int | None) -> DataFrame:
+    """``df`` with p: each period's rows scored by the logistic fit of the periods before it, without a span of all others."""
     fits = logistic_fit(df, period, x, y, span).select(period, "intercept", "slope")
     out = df.join(fits, period, "left")
     return out.withColumn("p", 1 / (1 + F.exp(-(F.col("intercept") + F.col("slope") * F.col(x))))).drop("intercept", "slope")
@@ -98,6 +98,11 @@ def trailing_ic_weights(ics: DataFrame, name: str, period: str, span: int, least
     return fit.withColumn("weight", safe_div(F.col("_w"), F.sum("_w").over(Window.partitionBy(period)))).select(name, period, "weight")
 
 
+def gate(row: DataFrame, rate: str, p: str, least: float = 0.5, most: float = 0.05) -> DataFrame:
+    """A study's one row with open: the hit rate is over ``least`` and the permutation p at most ``most``."""
+    return row.withColumn("open", (F.col(rate) > least) & (F.col(p) <= most))
+
+
 def confidence(checks: Mapping[str, tuple[Column, float]]) -> Column:
     """Weighted share of passed checks among those that could be made, 0..1."""
     total = sum((F.when(c.isNotNull(), w).otherwise(0.0) for c, w in checks.values()), F.lit(0.0))

@@ -91,16 +91,23 @@ def decide(score: str, analyst: str, risk: str, median: str) -> Column:
     )
 
 
-def logistic_fit(df: DataFrame, period: str, x: str, y: str, span: int, least: int = 20, rounds: int = 25) -> DataFrame:
+def logistic_fit(df: DataFrame, period: str, x: str, y: str, span: int | None, least: int = 20, rounds: int = 25) -> DataFrame:
     """Logistic intercept and slope per period from the ``span`` periods strictly before it, by reweighted least squares.
 
+    Without a span a period learns from all other periods, so that each is left out once.
+
     Each round is one aggregation of five sums per period; the driver holds two numbers a
     period, never rows. Null where the past has under ``least`` rows or one outcome only.
     """
     import numpy as np
 
-    past = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.explode(F.sequence((F.col(period) + 1).cast("int"), (F.col(period) + span).cast("int"))).alias("p"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    past = past.join(df.select(F.col(period).cast("int").alias("p")).distinct(), "p", "left_semi")
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(period).cast("int").alias("own"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    wanted = df.select(F.col(period).cast("int").alias("p")).where("p is not null").distinct()
+    if span is None:
+        others = F.array(*[F.lit(r["p"]) for r in wanted.collect()])  # one entry a period
+        past = known.select(F.explode(F.filter(others.cast("array<int>"), lambda p: p != F.col("own"))).alias("p"), "x", "y")
+    else:
+        past = known.select(F.explode(F.sequence(F.col("own") + 1, F.col("own") + span)).alias("p"), "x", "y").join(wanted, "p", "left_semi")
     spark = df.sparkSession
     sizes = {r["p"]: r for r in past.groupBy("p").agg(F.count("*").alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi")).collect()}
     b = {k: np.zeros(2) for k, r in sizes.items() if r["n"] >= least and r["lo"] < r["hi"]}

@@ -98,6 +98,16 @@ def walk_forward_auc(spark, d):
     return reports.rank_auc(s, "p", "y", "_all").drop("_all")
 
 
+@query("left_out_auc")
+def left_out_auc(spark, d):
+    """AUC of scores from logistic fits that leave each row's quarter out, its permutation p within quarters, and the gate on both."""
+    u = scored(spark, d).where("z is not null and fwd is not null").select("slug", F.col("qi").cast("int").alias("qi"), "z", (F.col("fwd") > 0).cast("int").alias("y"))
+    s = reports.walk_forward_scores(u, "qi", "z", "y", None).where("p is not null").withColumn("_all", F.lit(1))
+    auc = reports.rank_auc(s, "p", "y", "_all").drop("_all")
+    chance = strategy.permutation_p(s, ["slug"], "qi", "p", "y", 100).select(F.col("p").alias("chance"))
+    return reports.gate(auc.crossJoin(F.broadcast(chance)), "auc", "chance")  # one row
+
+
 @query("multi_regression")
 def multi_regression(spark, d):
     """Fixed-effect slopes of two regressors with cluster-robust errors."""

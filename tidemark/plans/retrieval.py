@@ -265,6 +265,11 @@ def flood_caps(spark, d):
 
 @query("fuzzy_labels")
 def fuzzy_labels(spark, d):
-    p = table(spark, d, "part").select("p_type").distinct()
-    b = passages.best_label(F.col("p_type"), ["standard polished brass", "economy anodized steel", "promo plated copper"], 0.5)
-    return p.select("p_type", b.alias("b")).select("p_type", "b.label", F.round("b.score", 6).alias("score"))
+    """Row labels with typing slips matched to known ones; some words rule a label out."""
+    p = table(spark, d, "part").select(F.lower(F.regexp_replace(F.concat_ws(" ", "p_type", "p_name"), "e", "ee")).alias("label")).distinct()
+    b = passages.best_label(F.col("label"), FUZZY_KNOWN, 0.85, FUZZY_AGAINST)
+    return p.select("label", b.alias("b")).select(F.col("label").alias("p_type"), "b.label", F.round("b.score", 6).alias("score"))
+
+
+FUZZY_KNOWN = ("economy small ring", "economy red widget", "standard red widget", "promo blue gear")
+FUZZY_AGAINST = {"economy red widget": ("blue",), "promo blue gear": ("promo",)}

@@ -111,6 +111,32 @@ def catalog_table(spark: SparkSession, url: str, name: str, predicates: Sequence
     return spark.read.jdbc(url, name, predicates=list(predicates), properties=dict(properties))
 
 
+def catalog_file(spark: SparkSession, path: str, name: str, schema: str, predicates: Sequence[str]) -> DataFrame:
+    """A table of a catalog database file, read-only, one task per predicate; each task opens its own copy in memory.
+
+    A catalog file is small beside the corpus it lists; one that is not belongs behind ``catalog_table``.
+    """
+
+    def scan(batches):
+        import sqlite3
+
+        import pyarrow as pa
+
+        for b in batches:
+            for content, predicate in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                db = sqlite3.connect(":memory:")
+                db.deserialize(content)
+                db.execute("PRAGMA query_only = ON")
+                found = db.execute(f"SELECT {columns} FROM {name} WHERE {predicate}")
+                while rows := found.fetchmany(10_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], columns.split(", "))
+                db.close()
+
+    columns = ", ".join(c.split()[0] for c in schema.split(", "))
+    parts = spark.createDataFrame([(p,) for p in predicates], "predicate string").repartition(len(predicates))
+    return spark.read.format("binaryFile").load(path).select("content").crossJoin(F.broadcast(parts)).repartition(len(predicates), "predicate").mapInArrow(scan, schema)  # a row a predicate
+
+
 def markdown(rows: Sequence[Sequence], header: Sequence[str]) -> str:
     """A small report as a Markdown table."""
     line = lambda xs: "| " + " | ".join("" if x is None else str(x) for x in xs) + " |"
