@@ -14,7 +14,7 @@ from array import array
 
 from .common import load_tokenizer, release_memory
 
-#: Pieces a worker remembers; when full it starts anew.
+#: Pieces a worker remembers, 250 bytes each; when full it starts anew.
 CACHE_PIECES = 500_000
 _MARKS = frozenset(".,;:!?")
 #: The pattern of the library's byte-level pre-tokenizer, and white space other than space and \n.
@@ -45,12 +45,12 @@ class Pieces(dict):
     def __init__(self, path: str):
         import regex
 
-        self.tokenizer, self.parts, self.letters = load_tokenizer(path), {}, _byte_letters()
+        self.tokenizer, self.parts, self.letters, self.most = load_tokenizer(path), {}, _byte_letters(), CACHE_PIECES
         self.merge, self.cut = self.tokenizer.model.tokenize, regex.compile(PATTERN).findall
         self.pieced, self.added = _byte_level(self.tokenizer), [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= self.most:
             self.clear()
         if piece.isalpha():  # letters, also with a mark behind them, need no pattern
             ids = self._merged(" " + piece)
@@ -67,7 +67,7 @@ class Pieces(dict):
     def _part(self, part: str) -> bytes:
         """Ids of a part of a piece that has several; remembered, as they come back in other pieces."""
         if (found := self.parts.get(part)) is None:
-            if len(self.parts) >= CACHE_PIECES:
+            if len(self.parts) >= self.most:
                 self.parts.clear()
             found = self.parts[part] = self._merged(part)
         return found
@@ -93,7 +93,9 @@ class Pieces(dict):
 _PIECES: dict[str, Pieces] = {}
 
 
-def encoder(path: str) -> Pieces:
+def encoder(path: str, most: int = CACHE_PIECES) -> Pieces:
+    """The worker's encoder, set to remember at most so many pieces."""
     if path not in _PIECES:
         _PIECES[path] = Pieces(path)
+    _PIECES[path].most = most
     return _PIECES[path]
