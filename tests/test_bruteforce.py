@@ -100,15 +100,18 @@ def test_document_chunks(spark, sf_dir):
 
 
 def test_document_tone(spark, sf_dir):
-    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, sf_dir, "documents")}
-    sign = {**{w: 1 for w in passages.POSITIVE}, **{w: -1 for w in passages.NEGATIVE}}
+    texts, t = {r["doc_id"]: r["text"] or "" for r in table(spark, sf_dir, "documents")}, retrieval.TONE
+    sign, turned = {**dict.fromkeys(t.positive, 1), **dict.fromkeys(t.negative, -1)}, 0
     for r in rows(registry.QUERIES["document_tone"](spark, sf_dir)):
         words, marks = re.findall(r"\w+", texts[r["doc_id"]].lower()), []
         for k, w in enumerate(words):
             if w in sign:
-                turned = any(x in passages.NEGATIONS for x in words[max(0, k - 3) : k])
-                marks.append(-sign[w] if turned else sign[w])
+                flips = any(x in t.negations for x in words[max(0, k - 3) : k]) + any(x in t.burdens for x in words[max(0, k - 4) : k + 5])
+                marks.append(sign[w] * (-1) ** flips)
+                turned += flips == 1
         assert r["tone"] == pytest.approx(sum(marks) / len(marks) if marks else 0.0)
+        assert (r["positive"], r["negative"]) == (sum(m > 0 for m in marks), sum(m < 0 for m in marks))
+    assert turned
 
 
 def test_fuzzy_labels(spark, sf_dir):

@@ -96,7 +96,10 @@ def test_passages():
     text = "# One\nFirst sentence here. Second one! Third?\n# Two\nOther text."
     parts = passages.chunks(text, 30, 10)
     assert {h for _, _, h in parts} == {"One", "Two"} and all(b - a <= 60 for a, b, _ in parts)
-    assert passages.tone("no growth at all, and in the end losses") == -1.0 and passages.tone("record profit") == 1.0 and passages.tone("") == 0.0
+    words = passages.Lexicon(frozenset(("gain", "rose")), frozenset(("fell", "loss")), burdens=frozenset(("debt",)))
+    tone = lambda t: passages.tone(t, words)
+    assert tone("no gain at all, and in the end a loss") == -1.0 and tone("sales rose") == 1.0 and tone("") == 0.0
+    assert tone("the debt of the group fell") == 1.0 and tone("debt did not fell") == -1.0 and tone("sales rose, later on in the year they fell") == 0.0
     assert passages.redline("A stays. B goes away now.", "A stays. B goes away soon. New line.") == {"kept": 1, "changed": 1, "added": 1, "removed": 0}
     assert passages.merge_spans([(5, 9), (0, 3), (3, 4)]) == [(0, 4), (5, 9)]
     assert passages.snippet_windows([(500, 510), (520, 530), (5000, 5001)], 6000) == [(380, 650), (4880, 5121)]
@@ -178,3 +181,23 @@ def test_mmr_over_whole_groups(spark, sf_dir):
     assert {(r["label"], r["vec_id"], r["pick"]) for r in registry.QUERIES["mmr_sentences"](spark, sf_dir).collect()} == want
     small = spark.createDataFrame([(None, 1, 0.5, [1.0, 0.0]), (None, 2, 0.5, [1.0, 0.0]), ("a", 3, 0.1, [0.0, 0.0])], "g string, k int, s double, v array<double>")
     assert sorted(map(tuple, search.greedy_mmr(small, "g", "k", "s", "v", 3).collect()), key=str) == [("a", 3, 1), (None, 1, 1), (None, 2, 2)]
+
+
+def test_sheet_formulas_are_strict(spark):
+    from tidemark.operators.audit import sheet_formula
+
+    for bad in ("=A1", "=OFFSET(A,1)", "=__import__('os')", "='x'", "=A.b", "=[A]"):
+        with pytest.raises((ValueError, SyntaxError)):
+            sheet_formula(bad)
+    row = spark.createDataFrame([(2.0, 0.0, None)], "A double, B double, C double")
+    got = row.select(*[sheet_formula(f) for f in ("=A/B", "=SUM(A:C)", "=A+C", "=COUNT(A:C)", "=IF(A<>2,1,-ABS(A)^2)", "=ROUND(A/3,2)", "=MIN(A:C)")]).first()
+    assert list(got) == [None, 2.0, None, 2.0, 4.0, 0.67, 0.0]
+
+
+def test_filters_join(spark):
+    from tidemark.operators.filters import Filter
+
+    df = spark.range(20).selectExpr("id", "id % 4 as k", "concat('Name ', id) as name")
+    f = Filter(values={"k": [1, 2]}, least={"id": 5}) & Filter(values={"k": [2, 3]}, patterns={"name": "name 1"})
+    assert [r["id"] for r in f.apply(df).collect()] == [10, 14, 18]
+    assert Filter().apply(df).count() == 20

