@@ -29,8 +29,9 @@ WORD = r"[\p{L}\p{N}]+"
 
 
 def one_word(word: str) -> str:
-    """Pattern of a word that stands alone in lower-cased text."""
-    return r"(?<![\p{L}\p{N}])" + re.escape(word) + r"(?![\p{L}\p{N}])"
+    """Pattern of a word that stands alone in lower-cased text; the word comes first, so that most places fail at once."""
+    w = re.escape(word)
+    return rf"{w}(?<![\p{{L}}\p{{N}}]{w})(?![\p{{L}}\p{{N}}])"
 
 
 def fold(x: Column | str) -> Column:

@@ -28,8 +28,9 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, query: str, k1: float = 1.
     """
     terms = tx.query_terms(query)
     low = F.lower(text_col)
-    length, counts = F.regexp_count(low, F.lit(tx.WORD)), [F.regexp_count(low, F.lit(tx.one_word(t))) for t in terms]
-    held = [low.rlike(tx.one_word(t)) for t in terms]
+    there = [low.contains(t) for t in terms]  # a plain search spares most texts the pattern
+    length, counts = F.regexp_count(low, F.lit(tx.WORD)), [F.when(c, F.regexp_count(low, F.lit(tx.one_word(t)))).otherwise(0) for c, t in zip(there, terms)]
+    held = [c & low.rlike(tx.one_word(t)) for c, t in zip(there, terms)]
     totals = docs.agg(F.count("*").alias("n"), F.avg(F.coalesce(length, F.lit(0))).alias("avg_len"), *[F.count_if(h).alias(f"df{i}") for i, h in enumerate(held)])
     hits = docs.where(reduce(lambda x, y: x | y, held)).select(F.col(id_col).alias("id"), length.alias("len"), *[c.alias(f"tf{i}") for i, c in enumerate(counts)])
     scored = hits.crossJoin(F.broadcast(totals))  # one row
