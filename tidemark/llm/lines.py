@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import SPACE_CHARS, Scratch, arrow_column, held_by, join_by_key, key_filter, release_memory, text_or_empty
+from .common import SPACE_CHARS, Scratch, held_by, join_by_key, key_filter, release_memory, text_or_empty
 
 #: Words that a repeated run must have; a window of consecutive lines is as short as reaches them.
 RUN_WORDS = 50
@@ -159,18 +160,24 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     # one plan at every size: a small table of cuts would be broadcast and a large one not
     joined = asked.where("_maybe").join(cuts.hint("merge"), F.col("__id").eqNullSafe(F.col("__cut_id")) & (F.col("__mark") == F.col("__cut_mark")), "left")
 
-    def rewrite(texts, spans):
+    given = [c for c in docs.columns if c != "lines_removed"]
+    at = given.index(text_col)
+
+    def rewrite(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        done = [(None, 0) if s.as_py() is None or t.as_py() is None else erase(t.as_py(), [(x["lo"], x["hi"]) for x in s.as_py()]) for t, s in zip(texts, spans)]
-        return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["text", "removed"])
+        for b in batches:
+            texts = b.column(at).to_pylist()
+            done = [(t, 0) if t is None or s is None else erase(t, [(x["lo"], x["hi"]) for x in s]) for t, s in zip(texts, b.column(len(given)).to_pylist())]
+            columns = [*b.columns[:-1], pa.array([n for _, n in done], pa.int64())]
+            columns[at] = pa.array([t for t, _ in done], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, [*given, "lines_removed"])
+        release_memory()
 
-    cut = F.col("__spans").isNotNull()
-    joined = joined.withColumn("__new", F.when(cut, arrow_column(rewrite, "text string, removed long", F.when(cut, F.col(text_col)), F.col("__spans"))))
-    joined = joined.withColumn(text_col, F.when(cut, F.col("__new.text")).otherwise(F.col(text_col)))
-    given = [c for c in docs.columns if c != "lines_removed"]
-    whole = asked.where("not _maybe").select(*given, F.lit(0).cast("long").alias("lines_removed"))
-    return whole.unionByName(joined.select(*given, F.coalesce("__new.removed", F.lit(0)).cast("long").alias("lines_removed")))
+    names = [F.col(f"`{c}`") for c in given]
+    schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in given], T.StructField("lines_removed", T.LongType())])
+    whole = asked.where("not _maybe").select(*names, F.lit(0).cast("long").alias("lines_removed"))
+    return whole.unionByName(joined.select(*names, "__spans").mapInArrow(rewrite, schema))
 
 
 _FINGERPRINTS = "id long, mark long, f long, at int, lo int, around binary"

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch, text_or_empty, tokenizer_path
 from .tokens import encoder
@@ -133,20 +134,22 @@ def place(spark: SparkSession, items: DataFrame, cap: Capacity = Capacity()) ->
     # both sides are dealt by (length, part) already, so nothing has to be broadcast
     ranked = ranked.join(bases.hint("merge"), ["length", "_part"])
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def find(length, rank):
+    names = [c for c in items.columns if c != "_part"]
+
+    def find(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
         keys = table[:, 0] << 44 | table[:, 1]
-        at = np.searchsorted(keys, length.to_numpy(np.int64) << 44 | rank.to_numpy(np.int64), side="right") - 1
-        _, first, base, copies, offset = table[at].T
-        nth = rank.to_numpy(np.int64) - first
-        return pd.DataFrame({"sequence_id": base + nth // copies, "offset": offset + nth % copies * length.to_numpy(np.int64)})
-
-    ranked = ranked.withColumn("_at", find(F.col("length"), F.col("_base") + F.col("_rank")))
-    names = [c for c in items.columns if c != "_part"]
-    return ranked.select(*names, F.col("_at.sequence_id").alias("sequence_id"), F.col("_at.offset").alias("offset"))
+        for b in batches:
+            length, rank = (b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (len(names), len(names) + 1))
+            at = np.searchsorted(keys, length << 44 | rank, side="right") - 1
+            _, first, base, copies, offset = table[at].T
+            nth = rank - first
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(base + nth // copies), pa.array(offset + nth % copies * length)], [*names, "sequence_id", "offset"])
+
+    schema = T.StructType([*[T.StructField(c, items.schema[c].dataType) for c in names], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return ranked.select(*names, F.col("length").cast("long").alias("_length"), (F.col("_base") + F.col("_rank")).cast("long").alias("_place")).mapInArrow(find, schema)
 
 
 def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, most: int = SEQUENCE_TOKENS, end_id: int = END_ID) -> DataFrame:

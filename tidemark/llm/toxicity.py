@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_column, release_memory, text_or_empty
+from .common import release_memory, text_or_empty
 
 NGRAMS = (3, 4, 5, 6)
 BUCKET_BITS = 18
@@ -229,17 +229,19 @@ def op1(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def reject(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text scores at least ``THRESHOLD``; all columns as they were."""
-    model, columns = fit(docs, labels), docs.columns
+def reject(spark: SparkSession, docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text scores at least ``THRESHOLD``; all columns as they were. Null texts count as empty."""
+    model, at = fit(docs, labels), docs.columns.index(text_col)
     scalars, bias = model["scalars"], model["bias"]
 
-    def clean(texts):
+    def keep(batches: Iterator) -> Iterator:
         import math
 
         import pyarrow as pa
 
         limit = math.log(THRESHOLD / (1 - THRESHOLD))
-        return pa.array([bool(window_logits(t.as_py(), scalars, bias).max() < limit) for t in texts], pa.bool_())
+        for b in batches:
+            yield b.filter(pa.array([bool(window_logits(t.as_py() or "", scalars, bias).max() < limit) for t in b.column(at)], pa.bool_()))
+        release_memory()
 
-    return docs.where(arrow_column(clean, "boolean", text_or_empty())).select(*columns)
+    return docs.mapInArrow(keep, docs.schema)
