@@ -22,7 +22,7 @@ from .tokens import encoder
 SEQUENCE_TOKENS = 1024
 END_ID = 2
 #: Pieces that a packing worker remembers: fewer than the token files' workers, as it runs behind other stages.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 300_000
 #: A length is dealt into so many hash parts for ranking, and one more for every so many rows of it.
 RANK_PARTS = 128
 RANK_ROWS = 20_000
