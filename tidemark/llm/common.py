@@ -157,6 +157,36 @@ def arrow_column(each: Callable, kind: str, *columns: Column) -> Column:
     return F.arrow_udf(run, kind)(*columns)
 
 
+#: Rows and bytes after which ``map_rows`` hands on a batch.
+BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
+
+
+def map_rows(df: DataFrame, each: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """``each`` over a partition's rows as tuples of the columns of ``df``; it yields tuples of ``schema``, which travel in Arrow batches."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        import pyarrow as pa
+
+        def batch(part):
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), arrow)], schema=arrow)
+
+        part, held = [], 0
+        for row in each(row for b in batches for row in zip(*[c.to_pylist() for c in b.columns])):
+            part.append(row)
+            held += sum(len(v) for v in row if isinstance(v, bytes))
+            if len(part) == BATCH_ROWS or held > BATCH_BYTES:
+                yield batch(part)
+                part, held = [], 0
+        if part:
+            yield batch(part)
+
+    return df.mapInArrow(run, schema)
+
+
 _TOKENIZERS: dict = {}
 
 

@@ -16,7 +16,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, map_rows
 
 ARITY, BITS = 8, 3
 #: Levels that a round of the shuffle completes: one task holds at most 8^3 nodes of one ancestor at a time.
@@ -24,7 +24,6 @@ SPAN = 3
 DIGEST = 32
 
 _NODE = "pid long, grp string, level int, idx long, digest binary, kids binary"
-_BATCH = 4096
 
 
 def _h(text: bytes) -> bytes:
@@ -76,34 +75,6 @@ class Parents:
         self.open.clear()
 
 
-def _batches(rows: Iterator[tuple], schema) -> Iterator:
-    """Arrow batches of at most ``_BATCH`` rows."""
-    import pyarrow as pa
-
-    part = []
-    for row in rows:
-        part.append(row)
-        if len(part) == _BATCH:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
-            part = []
-    if part:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
-
-
-def _map(df: DataFrame, each, schema: str) -> DataFrame:
-    """``each`` over the rows of a partition, as tuples of the columns of ``df``; it yields tuples of ``schema``."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
-
-    def run(batches):
-        rows = (row for b in batches for row in zip(*[c.to_pylist() for c in b.columns]))
-        yield from _batches(each(rows), arrow)
-
-    return df.mapInArrow(run, schema)
-
-
 def _number(rows: Iterator[tuple]) -> Iterator[tuple]:
     """(grp, ...) rows of a sorted partition -> partition, place inside the group there, row."""
     from pyspark import TaskContext
@@ -205,7 +176,7 @@ class Tree:
         stored = scratch.save(rows.withColumn("_at", F.monotonically_increasing_id()), "leaves")
         sort += [F.col("leaf"), F.col("_at")]
         dealt = stored.repartitionByRange(*sort).sortWithinPartitions(*sort).select("grp", "leaf", "bad", "payload")
-        placed = scratch.save(_map(dealt, _number, "pid int, k long, grp string, leaf binary, bad binary, payload string"), "placed")
+        placed = scratch.save(map_rows(dealt, _number, "pid int, k long, grp string, leaf binary, bad binary, payload string"), "placed")
         scratch.drop(stored)
         counts = scratch.save(placed.groupBy("pid", "grp").count(), "counts")
         spread = self._spread(spark, counts)
@@ -240,7 +211,7 @@ class Tree:
 
     def _grow(self, sizes: DataFrame) -> None:
         scratch = self.scratch
-        found = scratch.save(_map(self.rows.select("pid", "grp", "idx", "leaf"), _resolve, _NODE), "nodes")
+        found = scratch.save(map_rows(self.rows.select("pid", "grp", "idx", "leaf"), _resolve, _NODE), "nodes")
         self.links = [found.where("kids is not null").select("grp", "level", "idx", "kids")]
         # a partition leaves at most seven nodes open at either end of a level
         edge = found.where("kids is null").withColumn("_g", F.col("grp"))
@@ -249,7 +220,7 @@ class Tree:
         self.rounds = -(-height(max(self.largest, 1)) // SPAN)
         for top in range(SPAN, SPAN * self.rounds + 1, SPAN):
             dealt = nodes.select("grp", _block("level", top), "size", "level", "idx", "digest").repartition("grp", "block").sortWithinPartitions("grp", "block")
-            done = scratch.save(_map(dealt, _merge(top), _NODE.replace("pid", "size")), f"round{top}")
+            done = scratch.save(map_rows(dealt, _merge(top), _NODE.replace("pid", "size")), f"round{top}")
             self.links.append(done.where("kids is not null").select("grp", "level", "idx", "kids"))
             nodes = done.where("kids is null").select("size", "grp", "level", "idx", "digest")
         self.roots = nodes.select("grp", "level", F.lit(0).cast("long").alias("idx"), F.lower(F.hex("digest")).alias("subroot"))
@@ -269,7 +240,7 @@ class Tree:
                 parts = parts.union(self.rows.select("grp", _block("0", top), F.lit(2), F.lit(0), "idx", *none("array<string>", "path"), *none("string", "subroot"), *none("binary", "kids"), "leaf", "bad", "payload"))
             dealt = parts.repartition("grp", "block").sortWithinPartitions("grp", "block", "kind", F.col("level").desc())
             kind = "paths" if base else out
-            paths = _map(dealt, _descend(base, kind), _SCHEMAS[kind])
+            paths = map_rows(dealt, _descend(base, kind), _SCHEMAS[kind])
             if base:
                 paths = self.scratch.save(paths, f"paths{base}")
         return paths

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, html, lines, merkle, mixing, neighbors, packing, rules, secrets, simhash, tokenstore, toxicity
+from . import alignment, exact, html, lines, merkle, mixing, neighbors, packing, rules, secrets, simhash, tokenstore, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": _over(simhash.op8, "documents"),
     "op9_html_text": _over(html.op9, "pages"),
     "op10_mixing": _over(mixing.op10, "documents"),
+    "op11_alignment": _over(alignment.op11, "documents"),
     "op12_quality_rules": _over(rules.op12, "documents", "labels"),
     "op13_merkle_manifest": _over(merkle.op13, "documents"),
 }
