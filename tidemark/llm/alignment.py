@@ -8,7 +8,7 @@ scored by those counts.
 
 from __future__ import annotations
 
-from array import array
+import os
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, map_rows, release_memory, tokenizer_path
-from .tokens import OTHER_SPACES, Pieces, _byte_letters
+from .tokens import PATTERN, _byte_letters, _byte_level
 
 #: Bytes of text whose events make up one block.
 BLOCK = 1 << 16
-#: Words a worker remembers with the ids of both tokenizers; when full it starts anew.
-CACHE_WORDS = 250_000
+#: Texts of so many characters go through the tokenizers library itself.
+LONG_TEXT = 500_000
 #: Links of a document stored in one row at most.
 ROW_LINKS = 1 << 20
 #: A pair of ids is frequent with over one in so many links, so there are never more frequent pairs than this.
@@ -30,18 +30,6 @@ FREQUENT = 1 << 21
 COUNTED = 1 << 21
 
 
-class _Plain(Pieces):
-    """A byte-level encoder to which the strings of special tokens are plain text."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__(path)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.merge, self.added, self.most = self.tokenizer.model.tokenize, [], CACHE_WORDS // 4
-
-
 def bytes_a(path: str) -> list[bytes]:
     """Bytes of each id of a byte-level tokenizer."""
     from tokenizers import Tokenizer
@@ -63,48 +51,56 @@ def bytes_b(path: str) -> list[bytes]:
     return [bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
 
 
-class Words(dict):
-    """Ids of both tokenizers (unsigned 32-bit) for a space and the word; None where their bytes aren't those of the text."""
+def _fast(path: str, known: list[bytes]):
+    """The byte-level tokenizer of a file on tiktoken's engine, which takes ids for ranks; None where a file isn't of that kind."""
+    import json
+
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    added = set(tokenizer.get_added_tokens_decoder())
+    model = json.loads(tokenizer.to_str())["model"]
+    if not _byte_level(tokenizer):
+        return None
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    made = [model["vocab"][m] for m in merged]
+    if made != sorted(made) or any(len(known[i]) > 1 for i in set(range(len(known))) - set(made) - added):
+        return None
+    return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks={b: i for i, b in enumerate(known) if i not in added}, special_tokens={})
+
+
+class Encoders:
+    """Ids of both tokenizers for a text."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        self.a, self.b = _Plain(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.a, self.b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.a.encode_special_tokens = True
         self.bytes = bytes_a(path_a), bytes_b(path_b)
-        # words are independent where no piece spans a space inside
-        self.apart = self.a.pieced and not any(b" " in p.lstrip(b" ") for p in self.bytes[1])
-
-    def _checked(self, a: bytes, b: bytes, text: str) -> tuple[bytes, bytes] | None:
-        want = text.encode()
-        for ids, known in zip((a, b), self.bytes):
-            if b"".join([known[i] for i in array("I", ids)]) != want:
-                return None
-        return a, b
-
-    def __missing__(self, word: str) -> tuple[bytes, bytes] | None:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        out = self[word] = self._checked(self.a[word], array("I", self.b.encode(word)).tobytes(), " " + word)
-        return out
-
-    def encode(self, text: str | None) -> tuple[bytes, bytes] | None:
-        """Ids of space and text; None for null, empty and for texts that a tokenizer doesn't give back."""
-        if not text:
-            return None
-        words, spaced = text.split(" "), " " + text
-        if self.apart and "" not in words and "\n " not in spaced and " \n" not in spaced and not ((not text.isascii() or not text.isprintable()) and any(c in text for c in OTHER_SPACES)):
-            found = list(map(self.__getitem__, words))
-            if None not in found:
-                return b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
-        a = self.a.tokenizer.encode_batch_fast([spaced], add_special_tokens=False)[0].ids
-        return self._checked(array("I", a).tobytes(), array("I", self.b.encode(text)).tobytes(), spaced)
+        self.fast = _fast(path_a, self.bytes[0])
+
+    def _first(self, text: str) -> list[int]:
+        # the engine's pattern gives up on very long runs of white space
+        if self.fast is not None and len(text) < LONG_TEXT:
+            return self.fast.encode_ordinary(text)
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def forget(self) -> None:
-        self.clear()
-        self.a.forget()
+    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
+        """Ids of space and text; none for null, empty and for texts that a tokenizer doesn't give back."""
+        if not text:
+            return [], []
+        spaced = " " + text
+        ids, want = (self._first(spaced), self.b.encode(text)), spaced.encode()
+        if any(b"".join(map(known.__getitem__, one)) != want for one, known in zip(ids, self.bytes)):
+            return [], []
+        return ids
 
 
-_WORDS: dict[tuple[str, str], Words] = {}
+_ENCODERS: dict[tuple[str, str], Encoders] = {}
 _LENGTHS: dict[tuple[str, str], tuple] = {}
 
 
@@ -124,14 +120,13 @@ def _events(path_a: str, path_b: str, kind: str):
         from pyspark import TaskContext
 
         lengths = _lengths(path_a, path_b)
-        if (path_a, path_b) not in _WORDS:
-            _WORDS[path_a, path_b] = Words(path_a, path_b)
-        words = _WORDS[path_a, path_b]
+        if (path_a, path_b) not in _ENCODERS:
+            _ENCODERS[path_a, path_b] = Encoders(path_a, path_b)
+        encode = _ENCODERS[path_a, path_b].encode
         key = TaskContext.get().partitionId() << 33
         for doc_id, text in rows:
-            ids = words.encode(text) or (b"", b"")
-            for side, (raw, length) in enumerate(zip(ids, lengths)):
-                tokens = np.frombuffer(raw, np.uint32)
+            for side, (ids, length) in enumerate(zip(encode(text), lengths)):
+                tokens = np.array(ids, np.uint32)
                 if (whole := int(length[tokens].sum())) > BLOCK:
                     ends = length[tokens].cumsum()
                     cuts = np.searchsorted(ends, np.arange(BLOCK, whole, BLOCK), "right")
@@ -212,8 +207,6 @@ def _sweep(path_a: str, path_b: str, kinds: tuple):
         """Sorted events -> (key, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, links): the last row of a document has its figures."""
         import numpy as np
 
-        for words in _WORDS.values():
-            words.forget()
         lengths = _lengths(path_a, path_b)
         digits = _digits(max(map(len, lengths)))
         at, run, block_at = None, None, None
