@@ -161,20 +161,33 @@ class Sweep:
         import numpy as np
 
         a, b = self.open
-        ends_a, ends_b = self.lengths[0][a].cumsum(), self.lengths[1][b].cumsum()
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        if not len(shared):
+        ends = np.concatenate([self.lengths[0][a].cumsum(), self.lengths[1][b].cumsum()])
+        order = ends.argsort(kind="stable")  # the merge of two sorted runs, of equal ends A's first
+        ends, of_a = ends[order], order < len(a)
+        last = np.ones(len(ends), bool)
+        np.not_equal(ends[1:], ends[:-1], out=last[:-1])
+        at = np.flatnonzero(last)
+        shared = np.zeros(len(at), bool)
+        shared[1:] = np.diff(at) > 1
+        shared[:1] = at[:1] > 0
+        closed = np.flatnonzero(shared)
+        if not len(closed):
             return
-        n, m = np.searchsorted(ends_a, shared[-1]) + 1, np.searchsorted(ends_b, shared[-1]) + 1
+        size = int(closed[-1]) + 1
+        at, shared = at[:size], shared[:size]
+        # at each end: how many tokens of a side end there or before, and whether one does there
+        seen_a = of_a.cumsum()[at]
+        seen_b, a_ends = at + 1 - seen_a, of_a[at] | shared
+        b_ends = ~of_a[at] | shared
+        n, m = seen_a[-1], seen_b[-1]
         self.open = [a[n:], b[m:]]
-        a, b, ends_a, ends_b = a[:n], b[:m], ends_a[:n], ends_b[:m]
         # between two neighbouring ends of either side lies the overlap of exactly one pair
-        ends = np.union1d(ends_a, ends_b)
-        pairs = a[np.searchsorted(ends_a, ends)] * len(self.lengths[1]) + b[np.searchsorted(ends_b, ends)]
+        pairs = a[seen_a - a_ends] * len(self.lengths[1]) + b[seen_b - b_ends]
         self.links.append(pairs.astype(self.pair).tobytes())
-        self.n_links += len(pairs)
-        self._write(a, b, np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b))
-        self.groups += len(shared)
+        self.n_links += size
+        group = shared.cumsum() - shared
+        self._write(a[:n], b[:m], group[a_ends], group[b_ends])
+        self.groups += len(closed)
 
     def _write(self, a, b, group_a, group_b) -> None:
         """Hashes the ids in decimal: those of A, a bar, those of B, a semicolon between groups."""
