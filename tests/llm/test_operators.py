@@ -67,16 +67,38 @@ def test_exact(spark, odd, clash, none, monkeypatch, words):
     for i, t, *_ in ROWS:
         by_text[bare(t)].append((i, t or ""))
     for r in out:
-        text = next(t for i, t, *_ in ROWS if i == r["doc_id"])
-        group = by_text[bare(text)]
-        assert r["text_sha256"] == hashlib.sha256(bare(text).encode()).hexdigest()
+        group = by_text[bare(next(t for i, t, *_ in ROWS if i == r["doc_id"]))]
         assert r["group_size"] == len(group)
-        if r["doc_id"] is not None:
-            assert r["keep_id"] == min(group, key=lambda x: (-len(x[1]), x[0]))[0]
-            assert r["kept"] == (r["keep_id"] == r["doc_id"])
+    groups = defaultdict(list)
+    for r in out:
+        groups[r["text_sha256"]].append(r)
+    for text, group in by_text.items():
+        rows = groups[hashlib.sha256(text.encode()).hexdigest()]
+        keep = min(group, key=lambda x: (-len(x[1]), x[0] is None, x[0]))[0]
+        assert len(rows) == len(group) and {r["keep_id"] for r in rows} == {keep}
+        assert [r["doc_id"] for r in rows if r["kept"]] == [keep]
     assert run(exact.op4, spark, none) == []
 
 
+@pytest.mark.parametrize(
+    "rows, keep",
+    [
+        ([(1, "alpha beta"), (2, "alphabeta"), (None, "alpha  b e t a")], None),  # the most code points, whatever the id
+        ([(1, "alphabeta"), (None, "alphabeta"), (None, "alphabeta")], 1),
+        ([(5, "x y"), (5, "xy")], 5),
+        ([(5, "x y"), (5, "x\ty"), (5, "x y"), (6, "xy ")], 5),
+        ([(None, "p q"), (None, "pq"), (None, "p\nq")], None),
+    ],
+)
+def test_exact_keeps_one_row(spark, rows, keep):
+    out = run(exact.op4, spark, spark.createDataFrame([(i, t, None, None, None) for i, t in rows + [(9, "other")]], SCHEMA))
+    group = [r for r in out if r["group_size"] > 1]
+    assert len(group) == len(rows) == group[0]["group_size"] and len(out) == len(rows) + 1
+    assert [r["doc_id"] for r in group if r["kept"]] == [keep] and {r["keep_id"] for r in group} == {keep}
+    text = next(t for i, t in rows if i == keep and len(t) == max(len(t) for i, t in rows))
+    assert len(text) == max(len(t) for _, t in rows)
+
+
 # SimHash and components
 
 
@@ -527,6 +549,47 @@ def test_nested_layers_cross_windows(monkeypatch):
         assert "assign" in {k for _, _, k in secrets.find_secrets(b64(gzip.compress(raw)))[1]}
 
 
+@pytest.mark.parametrize("lead", range(5))
+def test_runs_longer_than_windows(monkeypatch, lead):
+    """An archive inside a base64 run inside an archive, both far longer than a window, at every alignment."""
+    monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 1 << 12)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 9)
+    noise = np.random.default_rng(2).integers(0, 256, 20_000, dtype=np.uint8).tobytes()
+    raw = b"x " * 3000 + b"A" * lead + base64.b64encode(gzip.compress(noise + b" " + SECRET.encode() + b" ")) + b" end"
+    assert "assign" in {k for _, _, k in secrets.find_secrets(b64(gzip.compress(raw)))[1]}
+
+
+def test_run_memory_is_bounded(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 1 << 20)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 16)
+    text = b64(gzip.compress(b"A" * 40_000_000))  # one run without a break, forty windows
+    tracemalloc.start()
+    assert secrets.find_secrets(text)[1] == []
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+
+
+def test_undecodable_percent_runs_and_utf16():
+    escaped = "".join(f"%{c:02x}" for c in SECRET.encode())
+    for written in (f"%E9%20{escaped}", f"%ff{escaped}%fe", b64(SECRET.encode("utf-16-le")), b64(SECRET.encode("utf-16-be")), b64(gzip.compress(SECRET.encode("utf-16")))):
+        text = f"before {written} after"
+        base, spans = secrets.find_secrets(text)
+        assert base == [] and {k for _, _, k in spans} == {"assign"} and all(7 <= lo < hi <= len(text) - 6 for lo, hi, _ in spans)
+
+
+def test_many_spans_in_a_layer_take_linear_time():
+    import time
+
+    for gap in (" ", " \u00e9 "):
+        inner = gap.join(f"{i:016x}" for i in range(60_000))
+        began = time.process_time()
+        spans = secrets.find_secrets(b64(inner.encode()))[1]
+        assert len(spans) == 60_000 and time.process_time() - began < 6
+
+
 def test_archive_nests_deeply():
     raw = SECRET.encode()
     for _ in range(400):
@@ -631,6 +694,34 @@ def test_html_hostile_pages(page):
     assert time.process_time() - began < 20  # linear: 1 MB takes a second or two on an idle machine
 
 
+PROSE = "The report of the year, long awaited, says what everyone knew, and says it well. "
+
+
+@pytest.mark.parametrize(
+    "part, kept",
+    [
+        ("<div class='share-prices'><p>Share prices rose sharply, said the analyst in the report.</p></div>", True),
+        ("<section id='related-work'><h2>Work before</h2><p>Earlier papers studied this, among them several by us.</p></section>", True),
+        ("<p class='widget-theory'>The theory of widgets, long neglected, has a future.</p>", True),
+        ("<div class='share'><p>Share this with all of your friends, please do so now.</p></div>", False),
+        ("<div class='related-posts'><p>Read this other one, it is good and long enough.</p></div>", False),
+        ("<div class='related-stories-extra'><p><a href=x>Read this other one, it is good and long</a></p></div>", False),
+        ("<div class='ad-box'><p>Buy this product now, and for ever, at no cost at all.</p></div>", False),
+        ("<div class='reader-comments'><p>I read this piece twice, and found it lacking.</p></div>", False),
+    ],
+)
+def test_html_marks_inside_an_article(part, kept):
+    page = f"<body><div class=nav><a href=x>Home</a></div><div id=story><h1>Title</h1><p>{PROSE * 3}</p>{part}<p>{PROSE * 2}</p></div></body>"
+    inner = re.sub(r"\s+", " ", re.sub("<[^>]*>", " ", part)).strip()
+    want = ["Title", (PROSE * 3).strip(), *([x for x in re.split(" (?=Earlier)", inner)] if kept else []), (PROSE * 2).strip()]
+    assert html.main_text(page).split("\n") == want
+
+
+def test_html_reader_comments_beside_an_article():
+    page = f"<body><div id=story><h1>Title</h1><p>{PROSE * 3}</p></div><div class=feedback><p>I disagree with this, said a reader, and here is why.</p></div></body>"
+    assert html.main_text(page).split("\n") == ["Title", (PROSE * 3).strip()]
+
+
 def test_html_query(spark, sf_dir):
     from html import unescape
 
@@ -727,6 +818,19 @@ def test_neighbors_query(spark, sf_dir):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def test_rare_links_are_told(spark, monkeypatch):
+    """Two linked pairs among many: no audited vector has a link, which the result says; nothing is missed for a stratum of one."""
+    monkeypatch.setattr(neighbors, "AUDIT_QUERIES", 8)
+    x = np.random.default_rng(3).standard_normal((600, 32))
+    x[1], x[3] = x[0] + 0.01, x[2] * 1.01 + 0.001
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbors, "audit", lambda *a: [])
+    with pytest.warns(UserWarning, match="recall is not measured"):
+        out = run(neighbors.op2, spark, df)
+    assert {r["vec_id"] for r in out if r["n_links"]} == {0, 1, 2, 3}
+    assert neighbors.lucky(1, 0.5) and not neighbors.lucky(1, 0.0) and not neighbors.lucky(100, 0.99)
+
+
 def test_audit_sees_small_groups(spark):
     """A large group with all its links found doesn't hide pairs that were missed."""
     rng = np.random.default_rng(1)

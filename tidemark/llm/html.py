@@ -36,10 +36,12 @@ TEXT_ONLY = frozenset("script style title textarea noscript iframe".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 #: Words in a class or id that mark an element as something else than the article.
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations widget widgets toolbar pagination pager skip".split()
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup comment comments commentlist disqus respond reply replies feedback discussion discussions responses share sharing social related recommended recommendations widget widgets toolbar pagination pager skip".split()
 )
 #: Of these, what marks content of readers and notices, which may be longer than the article.
-NEVER_MOST = frozenset("ad ads adv advert adverts advertisement advertising adsense cookie cookies consent gdpr newsletter comment comments commentlist disqus respond reply replies".split())
+NEVER_MOST = frozenset("ad ads adv advert adverts advertisement advertising adsense cookie cookies consent gdpr newsletter comment comments commentlist disqus respond reply replies feedback discussion discussions responses".split())
+#: What only tells the shape of an element, so that a class of such words and marks is a mark and nothing else.
+SHAPES = frozenset("area aside bar block body bottom box button buttons card cards col column container content footer form group head heading header holder inner item items left link links list main module outer panel post posts right row section slot stories top unit wrap wrapper zone".split())
 #: Text is next to nothing under this share of the page's paragraph text.
 TINY = 0.1
 #: What of its points an element keeps, and passes on, that only a mark, a role, or being a form or header speaks against.
@@ -66,10 +68,10 @@ _TEXT_HOLDERS = BLOCK - HEADINGS - {"html", "head", "ul", "ol", "table", "tr", "
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "marked", "hidden", "other", "role", "owner", "linked", "out", "text", "link", "body", "points")
+    __slots__ = ("tag", "parent", "items", "marked", "hidden", "other", "role", "plain", "owner", "linked", "out", "text", "link", "body", "points")
 
-    def __init__(self, tag: str, parent: Node | None, marked: bool = False, hidden: bool = False, other: bool = False, role: str = ""):
-        self.tag, self.parent, self.items, self.marked, self.hidden, self.other, self.role = tag, parent, [], marked, hidden, other, role
+    def __init__(self, tag: str, parent: Node | None, marked: bool = False, hidden: bool = False, other: bool = False, role: str = "", plain: bool = False):
+        self.tag, self.parent, self.items, self.marked, self.hidden, self.other, self.role, self.plain = tag, parent, [], marked, hidden, other, role, plain
         self.owner = self if parent is None or tag in BLOCK else parent.owner  # the block whose text an element's own is
         self.linked = tag == "a" or parent is not None and parent.linked
 
@@ -121,17 +123,21 @@ class _Page:
         self.at = len(self.html) if end < 0 else end
 
 
-def _meaning(attributes: list[tuple[str, str]]) -> tuple[bool, bool, bool, str]:
-    """(whether attributes mark boilerplate or hidden content, hidden content, content of readers and notices; role)."""
-    words, hidden, role = set(), False, ""
+def _meaning(attributes: list[tuple[str, str]]) -> tuple[bool, bool, bool, str, bool]:
+    """(whether attributes mark boilerplate or hidden content, hidden content, content of readers and notices; role; whether a mark says nothing else)."""
+    words, hidden, role, plain = set(), False, "", False
     for name, value in attributes:
         if name in ("class", "id"):
-            words.update(w for item in unescape(value).lower().split() if not item.startswith(_ABOUT) for w in _WORD.findall(item))
+            for item in unescape(value).lower().split():
+                if not item.startswith(_ABOUT):
+                    own = set(_WORD.findall(item))
+                    words |= own
+                    plain = plain or not MARKS.isdisjoint(own) and all(w in MARKS or w in SHAPES or w.isdigit() for w in own)
         elif name == "role":
             role = value.strip().lower()
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDING.search(value.lower()):
             hidden = True
-    return hidden or not MARKS.isdisjoint(words) or role in ROLES, hidden, not NEVER_MOST.isdisjoint(words), role
+    return hidden or not MARKS.isdisjoint(words) or role in ROLES, hidden, not NEVER_MOST.isdisjoint(words), role, plain or role in ROLES
 
 
 def parse(html: str) -> list[Node]:
@@ -276,9 +282,14 @@ def _best_text(nodes: list[Node]) -> str:
     return "\n".join(blocks)
 
 
+def _prose(n: Node) -> bool:
+    """Whether a marked element reads like part of an article: paragraphs, hardly a link, and a mark that is part of a longer name."""
+    return n.body > 0 and not n.plain and not n.hidden and 5 * n.link <= n.text and n.tag not in ("form", "header")
+
+
 def _sibling(n: Node, bar: float) -> bool:
     density = n.link / n.text
-    return not _mild(n) and (n.worth() >= bar or n.tag in HEADINGS and density == 0 or n.tag in ("p", "pre", "blockquote") and density < 0.25)
+    return (not _mild(n) or _prose(n)) and (n.worth() >= bar or n.tag in HEADINGS and density == 0 or n.tag in ("p", "pre", "blockquote") and density < 0.25)
 
 
 def _menu(n: Node, top: Node, after_text: bool) -> bool:
@@ -288,7 +299,7 @@ def _menu(n: Node, top: Node, after_text: bool) -> bool:
 
 
 def _blocks(top: Node, body: int, out: list[str]) -> None:
-    """Text of each block below ``top``; of marked elements only those that hold most of the paragraph text ``body``."""
+    """Text of each block below ``top``; of marked elements those that read like prose or hold most of the paragraph text ``body``."""
     held: list[str] = []
     after_text = bool(out)
 
@@ -306,7 +317,7 @@ def _blocks(top: Node, body: int, out: list[str]) -> None:
         if x is None:
             flush()
             continue
-        dropped = x.out or x is not top and _mild(x) and 2 * x.body <= body
+        dropped = x.out or x is not top and _mild(x) and 2 * x.body <= body and not _prose(x)
         if dropped and x.tag == "header" and not x.marked and not x.out:
             todo.extend(reversed(_titles(x)))  # an article's own header holds its title
         elif dropped or _menu(x, top, after_text):
