@@ -14,8 +14,12 @@ from .base import query, table
 
 
 def shared_folder(spark, tag: str) -> str:
-    """A new folder in the shared place the session names; a local one only where it names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    """A new folder in the shared place the session names; a local one only where it names none and all runs in one machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex[:12]}"
 
 
