@@ -155,17 +155,28 @@ def audit(source: DataFrame, projection: DataFrame, key: str, values: list[str])
 def singleton_runs(requests: DataFrame, lease: str, at: str, ttl_seconds: int) -> DataFrame:
     """``requests`` with granted: a run starts only where no granted run's lease of the same name still lives.
 
-    Requests of one lease name are a history that must be walked in order; they are folded in one array a name, a
-    name having one request every few seconds at most.
+    Requests stream through in order, and a task holds the last grant of one lease name only. Requests at the time of a
+    grant are that grant; those without a time get none.
     """
-    times = requests.groupBy(lease).agg(F.array_sort(F.collect_set(F.unix_micros(F.col(at).cast("timestamp")))).alias("_t"))
     ttl = ttl_seconds * 1_000_000
-
-    def grant(held: Column, t: Column) -> Column:
-        free = (F.size(held) == 0) | (t >= F.element_at(held, -1) + ttl)
-        return F.when(free, F.concat(held, F.array(t))).otherwise(held)
-
-    granted = times.select(lease, F.explode(F.aggregate("_t", F.array().cast("array<long>"), grant)).alias("_g"))
-    marked = granted.withColumn("_yes", F.lit(True))
-    out = requests.withColumn("_g", F.unix_micros(F.col(at).cast("timestamp"))).join(marked, [lease, "_g"], "left")
-    return out.withColumn("granted", F.coalesce("_yes", F.lit(False))).drop("_g", "_yes")
+    rows = requests.withColumn("_t", F.unix_micros(F.col(at).cast("timestamp"))).repartition(lease).sortWithinPartitions(lease, "_t")
+    names = rows.columns
+    name, time = names.index(lease), len(names) - 1
+
+    def run(batches):
+        import pyarrow as pa
+
+        of, last = object(), None
+        for b in batches:
+            granted = []
+            for who, t in zip(b.column(name).to_pylist(), b.column(time).to_pylist()):
+                if who != of:
+                    of, last = who, None
+                yes = t is not None and (last is None or t == last or t >= last + ttl)
+                granted.append(yes)
+                last = t if yes else last
+            yield pa.RecordBatch.from_arrays([*b.columns[:time], pa.array(granted)], [*names[:time], "granted"])
+
+    from pyspark.sql.types import BooleanType, StructType
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[:time]]).add("granted", BooleanType()))
