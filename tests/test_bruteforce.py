@@ -10,9 +10,10 @@ from collections import Counter
 from difflib import SequenceMatcher
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from tidemark.operators import passages
+from tidemark.operators import passages, search, strategy
 from tidemark.plans import registry, retrieval
 from tidemark.plans.study import scored
 from tidemark.sources import bundles, readers
@@ -267,3 +268,30 @@ def test_catalog_file(spark, tmp_path):
         db.executemany("INSERT INTO documents VALUES (?, ?)", [(i, "ab"[i % 2]) for i in range(100)])
     got = rows(readers.catalog_file(spark, str(path), "documents", "id long, kind string", ["id < 10", "id >= 90 AND kind = 'a'"]))
     assert sorted(r["id"] for r in got) == [*range(10), *range(90, 100, 2)]
+
+
+@pytest.mark.parametrize("kinds, firms, n", [(3, 4, 300), (40, 25, 4000), (1, 1, 50), (1, 5000, 20_000), (200, 60, 100_000)])
+def test_floods_in_rounds(spark, kinds, firms, n):
+    """The rounds end where a walk in order does."""
+    rng = np.random.default_rng(kinds)
+    a, b = rng.zipf(1.4, n) % kinds, rng.integers(0, firms, n)
+    hits = list(zip(rng.permutation(n).tolist(), a.tolist(), [None if x == 0 else f"f{x}" for x in b]))
+    df = spark.createDataFrame(pd.DataFrame(hits, columns=["rank", "kind", "firm"]), "rank long, kind long, firm string")
+    got = {r["rank"]: r["sunk"] for r in search.cap_floods(df, "rank", "kind", "firm", 6, 10).collect()}
+    kind, firm = Counter(), Counter()
+    for rank, k, f in sorted(hits, key=lambda x: x[0]):
+        sunk = kind[k] >= 6 or firm[f] >= 10
+        assert got[rank] == sunk, rank
+        if not sunk:
+            kind[k] += 1
+            firm[f] += 1
+    assert len(got) == n
+
+
+def test_draws_do_not_depend_on_how_groups_are_dealt(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, int(i % 4), float(x), float(x * 0.2 + y)) for i, (x, y) in enumerate(rng.normal(size=(200, 2)))], "k long, g int, s double, o double")
+    whole = rows(strategy.permutation_p(df, ["k"], "g", "s", "o", 60))
+    monkeypatch.setattr(strategy, "GROUP_ROWS", 10)
+    (dealt,), (whole,) = rows(strategy.permutation_p(df, ["k"], "g", "s", "o", 60)), whole
+    assert whole["p"] == dealt["p"] and whole["real"] == pytest.approx(float(np.mean([r["s"] * r["o"] for r in df.collect()])))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.numeric import safe_div
+from ..functions.scratch import Stored
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, terms: Sequence[str] | None = None) -> DataFrame:
@@ -111,14 +112,29 @@ def retrieval_metrics(ranked: DataFrame, query: str, rank: str, relevant: Column
     return all_q.agg(F.count("*").alias("queries"), *at, F.avg(F.coalesce(1 / F.col("_r"), F.lit(0.0))).alias("mrr"))
 
 
+#: Shingles with over one in so many places are told apart from the others.
+HOT_SHARE = 256
+
+
 def boilerplate(docs: DataFrame, id_col: str, text_col: str, n: int = 8, least: int = 10, share: float = 0.5) -> DataFrame:
     """(id, shingles, common, boilerplate): a shingle is common in at least ``least`` documents, a text is boilerplate if ``share`` of its shingles are.
 
     Counts are aggregated before the shuffle, so a license line is one row a task there.
     """
-    runs = docs.select(F.col(id_col).alias("id"), F.explode(tx.shingle_hashes(text_col, n)).alias("s"))
-    common = runs.groupBy("s").agg(F.count("*").alias("df")).where(F.col("df") >= least).select("s", F.lit(1).alias("c"))
-    out = runs.join(common, "s", "left").groupBy("id").agg(F.count("*").alias("shingles"), F.count("c").alias("common"))
+    stored = Stored(docs.select(F.col(id_col).alias("id"), tx.shingle_hashes(text_col, n).alias("ss")), "shingles")
+    sets = stored.df
+    counts = sets.select(F.explode("ss").alias("s")).groupBy("s").agg(F.count("*").alias("df")).where(F.col("df") >= least)
+    common = Stored(counts, "common")
+    total = sets.agg(F.sum(F.size("ss"))).first()[0] or 0
+    # a shingle with over one in HOT_SHARE of all is hot, so there are never more hot ones
+    hot = common.df.where(F.col("df") * HOT_SHARE > total).select("s")
+    held = {r["s"] for r in hot.collect()}
+    many = F.array(*[F.lit(x) for x in sorted(held)]).cast("array<long>")
+    counted = sets.select("id", F.size("ss").alias("shingles"), F.size(F.array_intersect("ss", many)).alias("hot"), F.array_except("ss", many).alias("ss"))
+    light = common.df.join(F.broadcast(hot), "s", "left_anti").select("s")
+    rest = counted.select("id", F.explode("ss").alias("s")).join(light.hint("merge"), "s", "left_semi").groupBy("id").agg(F.count("*").alias("c"))
+    out = counted.where("shingles > 0").groupBy("id").agg(F.sum("shingles").alias("shingles"), F.sum("hot").alias("hot")).join(rest, "id", "left")
+    out = out.select("id", "shingles", (F.col("hot") + F.coalesce("c", F.lit(0))).alias("common"))
     return out.withColumn("boilerplate", F.col("common") >= share * F.col("shingles"))
 
 
@@ -158,27 +174,38 @@ def dedupe_by_signature(hits: DataFrame, text_col: str, order: Sequence[Column])
 
 
 def cap_floods(hits: DataFrame, order: str, concept: str, company: str, concept_cap: int = 6, company_cap: int = 10) -> DataFrame:
-    """Ranked hits with sunk: true for those beyond a concept's or company's cap among the ones kept before.
+    """Ranked hits with sunk: true for those beyond a concept's or company's cap among the ones kept before; ``order`` is unique.
 
-    Each decision depends on the ones kept before it, so a result list is walked in order by one task: pass the
-    top k of a search, not a corpus.
+    Decided in rounds to a fixed point. A hit stays if it is within both caps even when all open hits before it stay; it
+    sinks once as many as a cap allows stay before it. Only the first hits of each concept and company are ranked, so a
+    flood of one is cut where it is read, and each round leaves one row a concept and company.
     """
-
-    def walk(rows):
-        from collections import Counter
-
-        rows = rows.sort_values(order)
-        concepts, companies, sunk = Counter(), Counter(), []
-        for a, b in zip(rows[concept], rows[company]):
-            over = concepts[a] >= concept_cap or companies[b] >= company_cap
-            if not over:
-                concepts[a] += 1
-                companies[b] += 1
-            sunk.append(over)
-        return rows.assign(sunk=sunk)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hits.schema.fields) + ", sunk boolean"
-    return hits.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(lambda rows: walk(rows.drop(columns="_one")), schema)
+    rows = hits.select(F.col(order).alias("_o"), F.col(concept).alias("_a"), F.col(company).alias("_b"))
+    done, left = [], [Stored(rows, "floods")]
+    kept = None
+    while True:
+        todo = left[-1].df
+        if todo.isEmpty():
+            break
+        alive = todo.withColumn("_new", F.lit(True))
+        if kept is not None:
+            alive = alive.unionByName(kept.withColumn("_new", F.lit(False)))
+        first = lambda c, cap: alive.withColumn("_r", F.row_number().over(Window.partitionBy(c).orderBy("_o"))).where(F.col("_r") <= cap)  # noqa: B023, E731
+        safe = first("_a", concept_cap).where("_new").select("_o", "_a", "_b").join(first("_b", company_cap).where("_new").select("_o"), "_o", "left_semi")
+        done.append(Stored(safe, "kept"))
+        kept = done[0].df
+        for more in done[1:]:
+            kept = kept.unionByName(more.df)
+        full = lambda c, cap, name: kept.groupBy(F.col(c).alias(f"_{name}")).agg(F.count("*").alias("_n"), F.max("_o").alias(f"_at{name}")).where(F.col("_n") >= cap).drop("_n")  # noqa: B023, E731
+        rest = todo.join(kept.select("_o"), "_o", "left_anti")
+        rest = rest.join(full("_a", concept_cap, "fa"), F.col("_a").eqNullSafe(F.col("_fa")), "left").join(full("_b", company_cap, "fb"), F.col("_b").eqNullSafe(F.col("_fb")), "left")
+        sunk = F.coalesce(F.col("_o") > F.col("_atfa"), F.lit(False)) | F.coalesce(F.col("_o") > F.col("_atfb"), F.lit(False))
+        left.append(Stored(rest.where(~sunk).select("_o", "_a", "_b"), "floods"))
+        left[-2].drop()
+    left[-1].drop()
+    if kept is None:
+        return hits.withColumn("sunk", F.lit(False))
+    return hits.join(kept.select(F.col("_o").alias(order), F.lit(False).alias("_kept")), order, "left").withColumn("sunk", F.col("_kept").isNull()).select(*hits.columns, "sunk")
 
 
 def greedy_mmr(sentences: DataFrame, group: str, key: str, score: str, vector: str, k: int, weight: float = 0.5) -> DataFrame:

@@ -2,27 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import shared_folder  # noqa: F401  other plans take it from here
 from ..sources import readers
 from ..streaming import outbox
 from .base import query, table
 
 
-def shared_folder(spark, tag: str) -> str:
-    """A new folder in the shared place the session names; a local one only where it names none and all runs in one machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex[:12]}"
-
-
 ATTEMPTS = """a AS (SELECT user_id % 400 AS event_id, event_type AS consumer_id, ts AS att, event_id AS attempt, CASE WHEN value < 12 THEN 'ok' WHEN value < 14 THEN 'skip' WHEN event_id % 7 = 0 THEN 'lease_expired' ELSE 'fail' END AS outcome FROM events),
 d AS (SELECT event_id, consumer_id, count(*) AS attempts, CAST(count(*) FILTER (WHERE outcome IN ('fail', 'lease_expired')) AS INTEGER) AS failures, arg_max(outcome, struct_pack(att, attempt)) AS last FROM a GROUP BY 1, 2),
 s AS (SELECT *, CASE WHEN last = 'ok' THEN 'succeeded' WHEN last = 'skip' THEN 'skipped' WHEN failures >= 5 THEN 'dead' ELSE 'retryable' END AS status FROM d)"""
