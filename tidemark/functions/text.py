@@ -14,16 +14,6 @@ from .numeric import col
 MARKED = "áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
 
-#: Function words of English and Spanish by kind: articles, conjunctions, prepositions, forms of "be" and pronouns.
-FUNCTION_WORDS = {
-    "articles": "a an the el la los las un una",
-    "conjunctions": "and or as y o que",
-    "prepositions": "of in on at by for from to with de del al en con por para",
-    "be and pronouns": "is are was be it this es se",
-}
-STOPWORDS = frozenset(" ".join(FUNCTION_WORDS.values()).split())
-
-
 #: A word of the normalised text, for patterns over lower-cased text.
 WORD = r"[\p{L}\p{N}]+"
 
@@ -89,8 +79,8 @@ def shingle_hashes(x: Column | str, n: int = 8) -> Column:
     return F.pandas_udf(run, "array<long>")(normalize(x))
 
 
-def query_terms(text: str, stopwords: frozenset[str] = STOPWORDS) -> list[str]:
-    """Words of a query without stop words; all of them if nothing else is left."""
+def query_terms(text: str, stopwords: frozenset[str]) -> list[str]:
+    """Words of a query without the caller's stop words; all of them if nothing else is left."""
     found = [w for w in "".join(c.lower() if c.isalnum() else " " for c in text).split()]
     return [w for w in dict.fromkeys(found) if w not in stopwords] or list(dict.fromkeys(found))
 

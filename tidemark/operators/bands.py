@@ -24,9 +24,9 @@ def semantic_text(question: Column, hints: Mapping[str, Sequence[str]], asking:
     return F.concat_ws(" ", F.when(kept != "", kept), *added)
 
 
-def expansions(query: str, synonyms: Mapping[str, tuple[Sequence[str], float, Sequence[str]]]) -> list[tuple[str, float, Sequence[str]]]:
+def expansions(query: str, synonyms: Mapping[str, tuple[Sequence[str], float, Sequence[str]]], stopwords: frozenset[str]) -> list[tuple[str, float, Sequence[str]]]:
     """(term, weight, gate words) of a query: its own terms at 1, synonyms of phrases it holds at their weight, behind their gate."""
-    terms = tx.query_terms(query)
+    terms = tx.query_terms(query, stopwords)
     low, out = " ".join(terms), [(t, 1.0, ()) for t in terms]
     for phrase, (others, weight, gate) in synonyms.items():
         if phrase in low:
@@ -44,12 +44,12 @@ def expanded_score(text: str, expanded: Sequence[tuple[str, float, Sequence[str]
     return sum(parts[1:], parts[0])
 
 
-def banded(docs: DataFrame, id_col: str, text_col: str, phrase: str, concepts: Mapping[str, Sequence[str]]) -> DataFrame:
+def banded(docs: DataFrame, id_col: str, text_col: str, phrase: str, concepts: Mapping[str, Sequence[str]], stopwords: frozenset[str]) -> DataFrame:
     """(id, band, concepts, hits): literal where the phrase stands, strong where all of its terms do, weak where a term or a concept's form does.
 
     Concepts name what matched; hits counts terms and forms. One scan; documents without any match are left out.
     """
-    low, terms = F.lower(text_col), tx.query_terms(phrase)
+    low, terms = F.lower(text_col), tx.query_terms(phrase, stopwords)
     has = lambda words: low.rlike(any_word(words))
     named = [F.when(has(forms), name) for name, forms in concepts.items()]
     everything = list(dict.fromkeys([*terms, *[f for forms in concepts.values() for f in forms]]))

@@ -21,13 +21,13 @@ def postings(docs: DataFrame, id_col: str, text_col: str, terms: Sequence[str] |
     return docs.select(F.col(id_col).alias("id"), F.explode(w).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
-def bm25(docs: DataFrame, id_col: str, text_col: str, query: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def bm25(docs: DataFrame, id_col: str, text_col: str, query: str, stopwords: frozenset[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(id, score) of documents with any query term; the larger the better.
 
     A query has few terms, so each text gives its length and a count per term where it is read: nothing is
     shuffled but one row of totals, and texts without a term are only measured, not scored.
     """
-    terms = tx.query_terms(query)
+    terms = tx.query_terms(query, stopwords)
     low = F.lower(text_col)
     there = [low.contains(t) for t in terms]  # a plain search spares most texts the pattern
     length, counts = F.regexp_count(low, F.lit(tx.WORD)), [F.when(c, F.regexp_count(low, F.lit(tx.one_word(t)))).otherwise(0) for c, t in zip(there, terms)]
@@ -236,10 +236,10 @@ def greedy_mmr(sentences: DataFrame, group: str, key: str, score: str, vector: s
     return out.select(F.col("_g").alias(group), F.col("_p.key").alias(key), (F.col("_at") + 1).alias("pick"))
 
 
-def expand_query(text: str, synonyms: Mapping[str, Sequence[str]], weight: float = 0.5) -> dict[str, float]:
+def expand_query(text: str, synonyms: Mapping[str, Sequence[str]], stopwords: frozenset[str], weight: float = 0.5) -> dict[str, float]:
     """Terms and phrases of a query with weights: its own words 1, synonyms of phrases it holds less."""
-    own = {t: 1.0 for t in tx.query_terms(text)}
-    low = " ".join(tx.query_terms(text))
+    own = {t: 1.0 for t in tx.query_terms(text, stopwords)}
+    low = " ".join(tx.query_terms(text, stopwords))
     for phrase, others in synonyms.items():
         if phrase in low:
             for o in others:

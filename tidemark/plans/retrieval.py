@@ -14,6 +14,8 @@ WORDS = r"trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'))"
 #: The words of every document, for SQL.
 W_SQL = f"w AS (SELECT doc_id, lang, source, text, CASE WHEN {WORDS} = '' THEN []::VARCHAR[] ELSE string_split({WORDS}, ' ') END AS ws FROM documents)"
 QUERY = "the license of that report"
+#: Words of the queries here that are not searched for.
+STOP = frozenset(("the", "of"))
 TERMS = ("license", "report")
 BM25_SQL = W_SQL + """, tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM w) WHERE term IN ('license', 'that', 'report') GROUP BY 1, 2), n AS (SELECT count(*) AS n, avg(len(ws)) AS al FROM w),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), bm AS (SELECT tf.doc_id AS id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(ws) / al))) AS score FROM tf JOIN w USING (doc_id) JOIN df USING (term), n GROUP BY 1)"""
@@ -25,14 +27,14 @@ def docs(spark, d):
 
 @query("bm25_topk", f"WITH {BM25_SQL} SELECT id, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM bm QUALIFY rank <= 20")
 def bm25_topk(spark, d):
-    out = search.top_k(search.bm25(docs(spark, d), "doc_id", "text", QUERY), "score", "id", 20)
+    out = search.top_k(search.bm25(docs(spark, d), "doc_id", "text", QUERY, STOP), "score", "id", 20)
     return out.select("id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 @query("all_matches", f"WITH {BM25_SQL} SELECT id FROM bm")
 def all_matches(spark, d):
     """Every matching document, without a limit."""
-    return search.bm25(docs(spark, d), "doc_id", "text", QUERY).select("id")
+    return search.bm25(docs(spark, d), "doc_id", "text", QUERY, STOP).select("id")
 
 
 COS = "sum(CAST(a AS DOUBLE) * CAST(b AS DOUBLE))"
@@ -86,7 +88,7 @@ def centroids(spark, d):
 @query("rrf_fusion", f"""WITH {BM25_SQL}, {SIM_SQL}, a AS (SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank FROM bm QUALIFY rank <= 30), b AS (SELECT id, rank FROM rk WHERE query = 0 AND rank <= 30),
 u AS (SELECT id, 1.0 / (60 + rank) AS s FROM a UNION ALL SELECT id, 0.5 / (60 + rank) FROM b) SELECT id, round(sum(s), 10) AS score FROM u GROUP BY id""")
 def rrf_fusion(spark, d):
-    words = search.top_k(search.bm25(docs(spark, d), "doc_id", "text", QUERY), "score", "id", 30)
+    words = search.top_k(search.bm25(docs(spark, d), "doc_id", "text", QUERY, STOP), "score", "id", 30)
     e = table(spark, d, "embeddings")
     near = search.nearest(e.where("vec_id = 0"), e, "vec_id", "embedding", 30)
     return search.reciprocal_rank_fusion([(words, 1.0), (near, 0.5)]).select("id", F.round("score", 10).alias("score"))
@@ -263,7 +265,7 @@ def mmr_sentences(spark, d):
 
 @query("flood_caps")
 def flood_caps(spark, d):
-    hits = search.top_k(search.bm25(docs(spark, d), "doc_id", "text", QUERY), "score", "id", 100).join(docs(spark, d).select(F.col("doc_id").alias("id"), "source", "lang"), "id")
+    hits = search.top_k(search.bm25(docs(spark, d), "doc_id", "text", QUERY, STOP), "score", "id", 100).join(docs(spark, d).select(F.col("doc_id").alias("id"), "source", "lang"), "id")
     return search.cap_floods(hits.select("id", "rank", "source", "lang"), "rank", "lang", "source", 20, 3)
 
 

@@ -9,6 +9,7 @@ from ..operators import bands
 from .base import query, table
 
 PHRASE = "the license"
+STOP = frozenset(("the",))
 CONCEPTS = {"license": ("licensed", "license", "mit", "apache"), "rights": ("rights", "copyright"), "harsh": ("stupid", "worthless", "idiot")}
 GOOD, BAD = ("license", "the", "free"), ("copyright", "all", "rights")
 
@@ -39,7 +40,7 @@ def semantic_questions(spark, d):
 SELECT id, CAST(score AS DOUBLE) AS score FROM s WHERE score > 0""")
 def expanded_search(spark, d):
     """A query with weighted synonyms, one of them behind a gate."""
-    e = bands.expansions("the license", {"license": (("licensed", "mit"), 0.5, ())}) + [("copyright", 0.25, ("rights", "reserved"))]
+    e = bands.expansions("the license", {"license": (("licensed", "mit"), 0.5, ())}, STOP) + [("copyright", 0.25, ("rights", "reserved"))]
     docs = table(spark, d, "documents")
     return docs.select(F.col("doc_id").alias("id"), bands.expanded_score("text", e).cast("double").alias("score")).where("score > 0")
 
@@ -51,7 +52,7 @@ f AS (SELECT id, CASE WHEN regexp_matches(low, '(?:^|[^\\p{{L}}\\p{{N}}])the\\s+
 
 @query("banded_search", f"WITH {BAND_SQL} SELECT id, band, concepts, hits FROM f")
 def banded_search(spark, d):
-    return bands.banded(table(spark, d, "documents"), "doc_id", "text", PHRASE, CONCEPTS)
+    return bands.banded(table(spark, d, "documents"), "doc_id", "text", PHRASE, CONCEPTS, STOP)
 
 
 @query("best_bands", f"""WITH {BAND_SQL}, g AS (SELECT doc_id AS id, 'literal' AS band, 'harsh' AS concepts, {_n(['stupid'])} AS hits FROM documents), u AS (SELECT * FROM f UNION ALL SELECT * FROM g WHERE hits > 0)
@@ -59,8 +60,8 @@ SELECT id, CASE min(CASE band WHEN 'literal' THEN 0 WHEN 'strong' THEN 1 ELSE 2
 def best_bands(spark, d):
     """Two searches in one list: every document in its best band."""
     docs = table(spark, d, "documents")
-    a = bands.banded(docs, "doc_id", "text", PHRASE, CONCEPTS)
-    b = bands.banded(docs, "doc_id", "text", "stupid", {"harsh": ("stupid",)})
+    a = bands.banded(docs, "doc_id", "text", PHRASE, CONCEPTS, STOP)
+    b = bands.banded(docs, "doc_id", "text", "stupid", {"harsh": ("stupid",)}, STOP)
     return bands.best_band(a.unionByName(b))
 
 
@@ -107,7 +108,7 @@ def tone_trend(spark, d):
 SELECT company, count(*) AS documents, CAST(sum(hits) AS BIGINT) AS hits, arg_max(id, struct_pack(h := hits, i := -id)) AS best_id FROM j GROUP BY 1""")
 def result_rollup(spark, d):
     """Results per company with its best hit, ties by the smaller id."""
-    found = bands.banded(table(spark, d, "documents"), "doc_id", "text", PHRASE, CONCEPTS)
+    found = bands.banded(table(spark, d, "documents"), "doc_id", "text", PHRASE, CONCEPTS, STOP)
     j = found.join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("company")), "id")
     return j.groupBy("company").agg(F.count("*").alias("documents"), F.sum("hits").alias("hits"), F.max_by("id", F.struct("hits", -F.col("id"))).alias("best_id"))
 
