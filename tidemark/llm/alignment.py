@@ -15,7 +15,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_rows, release_memory, tokenizer_path
+from .common import Scratch, map_rows, tokenizer_path
 from .tokens import PATTERN, _byte_letters, _byte_level
 
 #: Bytes of text whose events make up one block.
@@ -135,7 +135,6 @@ def _events(path_a: str, path_b: str, kind: str):
                 for block, part in enumerate(np.split(tokens, cuts) if len(cuts) else (tokens,)):
                     yield key, doc_id, block, side, part.astype(kind).tobytes()
             key += 1
-        release_memory()
 
     return each
 
@@ -244,7 +243,6 @@ def _sweep(path_a: str, path_b: str, kinds: tuple):
             run.take(side, np.frombuffer(ids, kinds[0]).astype(np.int64))
         if run:
             yield finished()
-        release_memory()
 
     return each
 
@@ -273,7 +271,6 @@ def _count(pair: str):
         if waiting:
             pairs, n = merged()
         yield from zip(pairs.tolist(), n.tolist())
-        release_memory()
 
     return each
 
@@ -290,7 +287,6 @@ def _score(frequent, pair: str):
             hit = known[at] == found if len(known) else np.zeros(len(found), bool)
             rare, times = np.unique(found[~hit], return_counts=True)
             yield key, int(top[at[hit]].sum()), int(counts[at[hit]].sum()), rare.tolist(), times.tolist()
-        release_memory()
 
     return each
 

@@ -162,7 +162,7 @@ BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
 
 
 def map_rows(df: DataFrame, each: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
-    """``each`` over a partition's rows as tuples of the columns of ``df``; it yields tuples of ``schema``, which travel in Arrow batches."""
+    """``each`` over a partition's rows as tuples of the columns of ``df``; it yields tuples of ``schema``, which travel in Arrow batches. A task hands back its memory at its end."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -183,6 +183,7 @@ def map_rows(df: DataFrame, each: Callable[[Iterator[tuple]], Iterator[tuple]],
                 part, held = [], 0
         if part:
             yield batch(part)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
