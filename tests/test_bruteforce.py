@@ -295,3 +295,15 @@ def test_draws_do_not_depend_on_how_groups_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(strategy, "GROUP_ROWS", 10)
     (dealt,), (whole,) = rows(strategy.permutation_p(df, ["k"], "g", "s", "o", 60)), whole
     assert whole["p"] == dealt["p"] and whole["real"] == pytest.approx(float(np.mean([r["s"] * r["o"] for r in df.collect()])))
+
+
+def test_vectors_of_other_lengths_do_not_meet(spark):
+    rng = np.random.default_rng(2)
+    data = [(i, rng.normal(size=4 if i % 3 else 6).tolist()) for i in range(60)] + [(90, None), (91, []), (92, [0.0] * 4), (93, [1.0, None, 2.0, 3.0])]
+    df = spark.createDataFrame(data, "id long, v array<double>")
+    got = rows(search.nearest(df.where("id in (1, 3, 91, 93)"), df, "id", "v", 5))
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in data[:60]}
+    for q in (1, 3):
+        best = sorted((-float(unit[q] @ unit[i]), i) for i in unit if i != q and len(unit[i]) == len(unit[q]))[:5]
+        assert [r["id"] for r in sorted((r for r in got if r["query"] == q), key=lambda r: r["rank"])] == [i for _, i in best]
+    assert {r["query"] for r in got} == {1, 3}

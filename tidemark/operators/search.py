@@ -59,15 +59,15 @@ def nearest(queries: DataFrame, rows: DataFrame, id_col: str, vector: str, k: in
 
     Rows, filtered by ``scope`` before ranking, and queries are dealt into blocks by hash. Each pair of blocks is
     one matrix product that leaves the k best of each query, so no side is broadcast and what is shuffled is the
-    rows once for every ``QUERY_BLOCK`` queries. Similarities count as equal within 1e-12, ties by id. Vectors
-    have one length; null and zero ones are no candidates.
+    rows once for every ``QUERY_BLOCK`` queries. Similarities count as equal within 1e-12, ties by id. Vectors of
+    different lengths don't meet; null and zero ones, and those with a null component, are no candidates.
     """
     pool = (rows if scope is None else rows.where(scope)).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
     asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
     across, down = 1 + asked.count() // QUERY_BLOCK, 1 + pool.count() // ROW_BLOCK
-    own = lambda df, n: df.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    dealt = own(pool, down).select(F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("qb"), F.col("_b").alias("rb"), "id", "v")
-    probes = own(asked, across).select(F.col("_b").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("rb"), "id", "v")
+    own = lambda df, n: df.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn("w", F.size("v"))
+    dealt = own(pool, down).select(F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("qb"), F.col("_b").alias("rb"), "w", "id", "v")
+    probes = own(asked, across).select(F.col("_b").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("rb"), "w", "id", "v")
 
     def compare(left, right):
         import numpy as np
@@ -90,7 +90,7 @@ def nearest(queries: DataFrame, rows: DataFrame, id_col: str, vector: str, k: in
         a, b, sim = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pa.table({"query": pa.array(a, pa.int64()), "id": pa.array(b, pa.int64()), "sim": pa.array(sim, pa.float64())})
 
-    sims = probes.groupBy("qb", "rb").cogroup(dealt.groupBy("qb", "rb")).applyInArrow(compare, "query long, id long, sim double")
+    sims = probes.groupBy("qb", "rb", "w").cogroup(dealt.groupBy("qb", "rb", "w")).applyInArrow(compare, "query long, id long, sim double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "id"))
     return sims.withColumn("rank", rank).where(F.col("rank") <= k)
 

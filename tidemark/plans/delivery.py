@@ -102,10 +102,10 @@ def eav_pack(spark, d):
 
 @query("series_bars", "SELECT event_type AS symbol, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n, round(avg(value), 6) AS close FROM events WHERE event_id % 11 <> 0 GROUP BY 1, 2")
 def series_bars(spark, d):
-    """Parallel arrays per symbol and day, written as JSON and unpacked; rows without a close are dropped."""
+    """Parallel arrays per symbol and day, of a thousand events at most, written as JSON and unpacked; rows without a close are dropped."""
     e = table(spark, d, "events").withColumn("sec", F.unix_timestamp(F.col("ts").cast("timestamp")))
     close = F.when(F.col("event_id") % 11 != 0, F.col("value"))
-    packed = e.groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("_d")).agg(F.collect_list(F.struct("sec", close.alias("c"))).alias("l"))
+    packed = e.groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("_d"), F.floor(F.col("event_id") / 1000)).agg(F.collect_list(F.struct("sec", close.alias("c"))).alias("l"))
     arr = lambda n: F.transform("l", lambda x: x[n])
     blank = F.transform("l", lambda x: F.lit(None).cast("double"))
     js = F.to_json(F.struct(arr("sec").alias("timestamp"), blank.alias("open"), blank.alias("high"), blank.alias("low"), arr("c").alias("close"), blank.alias("volume"), arr("c").alias("adjclose")), {"ignoreNullFields": "false"})
