@@ -62,13 +62,11 @@ class TextIndex:
         new.select(*names, "len").withColumn("segment", F.lit(segment)).write.mode("append").partitionBy("segment").parquet(f"{self.folder}/units")
         unit = F.xxhash64(*names)
         block = F.least(F.lit(CLASSES - 1), F.floor(F.log2(F.col("len") + 1)).cast("int")) * SPLITS + F.pmod(unit, F.lit(SPLITS)).cast("int")
-        rows = new.select(*names, "len", block.alias("block"), F.pmod(unit, F.lit(SHARDS)).alias("shard"), F.posexplode("words").alias("at", "term"))
-        rows = rows.withColumn("bucket", (F.crc32("term") % BUCKETS).cast("int"))
-        # one shuffle: rows dealt by bucket and shard are grouped where they are
-        dealt = rows.repartition("bucket", "shard")
-        found = dealt.groupBy("bucket", "shard", "term", *names, "len", "block").agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("at")).alias("positions"))
-        found = found.select("term", *names, "tf", "len", "block", "positions", F.lit(segment).alias("segment"), "bucket")
-        found.sortWithinPartitions("bucket", "term", "block").write.mode("append").partitionBy("segment", "bucket").parquet(f"{self.folder}/postings")
+        rows = new.select(*names, "len", block.alias("block"), F.pmod(unit, F.lit(SHARDS)).alias("shard"), F.explode(_grouped()("words")).alias("p"))
+        rows = rows.select("p.term", *names, F.size("p.positions").alias("tf"), "len", "block", "p.positions", F.lit(segment).alias("segment"), (F.crc32("p.term") % BUCKETS).cast("int").alias("bucket"), "shard")
+        # the only shuffle: a row a term and unit, dealt by bucket and shard
+        dealt = rows.repartition("bucket", "shard").sortWithinPartitions("bucket", "term", "block").drop("shard")
+        dealt.write.mode("append").option("compression", "zstd").partitionBy("segment", "bucket").parquet(f"{self.folder}/postings")
         written = self.read("postings").where(F.col("segment") == segment)
         blocks = written.groupBy("bucket", "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"))
         blocks = blocks.select("term", "block", "n", "max_tf", "min_len", F.lit(segment).alias("segment"), "bucket")
@@ -142,6 +140,23 @@ class TextIndex:
         return held.select(*self.keys, F.size(common).cast("long").alias("n")).where("n > 0")
 
 
+def _grouped():
+    """Column function: words -> array of (term, positions), where the text is read."""
+
+    def run(lists):
+        import pandas as pd
+
+        out = []
+        for words in lists:
+            at: dict[str, list[int]] = {}
+            for i, w in enumerate(words):
+                at.setdefault(w, []).append(i)
+            out.append([{"term": w, "positions": p} for w, p in at.items()])
+        return pd.Series(out)
+
+    return F.pandas_udf(run, "array<struct<term:string,positions:array<int>>>")
+
+
 def _moved(positions: str, by: int) -> Column:
     return F.transform(positions, lambda p: p - by)
 
