@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import text as tx
@@ -55,15 +56,16 @@ class TextIndex:
         names = list(self.keys)
         held = self.read("units")
         segment = (held.agg(F.max("segment")).first()[0] or 0) + 1
-        new = units.select(*names, tx.words(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
+        new = units.select(*names, tx.normalize(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
         if segment > 1:
             new = new.join(held.select(*names), names, "left_anti")
-        new = new.select(*names, F.size("words").alias("len"), "words")
+        size = F.when(F.col("_t") == "", 0).otherwise(F.length("_t") - F.length(F.replace("_t", F.lit(" "), F.lit(""))) + 1)
+        new = new.select(*names, size.cast("int").alias("len"), "_t")
         new.select(*names, "len").withColumn("segment", F.lit(segment)).write.mode("append").partitionBy("segment").parquet(f"{self.folder}/units")
         unit = F.xxhash64(*names)
         block = F.least(F.lit(CLASSES - 1), F.floor(F.log2(F.col("len") + 1)).cast("int")) * SPLITS + F.pmod(unit, F.lit(SPLITS)).cast("int")
-        rows = new.select(*names, "len", block.alias("block"), F.pmod(unit, F.lit(SHARDS)).alias("shard"), F.explode(_grouped()("words")).alias("p"))
-        rows = rows.select("p.term", *names, F.size("p.positions").alias("tf"), "len", "block", "p.positions", F.lit(segment).alias("segment"), (F.crc32("p.term") % BUCKETS).cast("int").alias("bucket"), "shard")
+        placed = new.where("len > 0").select(*names, "len", block.alias("block"), F.pmod(unit, F.lit(SHARDS)).cast("int").alias("shard"), "_t")
+        rows = _postings(placed).select("term", *names, "tf", "len", "block", "positions", F.lit(segment).alias("segment"), (F.crc32("term") % BUCKETS).cast("int").alias("bucket"), "shard")
         # the only shuffle: a row a term and unit, dealt by bucket and shard
         dealt = rows.repartition("bucket", "shard").sortWithinPartitions("bucket", "term", "block").drop("shard")
         dealt.write.mode("append").option("compression", "zstd").partitionBy("segment", "bucket").parquet(f"{self.folder}/postings")
@@ -140,21 +142,40 @@ class TextIndex:
         return held.select(*self.keys, F.size(common).cast("long").alias("n")).where("n > 0")
 
 
-def _grouped():
-    """Column function: words -> array of (term, positions), where the text is read."""
+#: Postings of one Arrow batch.
+BATCH = 20_000
 
-    def run(lists):
-        import pandas as pd
+
+def _postings(placed: DataFrame) -> DataFrame:
+    """The columns of ``placed`` but its normalised text ``_t``, and term, tf and positions: a row a term and unit, made where the text is read."""
+    schema = StructType(placed.drop("_t").schema.fields).add("term", StringType()).add("tf", IntegerType()).add("positions", ArrayType(IntegerType()))
+
+    def run(batches):
+        import pyarrow as pa
+
+        def packed(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
         out = []
-        for words in lists:
-            at: dict[str, list[int]] = {}
-            for i, w in enumerate(words):
-                at.setdefault(w, []).append(i)
-            out.append([{"term": w, "positions": p} for w, p in at.items()])
-        return pd.Series(out)
-
-    return F.pandas_udf(run, "array<struct<term:string,positions:array<int>>>")
+        for b in batches:
+            for k in range(b.num_rows):
+                *own, text = (c[k].as_py() for c in b.columns)
+                at: dict[str, list[int]] = {}
+                for i, w in enumerate(text.split(" ")):
+                    at.setdefault(w, []).append(i)
+                for term, places in at.items():
+                    out.append((*own, term, len(places), places))
+                    if len(out) == BATCH:
+                        yield packed(out)
+                        out = []
+        if out:
+            yield packed(out)
+        pa.default_memory_pool().release_unused()
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(schema)
+    return placed.mapInArrow(run, schema)
 
 
 def _moved(positions: str, by: int) -> Column:
