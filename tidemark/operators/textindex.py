@@ -64,10 +64,12 @@ class TextIndex:
         new.select(*names, "len").withColumn("segment", F.lit(segment)).write.mode("append").partitionBy("segment").parquet(f"{self.folder}/units")
         unit = F.xxhash64(*names)
         block = F.least(F.lit(CLASSES - 1), F.floor(F.log2(F.col("len") + 1)).cast("int")) * SPLITS + F.pmod(unit, F.lit(SPLITS)).cast("int")
-        placed = new.where("len > 0").select(*names, "len", block.alias("block"), F.pmod(unit, F.lit(SHARDS)).cast("int").alias("shard"), "_t")
-        rows = _postings(placed).select("term", *names, "tf", "len", "block", "positions", F.lit(segment).alias("segment"), (F.crc32("term") % BUCKETS).cast("int").alias("bucket"), "shard")
-        # the only shuffle: a row a term and unit, dealt by bucket and shard
-        dealt = rows.repartition("bucket", "shard").sortWithinPartitions("bucket", "term", "block").drop("shard")
+        rows = _postings(new.where("len > 0").select(*names, "len", "_t"))
+        # the only shuffle of postings: a row a term and unit, dealt by bucket and shard, which are made again behind it
+        bucket = (F.crc32("term") % BUCKETS).cast("int")
+        dealt = rows.repartition(bucket, F.pmod(unit, F.lit(SHARDS)))
+        dealt = dealt.select("term", *names, F.size("positions").alias("tf"), "len", block.alias("block"), "positions", F.lit(segment).alias("segment"), bucket.alias("bucket"))
+        dealt = dealt.sortWithinPartitions("bucket", "term", "block")
         dealt.write.mode("append").option("compression", "zstd").partitionBy("segment", "bucket").parquet(f"{self.folder}/postings")
         written = self.read("postings").where(F.col("segment") == segment)
         blocks = written.groupBy("bucket", "term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"))
@@ -147,8 +149,8 @@ BATCH = 20_000
 
 
 def _postings(placed: DataFrame) -> DataFrame:
-    """The columns of ``placed`` but its normalised text ``_t``, and term, tf and positions: a row a term and unit, made where the text is read."""
-    schema = StructType(placed.drop("_t").schema.fields).add("term", StringType()).add("tf", IntegerType()).add("positions", ArrayType(IntegerType()))
+    """The columns of ``placed`` but its normalised text ``_t``, and term and positions: a row a term and unit, made where the text is read."""
+    schema = StructType(placed.drop("_t").schema.fields).add("term", StringType()).add("positions", ArrayType(IntegerType()))
 
     def run(batches):
         import pyarrow as pa
@@ -164,7 +166,7 @@ def _postings(placed: DataFrame) -> DataFrame:
                 for i, w in enumerate(text.split(" ")):
                     at.setdefault(w, []).append(i)
                 for term, places in at.items():
-                    out.append((*own, term, len(places), places))
+                    out.append((*own, term, places))
                     if len(out) == BATCH:
                         yield packed(out)
                         out = []
