@@ -608,6 +608,38 @@ def test_layer_memory_is_bounded():
     assert [k for _, _, k in found] == ["assign"] and peak < 500 << 20
 
 
+def packed(kind, raw):
+    import bz2
+    import lzma
+
+    import zstandard
+
+    return {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstandard.ZstdCompressor(write_checksum=True).compress}[kind](raw)
+
+
+@pytest.mark.parametrize("kind", ["gzip", "zlib", "bz2", "xz", "zstd"])
+def test_broken_archives_are_told_apart(kind):
+    raw = packed(kind, f"{SECRET} and {' '.join(map(str, range(100)))}".encode())
+    end = {"xz": -40, "bz2": -3}.get(kind, -1)
+    wrong = raw[:end] + bytes([raw[end] ^ 1]) + raw[len(raw) + end + 1 :]  # content is there, its checksum is wrong
+    for text, whole in ((b64(raw), True), (b64(wrong), False), (b64(raw[:-12]), False), (b64(gzip.compress(b"outer " + wrong)), False)):
+        base, spans, read = secrets.scan_layers(f"before {text} after")
+        assert base == [] and read == whole
+        if whole or kind != "bz2" and text == b64(wrong):
+            assert {k for _, _, k in spans} == {"assign"}
+    assert secrets.scan_layers("no archive, " + b64(b"no archive either, \x78\x9c" + bytes(range(60))))[2]
+
+
+def test_unreadable_zstd_is_no_clean_text(monkeypatch):
+    import sys
+
+    frame = b"\x28\xb5\x2f\xfd" + bytes([0, 20 << 3]) + b"\x01\x00\x00" + bytes(30)  # asks for a window of 1 GB
+    assert not secrets.scan_layers(b64(frame))[2]
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    with pytest.raises(ImportError):
+        secrets.scan_layers(b64(frame))
+
+
 def brute_secrets(text):
     out = [(m.start(), 0, m.end(), "assign") for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 12]
     out += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
@@ -628,6 +660,13 @@ def test_secret_query(spark, sf_dir, docs, odd, clash, none):
     assert run(secrets.op5, spark, none) == []
 
 
+def test_secret_query_marks_unread_content(spark):
+    wrong = gzip.compress(SECRET.encode())[:-1] + b"!"
+    texts = [(1, b64(gzip.compress(SECRET.encode()))), (2, b64(wrong)), (3, "plain"), (4, None)]
+    got = {r["doc_id"]: (r["spans"].split(":")[0], r["whole"]) for r in run(secrets.op5, spark, spark.createDataFrame(texts, "doc_id long, text string"))}
+    assert got == {1: ("assign", True), 2: ("assign", False), 3: ("", True), 4: ("", True)}
+
+
 def test_secret_loops_end():
     assert secrets.find_secrets("%2525252541&amp;amp;amp;" + "QUFB" * 200)[0] == []
     assert secrets.find_secrets("secret=short token: secret=abcdefghijkl")[0] == [(13, 39, "assign")]

@@ -2,7 +2,8 @@
 
 Every text is scanned as it stands; then a worklist unwraps URL escapes, character escapes, base64 and
 compressed content, rescans each layer and maps what it finds back to the characters of the original text,
-until no layer yields a new one.
+until no layer yields a new one. Compressed content that can't be unwrapped to its end is told apart from content
+without secrets: what it gave before it broke off is scanned, and the text is marked as not read whole.
 """
 
 from __future__ import annotations
@@ -213,14 +214,17 @@ class _Zstd:
     """A decompressor with the interface of the standard library's; small steps keep what they give small."""
 
     def __init__(self):
-        import zstandard
+        import zstandard  # a worker without it fails the job: skipped content would look like content without secrets
 
-        self.inner, self.eof, self.unused_data = zstandard.ZstdDecompressor().decompressobj(), False, b""
+        self.inner, self.eof, self.unused_data, self.failure = zstandard.ZstdDecompressor().decompressobj(), False, b"", zstandard.ZstdError
 
     def decompress(self, data: bytes, _most: int) -> bytes:
         out = []
         for at in range(0, len(data), 256):
-            out.append(self.inner.decompress(data[at : at + 256]))
+            try:
+                out.append(self.inner.decompress(data[at : at + 256]))
+            except self.failure as e:
+                raise ValueError("broken zstd frame") from e
             if self.inner.eof:
                 self.eof, self.unused_data = True, self.inner.unused_data + data[at + 256 :]
                 break
@@ -237,31 +241,72 @@ def _decompressor(start: bytes):
     return lzma.LZMADecompressor() if start[:6] == b"\xfd7zXZ\x00" else None
 
 
-def _inflated(parts: Iterator[bytes]) -> Iterator[bytes]:
-    """Decompressed parts of the members that a stream begins with, until they end or an error."""
-    data = b""
-    try:
-        while True:
-            while len(data) < 6 and (more := next(parts, None)) is not None:
-                data += more
-            unpack = _decompressor(data)
-            if unpack is None:
+#: What decompressors raise on content that is broken or none of theirs; nothing else is taken for that.
+_FAILS = (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError)
+#: The two bytes of zlib's header stand in noise too, so that it counts as broken content only after so many bytes of content.
+_LEAST_ZLIB = 64
+
+
+def _drained(unpack, data: bytes, parts: Iterator[bytes], most: Callable[[], int]) -> Iterator[bytes | None]:
+    """What a decompressor gives for ``data`` and the parts behind it, to the end of its member or of the parts; None at an error."""
+    while not unpack.eof:
+        try:
+            out = unpack.decompress(data, most())
+        except _FAILS:
+            yield None
+            return
+        data = getattr(unpack, "unconsumed_tail", b"")
+        if out:
+            yield out
+        elif not data and getattr(unpack, "needs_input", True) and not unpack.eof:
+            data = next(parts, None)
+            if data is None:
                 return
-            while not unpack.eof:
-                out = unpack.decompress(data, OVERLAP)
-                data = getattr(unpack, "unconsumed_tail", b"")
-                if out:
-                    yield out
-                elif not data and getattr(unpack, "needs_input", True) and not unpack.eof:
-                    data = next(parts, None)
-                    if data is None:
-                        return
-            data = unpack.unused_data.lstrip(b"\0")
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError, ImportError):
-        return
-    except Exception as e:  # the zstd library's own error class
-        if type(e).__name__ != "ZstdError":
-            raise
+
+
+def _before_error(raw: bytes, given: int) -> bytes:
+    """What the member at the start of ``raw`` gives behind its first ``given`` bytes, up to its error: a call that fails hands out nothing."""
+    out, got = bytearray(), 0
+    for part in _drained(_decompressor(raw[:6]), b"", _parts(raw, size=1), lambda: max(1, given - got)):
+        if part is None:
+            break
+        out += part[max(0, given - got) :]
+        got += len(part)
+    return bytes(out)
+
+
+def _inflated(parts: Iterator[bytes], broken: Callable[[], None] | None = None) -> Iterator[bytes]:
+    """Decompressed parts of the members that a stream begins with, until they end or one is broken or cut off, which calls ``broken``.
+
+    Of a broken member all that it gives before its error is handed out where its first ``OVERLAP`` bytes hold the error.
+    """
+    data = b""
+    while True:
+        while len(data) < 6 and (more := next(parts, None)) is not None:
+            data += more
+        unpack = _decompressor(data)
+        if unpack is None:
+            return
+        read, given, failed = bytearray(data), 0, False
+
+        def fed(read=read):
+            for part in parts:
+                if len(read) <= OVERLAP:
+                    read.extend(part)
+                yield part
+
+        for out in _drained(unpack, data, fed(), lambda: OVERLAP):
+            if out is None:
+                failed = True
+                out = _before_error(bytes(read), given) if len(read) <= OVERLAP else b""
+            if out:
+                given += len(out)
+                yield out
+        if failed or not unpack.eof:
+            if broken is not None and (data[:1] != b"\x78" or given >= _LEAST_ZLIB):
+                broken()
+            return
+        data = unpack.unused_data.lstrip(b"\0")
 
 
 #: What an encoded run is written with; a window that would end inside such a run goes on by ``OVERLAP`` at most.
@@ -296,20 +341,22 @@ def _after(stream: Callable[[], Iterator[bytes]], skip: int) -> Iterator[bytes]:
         skip = max(0, skip - len(part))
 
 
-def _content(window: bytes, at: int) -> tuple[bool, bool]:
-    """Whether compressed content stands at a place, and whether it goes on behind the window."""
-    ended = []
+def _content(window: bytes, at: int, last: bool, broken: Callable[[], None]) -> tuple[bool, bool]:
+    """Whether compressed content stands at a place, and whether it goes on behind the window; ``broken`` is called where it gives nothing for an error."""
+    ended, failed = [], []
 
     def parts():
         yield from _parts(window, at)
         ended.append(True)
 
-    found = sum(len(part) for part in _inflated(parts())) > 0
+    found = sum(len(part) for part in _inflated(parts(), lambda: failed.append(True))) > 0
+    if failed and not found and (last or not ended):
+        broken()
     return found, bool(ended)
 
 
-def _unpacked(stream: Callable[[], Iterator[bytes]], skip: int) -> Iterator[bytes]:
-    return _inflated(_after(stream, skip))
+def _unpacked(stream: Callable[[], Iterator[bytes]], skip: int, broken: Callable[[], None]) -> Iterator[bytes]:
+    return _inflated(_after(stream, skip), broken)
 
 
 def _run_decoded(stream: Callable[[], Iterator[bytes]], skip: int, shift: int) -> Iterator[bytes]:
@@ -332,14 +379,14 @@ def _run_decoded(stream: Callable[[], Iterator[bytes]], skip: int, shift: int) -
         yield base64.b64decode(rest + b"=" * (-len(rest) % 4))
 
 
-def _unwrapped(raw: bytes) -> Iterator[str]:
+def _unwrapped(raw: bytes, broken: Callable[[], None]) -> Iterator[str]:
     """Texts of the compressed content that stands anywhere in ``raw``, and of what is compressed in it, of any depth.
 
     A base64 run that is longer than a window is decoded from its start as a stream of its own, in each of the four
     alignments, so that no window has to hold it.
     """
     seen: set[bytes] = set()
-    todo = [partial(_unpacked, partial(_parts, raw), m.start()) for m in _PACKED.finditer(raw)]
+    todo = [partial(_unpacked, partial(_parts, raw), m.start(), broken) for m in _PACKED.finditer(raw)]
     while todo:
         stream, running = todo.pop(), False
         for start, window, last in _windows(stream()):
@@ -350,17 +397,17 @@ def _unwrapped(raw: bytes) -> Iterator[str]:
                 for text, _ in _readings(window):
                     yield text
                 for m in _PACKED.finditer(window):
-                    found, more = _content(window, m.start())
+                    found, more = _content(window, m.start(), last, broken)
                     if found:
                         # what goes on in later windows is unpacked from the stream's start again
-                        todo.append(partial(_unpacked, stream, start + m.start()) if more and not last else partial(_unpacked, partial(_parts, window), m.start()))
+                        todo.append(partial(_unpacked, stream, start + m.start(), broken) if more and not last else partial(_unpacked, partial(_parts, window), m.start(), broken))
             run = len(window) - len(_BASE64_END.search(window)[0])
             if not last and not (running and not run) and run < len(window) - OVERLAP:
                 todo += [partial(_run_decoded, stream, start + run, shift) for shift in range(4)]
             running = not last and run < len(window) - OVERLAP
 
 
-def _base64(layer: Layer) -> Iterator[Layer]:
+def _base64(layer: Layer, broken: Callable[[], None]) -> Iterator[Layer]:
     for m in _BASE64.finditer(layer.text):
         if m.end() - m.start() < _LEAST_BASE64:
             continue
@@ -377,17 +424,24 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             raw = base64.b64decode(token + "=" * (-len(token) % 4))
             for text, written in _readings(raw):
                 yield Decoded(text, [(place - shift, start) for place, start in runs], layer, written)
-            for text in _unwrapped(raw):
+            for text in _unwrapped(raw, broken):
                 yield Layer(text, [(0, m.start(), m.end(), False)], layer)
 
 
 def find_secrets(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """(base spans, base spans and those that decoding adds), each sorted by start, then kind, then end."""
+    return scan_layers(text)[:2]
+
+
+def scan_layers(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], bool]:
+    """The spans of ``find_secrets``, and whether all compressed content was read to its end: where not, spans may be missing."""
     order = {k: i for i, k in enumerate(KINDS)}
     sort = lambda spans: sorted(spans, key=lambda s: (s[0], order[s[2]], s[1]))
     base = scan(text)
     spans, seen = set(base), {(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), 0, len(text))}
-    decoded = lambda layer: (deeper for decode in (_url, _escapes, _base64) for deeper in decode(layer))
+    broken: list[bool] = []
+    unpacked = partial(_base64, broken=lambda: broken.append(True))
+    decoded = lambda layer: (deeper for decode in (_url, _escapes, unpacked) for deeper in decode(layer))
     todo = [decoded(Layer(text, [], None))]
     while todo:
         deeper = next(todo[-1], None)
@@ -399,16 +453,17 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int,
                 seen.add(mark)
                 spans.update((*deeper.origin(lo, hi), kind) for lo, hi, kind in scan(deeper.text))
                 todo.append(decoded(deeper))
-    return sort(base), sort(spans)
+    return sort(base), sort(spans), not broken
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, spans) of every row's whole text: arrays of kind, start, end in code points; null counts as empty.
+    """(id, base, spans, whole) of every row's whole text: arrays of kind, start, end in code points; null counts as empty.
 
-    Repeated rows give a row each, an empty table none.
+    ``whole`` is false where compressed content is broken, cut off or needs more memory than its decompressor takes, so
+    that spans may be missing. Repeated rows give a row each, an empty table none.
     """
 
     def run(texts):
@@ -416,14 +471,14 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         pack = lambda spans: [{"kind": k, "start": a, "end": b} for a, b, k in spans]
         spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        both = [find_secrets(t.as_py()) for t in texts]
-        return pa.StructArray.from_arrays([pa.array([pack(x[i]) for x in both], spans) for i in (0, 1)], ["base", "spans"])
+        found = [scan_layers(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([*[pa.array([pack(x[i]) for x in found], spans) for i in (0, 1)], pa.array([x[2] for x in found], pa.bool_())], ["base", "spans", "whole"])
 
-    return docs.select(F.col(id_col).alias("id"), arrow_column(run, f"base {_SPANS}, spans {_SPANS}", text_or_empty(text_col)).alias("s")).select("id", "s.base", "s.spans")
+    return docs.select(F.col(id_col).alias("id"), arrow_column(run, f"base {_SPANS}, spans {_SPANS}, whole boolean", text_or_empty(text_col)).alias("s")).select("id", "s.base", "s.spans", "s.whole")
 
 
 def op5(spark: SparkSession, docs: DataFrame) -> DataFrame:
     written = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     out = secret_spans(docs)
-    return out.select(F.col("id").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in KINDS], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+    return out.select(F.col("id").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in KINDS], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"), "whole")
