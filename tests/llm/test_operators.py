@@ -313,6 +313,35 @@ def test_encoder_matches_library():
     assert all(enc.encode(t) == array("I", reference_ids(t)).tobytes() for t in texts)
 
 
+@pytest.mark.parametrize("most", [(1 << 23, 4096, 1 << 20), (40, 3, 11)])
+def test_bulk_encoder_matches_library(monkeypatch, most):
+    import random
+
+    for name, value in zip(("GROUP_CHARS", "MERGE_PARTS", "MERGE_BYTES"), most):
+        monkeypatch.setattr(tokens, name, value)
+    rng, enc = random.Random(6), tokens.Pieces(common.tokenizer_path())
+    letters = "ab'sé \n\t  .,!1²<|>_　日Z  \u0301×ж"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    words = ["The", "don't", "naïve,", "x%%%", "日本", "12a", "\nNew", "\n\nTwo", "end.\n", "'s", "_a_", "a\u0301", "Ünder!!", "\n"]
+    texts += [" ".join(rng.choices(words, k=rng.randint(0, 6))) for _ in range(2000)] + [t or "" for t in TEXTS] + ["a <|endoftext|> b", "<|endoftext|>", "", " ", "\n", "a\n", "a\n\n"]
+    want = [array("I", reference_ids(t)).tobytes() for t in texts]
+    assert list(enc.encode_all(texts)) == want and list(enc.encode_all([])) == []
+    odd = [t for t, w in zip(texts, want) if enc._whole(t)]
+    assert odd and list(enc.encode_all(odd)) == [w for t, w in zip(texts, want) if enc._whole(t)]
+    monkeypatch.setattr(enc, "sizes", enc.sizes + 1)  # where parts can't be told apart they are merged one by one
+    assert list(enc.encode_all(texts[:300])) == want[:300]
+
+
+def test_new_words_are_merged_together(monkeypatch):
+    """Calls of the library for a part each were most of the cost of token files."""
+    rng, enc = np.random.default_rng(7), tokens.Pieces(common.tokenizer_path())
+    texts = [" ".join("".join(w) for w in rng.choice([*"abcdefghij\u00e9"], (5_000, 6))) + "!" for _ in range(2)]
+    calls, merge = [], enc.merge
+    monkeypatch.setattr(enc, "merge", lambda part: calls.append(part) or merge(part))
+    bulk = list(enc.encode_all(texts))
+    assert not calls and bulk == [enc.encode(t) for t in texts] and len(calls) > 9_000
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_huffman_round_trip(seed):
     rng = np.random.default_rng(seed)

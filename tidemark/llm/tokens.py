@@ -6,19 +6,27 @@ the ids of pieces. A new piece is cut by the tokenizer's own pattern and each pa
 BPE model. Texts with white space in which a token may span the cut, texts that hold an added token of the
 tokenizer, and all texts of a tokenizer of another kind go through the library whole. So the ids are those of
 the library's own encoding of the whole text, without the tokens that it would add around it.
+
+``encode_all`` does this for many texts at once and remembers nothing: the pieces of a group of texts are told
+apart by Arrow, their parts merged once in large calls of the BPE model, and the ids put together by Arrow.
 """
 
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterable, Iterator
 
 from .common import load_tokenizer, release_memory
 
 #: Pieces a worker remembers, 250 bytes each; when full it starts anew.
 CACHE_PIECES = 500_000
+#: Characters of texts whose pieces are told apart together (a longer text alone), parts and bytes merged in one call.
+GROUP_CHARS, MERGE_PARTS, MERGE_BYTES = 1 << 23, 4096, 1 << 20
 _MARKS = frozenset(".,;:!?")
 #: The pattern of the library's byte-level pre-tokenizer, and white space other than space and \n.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Pieces that need no pattern: letters that every version of Unicode has, with marks behind them.
+PLAIN = r"^(?P<lead>\n?)(?P<word> ?[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԧ一-龥]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)\z"
 OTHER_SPACES = "\t\r\x0b\x0c\x85\xa0                　"
 
 
@@ -48,6 +56,7 @@ class Pieces(dict):
         self.tokenizer, self.parts, self.letters, self.most = load_tokenizer(path), {}, _byte_letters(), CACHE_PIECES
         self.merge, self.cut = self.tokenizer.model.tokenize, regex.compile(PATTERN).findall
         self.pieced, self.added = _byte_level(self.tokenizer), [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.bulk = None
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.most:
@@ -64,6 +73,61 @@ class Pieces(dict):
     def _merged(self, part: str) -> bytes:
         return array("I", [t.id for t in self.merge(self._letters(part))]).tobytes()
 
+    def _merged_all(self, parts):
+        """``_merged`` of each part of an Arrow array, many in one call: a part ends where as many bytes are written as it has."""
+        import numpy as np
+        import pyarrow as pa
+
+        if self.bulk is None:
+            from tokenizers import Tokenizer, pre_tokenizers
+
+            self.bulk = Tokenizer(self.tokenizer.model)
+            self.bulk.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+            self.written = np.array([ord(self.letters[b]) for b in range(255)] + [ord("\n")], "<u2")  # no UTF-8 holds byte 255, no letter is \n
+            vocabulary = self.tokenizer.get_vocab()
+            self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        _, offsets, data = parts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[parts.offset : parts.offset + len(parts) + 1] if len(parts) else np.zeros(1, np.int64)
+        data = np.frombuffer(data or b"", "u1")
+        out, sizes, lo = [], [], 0
+        while lo < len(parts):
+            hi = max(lo + 1, min(lo + MERGE_PARTS, int(np.searchsorted(offsets, offsets[lo] + MERGE_BYTES, "right")) - 1))
+            want = offsets[lo + 1 : hi + 1] - offsets[lo]
+            letters = self.written[np.insert(data[offsets[lo] : offsets[hi]], want[:-1], 255)].tobytes().decode("utf-16-le")
+            ids = np.array(self.bulk.encode_batch_fast([letters], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.concatenate(([0], np.cumsum(self.sizes[ids])))
+            at = np.searchsorted(ends, want)
+            if ends[-1] == want[-1] and (ends[at] == want).all():
+                out.append(ids.tobytes())
+                sizes.append(4 * np.diff(at, prepend=0))
+            else:  # a vocabulary without some byte
+                one = [self._merged(p) for p in parts[lo:hi].to_pylist()]
+                out.append(b"".join(one))
+                sizes.append(np.array([len(x) for x in one]))
+            lo = hi
+        ends = np.concatenate(([0], *map(np.asarray, sizes))).astype(np.int64).cumsum()
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(out))])
+
+    def _piece_ids(self, pieces):
+        """Ids of each piece of an Arrow array, a space before it included: of line break, letters and marks by Arrow, of others part by part."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        found = pc.extract_regex(pieces, PLAIN)
+        plain = found.is_valid()
+        columns = [pc.struct_field(found.filter(plain), name) for name in ("lead", "word", "tail")]
+        cuts = [self.cut(p) for p in pieces.filter(pc.invert(plain)).to_numpy(zero_copy_only=False)]
+        coded = pa.concat_arrays([*columns, pa.array([x for c in cuts for x in c], pa.large_string())]).dictionary_encode()
+        ids, n = self._merged_all(coded.dictionary), len(columns[0])
+        joined = pc.binary_join_element_wise(*[ids.take(coded.indices[i * n : i * n + n]) for i in range(3)], pa.scalar(b"", pa.large_binary()))
+        parts = ids.take(coded.indices[3 * n :])
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(parts).to_numpy(), dtype=np.int64)))[np.cumsum([0, *map(len, cuts)])]
+        rest = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(ends), parts.buffers()[2] or pa.py_buffer(b"")])
+        mask = plain.to_numpy(zero_copy_only=False)
+        return pa.concat_arrays([joined, rest]).take(pa.array(np.where(mask, np.cumsum(mask) - 1, n + np.cumsum(~mask) - 1), pa.int64()))
+
     def _part(self, part: str) -> bytes:
         """Ids of a part of a piece that has several; remembered, as they come back in other pieces."""
         if (found := self.parts.get(part)) is None:
@@ -83,12 +147,60 @@ class Pieces(dict):
             return "\u0120" + part[1:] if part[0] == " " else part
         return part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
 
+    def _whole(self, text: str) -> bool:
+        """Whether a text goes through the library whole."""
+        if not self.pieced or any(a in text for a in self.added) or "  " in text or text[-1:] == " " or "\n " in text or " \n" in text or text[:2] == "\n\n":
+            return True
+        return (not text.isascii() or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text) and any(c in text for c in OTHER_SPACES)
+
+    def _library(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
     def encode(self, text: str) -> bytes:
+        if self._whole(text):
+            return self._library(text)
         head, *rest = text.split(" ")
-        if not self.pieced or any(a in text for a in self.added) or "" in rest or "\n " in text or " \n" in text or "\n\n" == head[:2] or (not text.isascii() or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text) and any(c in text for c in OTHER_SPACES):
-            return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
         return (self["\n\n" + head] if head else b"") + b"".join(map(self.__getitem__, rest))
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """``encode`` of each text."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        whole = [self._whole(t) for t in texts]
+        cut = [t if "\n\n" in t else t.replace("\n", " \n") for t, w in zip(texts, whole) if not w]  # a line break by itself is a part, too
+        words = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        # every text has a piece at least, be it empty; the first has no space before it
+        ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
+        firsts = np.concatenate(([0], ends))[: len(ends)].astype(np.int64)
+        flat = words.flatten()
+        found = flat.dictionary_encode()
+        spaced = pc.if_else(pc.starts_with(found.dictionary, "\n"), found.dictionary, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), found.dictionary, pa.scalar("", pa.large_string())))
+        at = found.indices.to_numpy().astype(np.int64)
+        at[firsts] = len(spaced) + np.arange(len(firsts))
+        joined = self._piece_ids(pa.concat_arrays([spaced, flat.take(pa.array(firsts))])).take(pa.array(at))
+        data = memoryview(joined.buffers()[2] or b"")
+        bounds = iter(np.concatenate(([0], np.cumsum(pc.binary_length(joined).to_numpy(), dtype=np.int64)))[ends].tolist())
+        lo = 0
+        for text, w in zip(texts, whole):
+            if w:
+                yield self._library(text)
+            else:
+                hi = next(bounds)
+                yield bytes(data[lo:hi])
+                lo = hi
+
 
 _PIECES: dict[str, Pieces] = {}
 

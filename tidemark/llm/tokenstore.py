@@ -161,8 +161,8 @@ def write_store(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "
         for b in batches:
             rows: list[tuple] = []
             size = 0
-            for key, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.append(np.frombuffer(enc.encode(text.as_py()), "<u4"), np.uint32(end_id)).astype("<u2" if _small(enc) else "<u4")
+            for key, found in zip(b.column(0).to_pylist(), enc.encode_all(text.as_py() for text in b.column(1))):
+                ids = np.append(np.frombuffer(found, "<u4"), np.uint32(end_id)).astype("<u2" if _small(enc) else "<u4")
                 rows.append((part, done, key, len(ids), ids.tobytes()))
                 done, size = done + len(ids), size + len(ids)
                 if size > 1 << 20:
