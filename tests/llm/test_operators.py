@@ -446,6 +446,27 @@ def test_packing(spark, sf_dir, odd, clash, none, docs):
     assert run(packing.op7, spark, clash) and run(packing.op7, spark, none) == []
 
 
+def test_packing_merges_new_words_together(spark, odd, monkeypatch):
+    """Calls of the library for a part each took op7 over its budget."""
+    import pyarrow as pa
+
+    words = np.random.default_rng(8).choice([*"abcdefghij\u00e9"], (20_000, 6))
+    texts = [*(" ".join(map("".join, part)) + "!" for part in np.split(words, 4)), "", "a  b"]
+    enc, calls = tokens.Pieces(common.tokenizer_path()), []
+    merge = enc.merge
+    monkeypatch.setattr(enc, "merge", lambda part: calls.append(part) or merge(part))
+    monkeypatch.setitem(tokens._PIECES, common.tokenizer_path(), enc)
+    monkeypatch.setattr(type(odd), "mapInArrow", lambda self, each, schema: each)  # the task's work, here
+    batches = [pa.RecordBatch.from_pydict({"id": [9, i, None], "t": part}, pa.schema({"id": pa.int64(), "t": pa.large_string()})) for i, part in enumerate((texts[:3], texts[3:]))]
+    rows = [tuple(r.values()) for b in packing.cut_pieces(odd)(iter(batches)) for r in b.to_pylist()]
+    want = []
+    for key, t in zip([9, 0, None, 9, 1, None], texts):
+        ids = reference_ids(t) + [2]
+        bounds = [0, *range(len(ids) % 1024 or 1024, len(ids), 1024), len(ids)]
+        want += [(key, i, lo, hi - lo, zlib.crc32(array("I", ids[lo:hi]).tobytes())) for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))]
+    assert rows == want and not calls
+
+
 # mixing
 
 

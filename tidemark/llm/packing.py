@@ -21,8 +21,8 @@ from .tokens import encoder
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
-#: Pieces that a packing worker remembers: fewer than the token files' workers, as it runs behind other stages.
-CACHE_PIECES = 300_000
+#: Characters of texts that a packing worker encodes together: fewer than the token files' workers, as it runs behind other stages.
+GROUP_CHARS = 1 << 22
 #: A length is dealt into so many hash parts for ranking, and one more for every so many rows of it.
 RANK_PARTS = 128
 RANK_ROWS = 20_000
@@ -163,11 +163,11 @@ def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import numpy as np
         import pyarrow as pa
 
-        enc, tail = encoder(model, CACHE_PIECES), np.array([end_id], "<u4").tobytes()
+        enc, tail = encoder(model), np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows = []
-            for key, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = memoryview(enc.encode(text.as_py()) + tail)
+            for key, found in zip(b.column(0).to_pylist(), enc.encode_all((text.as_py() for text in b.column(1)), GROUP_CHARS)):
+                ids = memoryview(found + tail)
                 n = len(ids) // 4
                 lo, piece = 0, 0
                 while lo < n:

@@ -120,12 +120,13 @@ class Pieces(dict):
         columns = [pc.struct_field(found.filter(plain), name) for name in ("lead", "word", "tail")]
         cuts = [self.cut(p) for p in pieces.filter(pc.invert(plain)).to_numpy(zero_copy_only=False)]
         coded = pa.concat_arrays([*columns, pa.array([x for c in cuts for x in c], pa.large_string())]).dictionary_encode()
-        ids, n = self._merged_all(coded.dictionary), len(columns[0])
+        mask, n, sizes = plain.to_numpy(zero_copy_only=False), len(columns[0]), [0, *map(len, cuts)]
+        del found, plain, columns, cuts
+        ids = self._merged_all(coded.dictionary)
         joined = pc.binary_join_element_wise(*[ids.take(coded.indices[i * n : i * n + n]) for i in range(3)], pa.scalar(b"", pa.large_binary()))
         parts = ids.take(coded.indices[3 * n :])
-        ends = np.concatenate(([0], np.cumsum(pc.binary_length(parts).to_numpy(), dtype=np.int64)))[np.cumsum([0, *map(len, cuts)])]
-        rest = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(ends), parts.buffers()[2] or pa.py_buffer(b"")])
-        mask = plain.to_numpy(zero_copy_only=False)
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(parts).to_numpy(), dtype=np.int64)))[np.cumsum(sizes)]
+        rest = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes) - 1, [None, pa.py_buffer(ends), parts.buffers()[2] or pa.py_buffer(b"")])
         return pa.concat_arrays([joined, rest]).take(pa.array(np.where(mask, np.cumsum(mask) - 1, n + np.cumsum(~mask) - 1), pa.int64()))
 
     def _part(self, part: str) -> bytes:
@@ -162,13 +163,13 @@ class Pieces(dict):
         head, *rest = text.split(" ")
         return (self["\n\n" + head] if head else b"") + b"".join(map(self.__getitem__, rest))
 
-    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """``encode`` of each text."""
-        group, size = [], 0
+    def encode_all(self, texts: Iterable[str], most: int | None = None) -> Iterator[bytes]:
+        """``encode`` of each text, in groups of ``most`` characters (none: ``GROUP_CHARS``)."""
+        group, size, most = [], 0, most or GROUP_CHARS
         for text in texts:
             group.append(text)
             size += len(text)
-            if size >= GROUP_CHARS:
+            if size >= most:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
@@ -179,19 +180,24 @@ class Pieces(dict):
         import pyarrow.compute as pc
 
         whole = [self._whole(t) for t in texts]
-        cut = [t if "\n\n" in t else t.replace("\n", " \n") for t, w in zip(texts, whole) if not w]  # a line break by itself is a part, too
-        words = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        # a line break by itself is a part, too
+        words = pc.split_pattern(pa.array((t if "\n\n" in t else t.replace("\n", " \n") for t, w in zip(texts, whole) if not w), pa.large_string()), " ")
         # every text has a piece at least, be it empty; the first has no space before it
         ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
         firsts = np.concatenate(([0], ends))[: len(ends)].astype(np.int64)
         flat = words.flatten()
-        found = flat.dictionary_encode()
-        spaced = pc.if_else(pc.starts_with(found.dictionary, "\n"), found.dictionary, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), found.dictionary, pa.scalar("", pa.large_string())))
-        at = found.indices.to_numpy().astype(np.int64)
-        at[firsts] = len(spaced) + np.arange(len(firsts))
-        joined = self._piece_ids(pa.concat_arrays([spaced, flat.take(pa.array(firsts))])).take(pa.array(at))
+        found, heads = flat.dictionary_encode(), flat.take(pa.array(firsts))
+        del words, flat  # what isn't needed any more goes, as all of it is as large as the texts
+        known, at = found.dictionary, found.indices.to_numpy().copy()
+        del found
+        at[firsts] = len(known) + np.arange(len(firsts))
+        spaced = pc.if_else(pc.starts_with(known, "\n"), known, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), known, pa.scalar("", pa.large_string())))
+        pieces = pa.concat_arrays([spaced, heads])
+        del known, spaced, heads
+        joined = self._piece_ids(pieces).take(pa.array(at))
+        del pieces, at
         data = memoryview(joined.buffers()[2] or b"")
-        bounds = iter(np.concatenate(([0], np.cumsum(pc.binary_length(joined).to_numpy(), dtype=np.int64)))[ends].tolist())
+        bounds = iter(np.frombuffer(joined.buffers()[1], np.int64)[ends].tolist() if len(ends) else ())
         lo = 0
         for text, w in zip(texts, whole):
             if w:
