@@ -35,6 +35,25 @@ def test_near_pairs_lose_nothing(spark, least):
     assert want <= got
 
 
+@pytest.mark.parametrize("block", [2, 1024])
+def test_near_pairs_of_few_words_leave_the_join_once(spark, monkeypatch, block):
+    """All labels here share their pairs of letters, so nearly all pairs meet; only near ones may come out."""
+    monkeypatch.setattr(labels, "BLOCK", block)
+    known = [f"{a} {b} {c} brand {n}" for a in ("small", "economy") for b in ("blue", "hot") for c in ("anvil", "rod", "gear") for n in (1, 2, 11, 21)]
+    other = known + [k.replace("e", "i") for k in known] + [k[:3] + k[2:] for k in known] + ["niño año brand 1", "niña ano brand 1"]
+    df = lambda xs: spark.createDataFrame([(x,) for x in xs], "x string")
+    got = [tuple(r) for r in labels.near_pairs(df(other), df(known + ["niño año brand 1"])).collect()]
+    want = {(a, b) for a in other for b in [*known, "niño año brand 1"] if distance(a, b) <= int(0.15 * max(len(a), len(b)) + 1e-9)}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_candidates_hold_more_than_one_shared_word(spark):
+    known = [f"{a} {b} items" for a in ("net", "gross", "other") for b in ("sales", "income", "assets")]
+    df = lambda xs: spark.createDataFrame([(x,) for x in xs], "x string")
+    got = {tuple(r) for r in labels.candidates(df(["net sales of items", "assets items gross", "sales net items"]), df([*known, "net net sales"])).collect()}
+    assert got == {("net sales of items", "net sales items"), ("net sales of items", "net net sales")}
+
+
 def test_few_pairs_are_compared(spark):
     rng = random.Random(7)
     words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(4, 10))) for _ in range(300)]
