@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import io
 import math
+import random
 import re
+import time
 import zipfile
 from collections import Counter
 from difflib import SequenceMatcher
@@ -307,3 +309,32 @@ def test_vectors_of_other_lengths_do_not_meet(spark):
         best = sorted((-float(unit[q] @ unit[i]), i) for i in unit if i != q and len(unit[i]) == len(unit[q]))[:5]
         assert [r["id"] for r in sorted((r for r in got if r["query"] == q), key=lambda r: r["rank"])] == [i for _, i in best]
     assert {r["query"] for r in got} == {1, 3}
+
+
+def test_likeness_is_the_ratio_or_short_of_it():
+    """Equal to SequenceMatcher at every least likeness, also beyond the length from which that leaves letters out; and much faster."""
+    rng = random.Random(9)
+    for _ in range(3000):
+        letters = rng.choice(["ab", "abc ", "abcdefgh é", "漢字かな"])
+        a, b = ("".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(2))
+        if rng.random() < 0.3:
+            b = a[: rng.randrange(len(a) + 1)] + b[:4] + a[rng.randrange(len(a) + 1) :]
+        if rng.random() < 0.05:
+            a, b = a * 9, b * 9
+        ratio = SequenceMatcher(None, a, b).ratio()
+        for least in (0.0, 0.6, ratio):
+            assert passages.likeness(a, b, least) == (ratio if ratio >= least else -1.0)
+    old, new = (". ".join("".join(rng.choices("ethrons ", k=150)) for _ in range(60)) + "." for _ in range(2))
+    began = time.process_time()
+    passages.redline(old, new)
+    took = time.process_time() - began
+    for a in old.split(". "):
+        for b in new.split(". "):
+            SequenceMatcher(None, a, b).ratio()
+    assert took < (time.process_time() - began - took) / 2
+
+
+def test_turn_redline_is_dealt_out_by_number(spark, sf_dir):
+    """Few bytes of turns are long work: their partitions are not made fewer."""
+    plan = registry.QUERIES["turn_redline"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan

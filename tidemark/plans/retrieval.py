@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import vectors
+from ..functions.spread import tasks
 from ..operators import passages, search
 from .base import query, table
 
@@ -234,7 +235,9 @@ def document_sentences(spark, d):
 def turn_redline(spark, d):
     """Sentence differences of each turn with the one before it of the same role."""
     w = Window.partitionBy("conv_id", "role").orderBy("turn")
-    t = table(spark, d, "conversations").withColumn("before", F.lag("text").over(w)).where("before is not null")
+    # a number of its own, else small partitions become one, and differences take long for their bytes
+    dealt = table(spark, d, "conversations").repartition(tasks(spark), "conv_id", "role")
+    t = dealt.withColumn("before", F.lag("text").over(w)).where("before is not null")
     return t.select("conv_id", "turn", passages.redline_column(F.col("before"), F.col("text")).alias("r")).select("conv_id", "turn", "r.*")
 
 
