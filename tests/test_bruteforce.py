@@ -338,3 +338,22 @@ def test_turn_redline_is_dealt_out_by_number(spark, sf_dir):
     """Few bytes of turns are long work: their partitions are not made fewer."""
     plan = registry.QUERIES["turn_redline"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+@pytest.mark.parametrize("pack", [20, 4096])
+def test_redline_equals_all_ratios(monkeypatch, pack):
+    """Bounds of many sentences at once, of those too long for it too."""
+    monkeypatch.setattr(passages, "PACK", pack)
+    rng = random.Random(10)
+    make = lambda: "".join(rng.choices(rng.choice(["ab ", "abcdefgh é"]), k=rng.choice([1, 3, 10, 30, 210]))).strip() + "z" + rng.choice(".!?")
+    for _ in range(200):
+        old = [make() for _ in range(rng.randrange(8))]
+        new = [rng.choice([make(), *old, *(o[: len(o) // 2] + "q" + o[len(o) // 2 :] for o in old)]) for _ in range(rng.randrange(8))]
+        a, b = ([t[x:y] for x, y in passages.sentences(t)] for t in (" ".join(old), " ".join(new)))
+        left, fresh, changed = [s for s in a if s not in b], [s for s in b if s not in a], 0
+        for s in fresh:
+            best = max(left, key=lambda o: SequenceMatcher(None, o, s).ratio(), default=None)
+            if best is not None and SequenceMatcher(None, best, s).ratio() >= 0.6:
+                left.remove(best)
+                changed += 1
+        assert passages.redline(" ".join(old), " ".join(new)) == {"kept": len(b) - len(fresh), "changed": changed, "added": len(fresh) - changed, "removed": len(left)}
